@@ -22,6 +22,7 @@ def build_session(app: str = "mailsieve", cpus: int | None = None, memory: str =
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
 
