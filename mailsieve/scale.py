@@ -9,9 +9,10 @@ tasks always agree.
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -132,3 +133,38 @@ def top_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[Column], k:
     """First ``k`` rows per key.  Spark limits each map task to ``k`` rows per key before the shuffle."""
     w = Window.partitionBy(*keys).orderBy(*order)
     return df.withColumn(rank, F.row_number().over(w)).where(F.col(rank) <= k)
+
+
+def with_totals(df: DataFrame, keys: Sequence[str], **aggs: Column) -> DataFrame:
+    """Group aggregates joined back to the rows: partial aggregation plus a join AQE can split, where a
+    whole-partition window would hold a hot key in one task."""
+    totals = df.groupBy(*keys).agg(*[c.alias(n) for n, c in aggs.items()])
+    return join_null_safe(df, totals, list(keys))
+
+
+def ordered_fold(
+    df: DataFrame, keys: Sequence[str], order: Sequence[Column | str], start: Callable[[], Callable], schema
+) -> DataFrame:
+    """Order-dependent pass over each key with constant memory.
+
+    Rows arrive sorted; ``start()`` returns a fresh step function per key, called with consecutive slices
+    of that key's rows (a slice never spans keys, a key may span slices), returning output rows.  A hot
+    key is streamed, never collected.  Pass only the columns the step needs.
+    """
+    keys = list(keys)
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, step = None, None
+        for batch in batches:
+            if not len(batch):
+                continue
+            change = (batch[keys] != batch[keys].shift()).any(axis=1).cumsum()
+            for _, part in batch.groupby(change, sort=False):
+                key = tuple(part[keys].iloc[0])
+                if key != current:
+                    current, step = key, start()
+                out = step(part)
+                if out is not None and len(out):
+                    yield out
+
+    return df.repartition(*keys).sortWithinPartitions(*keys, *order).mapInPandas(run, schema)
