@@ -290,8 +290,8 @@ class Views:
             k=50, query_id="query_id", corpus_id="vec_id", carry=["label"],
         )
         docs = self.t("documents").select("doc_id", "text", "source")
-        n = docs.agg(F.count("*").alias("n_docs"))
-        h = hits.crossJoin(F.broadcast(n)).withColumn("doc_id", F.col("vec_id") % F.col("n_docs"))
+        n_docs = self.t("documents").agg(F.count("*")).scalar()
+        h = hits.withColumn("doc_id", F.col("vec_id") % n_docs)
         vid = F.col("vec_id").cast("string")
         return h.join(docs, "doc_id").select(
             "query_id", F.concat(F.lit("v"), vid).alias("id"), "vec_id", "score", F.col("rank").alias("rnk"),

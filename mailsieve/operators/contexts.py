@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailsieve import scale
-from mailsieve.functions.text import blank, est_tokens, jaccard, strip, tokens, truncate_chunk
+from mailsieve.functions.text import blank, est_tokens, strip, tokens, truncate_chunk
 
 # fixed values: weight presets (relevance, category), request limits (chunks, prompt tokens, reserve)
 WEIGHT_PRESETS = {"relevance_heavy": (0.9, 0.1), "balanced": (0.8, 0.2), "category_heavy": (0.6, 0.4)}
@@ -143,23 +143,26 @@ def prompt_budget(preset: str = "balanced") -> tuple[int, int, int]:
 
 
 def drop_near_duplicates(df: DataFrame, by: str, order: Sequence[str], text: str = "text", threshold: float = 0.9) -> DataFrame:
-    """Greedy in order within each bounded query group: a record too close to any kept one leaves.
-
-    The fold carries only order keys and token sets; the surviving positions are joined back.
-    """
+    """Greedy in order within each bounded query group: a record too close to any kept one leaves."""
     pos = Window.partitionBy(by).orderBy(*order)
-    d = df.withColumn("__pos", F.row_number().over(pos))
-    item = F.struct(F.col("__pos").alias("p"), F.array_distinct(tokens(F.col(text))).alias("t"))
-    grouped = d.groupBy(by).agg(F.sort_array(F.collect_list(item)).alias("items"))
-    empty = F.array().cast("array<struct<p:int,t:array<string>>>")
+    d = df.withColumn("__pos", F.row_number().over(pos)).withColumn("__tok", F.array_distinct(tokens(F.col(text))))
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("__pos", ignore_index=True)
+        kept: list[tuple[int, set]] = []
+        for i, t in enumerate(set(t) for t in pdf["__tok"]):
+            if not any(_overlap(t, k) >= threshold for _, k in kept):
+                kept.append((i, t))
+        return pdf.iloc[[i for i, _ in kept]][df.columns]
+
+    return d.groupBy(by).applyInPandas(run, df.schema)
 
-    def step(kept: Column, x: Column) -> Column:
-        close = F.exists(kept, lambda k: jaccard(x["t"], k["t"]) >= threshold)
-        return F.when(close, kept).otherwise(F.array_append(kept, x))
 
-    kept = F.transform(F.aggregate("items", empty, step), lambda x: x["p"])
-    survivors = grouped.select(by, F.explode(kept).alias("__pos"))
-    return d.join(survivors, [by, "__pos"]).drop("__pos")
+def _overlap(a: set, b: set) -> float:
+    if not a or not b:
+        return 0.0
+    shared = len(a & b)
+    return shared / (len(a) + len(b) - shared)
 
 
 def mmr_order(df: DataFrame, by: str, alpha: float = 0.7, per_source_cap: int | None = 3) -> DataFrame:
@@ -187,9 +190,7 @@ def mmr_order(df: DataFrame, by: str, alpha: float = 0.7, per_source_cap: int |
             left.remove(best)
             used[pdf["source"][best]] = used.get(pdf["source"][best], 0) + 1
             for i in left:
-                both = sets[i] and sets[best]
-                j = len(sets[i] & sets[best]) / len(sets[i] | sets[best]) if both else 0.0
-                overlap[i] = max(overlap[i], j)
+                overlap[i] = max(overlap[i], _overlap(sets[i], sets[best]))
         return pdf.iloc[order].assign(mmr_rank=range(1, len(order) + 1))[schema.names]
 
     return df.withColumn("__tok", tokens(F.col("text"))).groupBy(by).applyInPandas(run, schema)

@@ -20,3 +20,27 @@ def filter_rates(df: DataFrame, by: str, decision: str = "decision") -> DataFram
         F.count("*").alias("total"), share(d == "KEEP").alias("accept_rate"), share(d == "HUMAN").alias("triage_rate"),
         share(d == "IRRELEVANT").alias("drop_rate"),
     )
+
+
+def index_report(chunks: DataFrame, vectors: DataFrame, expected: DataFrame, dim: int, min_tokens: int = 10) -> DataFrame:
+    """Vector dimensions, malformed chunk share, and document count against the source (one row)."""
+    short = F.col("token_count") < min_tokens
+    lanes = [
+        chunks.groupBy("doc_id").agg(
+            F.lit("doc").alias("k"), F.count("*").alias("a"), F.count_if(short).alias("b")).select("k", "a", "b"),
+        vectors.groupBy(F.coalesce(F.size("embedding") != dim, F.lit(True)).alias("bad")).agg(F.count("*").alias("a")).select(
+            F.lit("vec").alias("k"), "a", F.when(F.col("bad"), F.col("a")).otherwise(0).alias("b")),
+        expected.agg(F.count("*").alias("a")).select(F.lit("expected").alias("k"), "a", F.lit(0).cast("long").alias("b")),
+    ]
+    k = F.col("k")
+    d = lanes[0].unionAll(lanes[1]).unionAll(lanes[2]).agg(
+        F.sum(F.when(k == "vec", F.col("a"))).alias("vectors"), F.sum(F.when(k == "vec", F.col("b"))).alias("bad_dim"),
+        F.sum(F.when(k == "doc", F.col("a"))).alias("chunks"), F.sum(F.when(k == "doc", F.col("b"))).alias("__short"),
+        F.count_if(k == "doc").alias("docs"), F.max(F.when(k == "expected", F.col("a"))).alias("__want"),
+    )
+    bad = F.col("__short") / F.col("chunks")
+    return d.select(
+        "vectors", "bad_dim", "chunks", F.round(bad, 6).alias("malformed_share"), (bad <= 0.01).alias("malformed_ok"), "docs",
+        (F.abs(F.col("docs") - F.col("__want")) <= 0.02 * F.col("__want")).alias("count_ok"),
+        (F.col("docs") >= 0.99 * F.col("__want")).alias("ingest_ok"),
+    )

@@ -38,20 +38,22 @@ def norm(a: Column) -> Column:
 
 def cosine(a: Column, b: Column) -> Column:
     m = norm(a) * norm(b)
-    return F.when(m > 0, dot(a, b) / m).otherwise(0.0)
+    return F.when(m > 0, F.greatest(F.least(dot(a, b) / m, F.lit(1.0)), F.lit(-1.0))).otherwise(0.0)
 
 
 def similarity(a: Column, b: Column, kind: str = "cosine", normalize: bool = True, threshold: float = 0.7) -> Column:
     """Struct with score, percentage, verdict, level and an error text instead of an exception."""
-    va, vb = doubles(a), doubles(b)
-    if normalize:
-        va, vb = (F.when(norm(v) > 0, F.transform(v, lambda x, n=norm(v): x / n)).otherwise(v) for v in (va, vb))
-    if kind == "euclidean":
-        score = 1.0 / (1.0 + F.sqrt(_sum_of(F.zip_with(va, vb, lambda x, y: (x - y) * (x - y)))))
-    elif kind == "dot_product":
-        score = dot(va, vb)
+    # unit vectors need no rebuilding: their dot product is the cosine, their squared distance 2 - 2 cos
+    cos = cosine(a, b)
+    if kind == "euclidean" and normalize:
+        score = 1.0 / (1.0 + F.sqrt(2.0 - 2.0 * cos))
+    elif kind == "euclidean":
+        gap = F.zip_with(doubles(a), doubles(b), lambda x, y: (x - y) * (x - y))
+        score = 1.0 / (1.0 + F.sqrt(_sum_of(gap)))
+    elif kind == "dot_product" and not normalize:
+        score = dot(a, b)
     else:
-        score = cosine(va, vb)
+        score = cos
     error = F.when(F.size(a) != F.size(b), "vectors must be the same length").when(
         F.size(a) == 0, "vectors cannot be empty"
     )
@@ -197,7 +199,7 @@ def score_categories(
         for part in batches:
             if not len(part):
                 continue
-            cos = np.round(_unit(part["__vec"]) @ mat.T, 6)
+            cos = _unit(part["__vec"]) @ mat.T
             order = np.argsort(-cos, axis=1, kind="stable")
             ranked = [[{"category": names[j], "cosine": float(row[j])} for j in o] for row, o in zip(cos, order)]
             yield pd.DataFrame({email_id: part[email_id], "scores": ranked})
@@ -205,7 +207,7 @@ def score_categories(
     packed = emails.select(email_id, F.col(vector).alias("__vec")).mapInPandas(scan, schema)
     out = packed.select(email_id, F.posexplode("scores").alias("pos", "s"))
     return out.select(
-        email_id, F.col("s.category").alias("category"), F.col("s.cosine").alias("cosine"),
+        email_id, F.col("s.category").alias("category"), F.round("s.cosine", 6).alias("cosine"),
         F.round((F.col("s.cosine") + 1.0) / 2.0, 6).alias("score"), (F.col("pos") + 1).alias("rank"),
     )
 

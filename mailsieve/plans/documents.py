@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from mailsieve.functions.ids import document_id
 from mailsieve.operators import chunking as K
+from mailsieve.operators.lanes import union_lanes
 
 # documents per ordering bucket; positions inside a bucket are counted by one task
 DOCS_PER_BUCKET = 64
@@ -34,10 +35,16 @@ def prepare_document_batch(docs: DataFrame, batch_size: int = 25, size: int = 10
     bucket = F.floor(F.col("doc_id") / DOCS_PER_BUCKET)
     batched = K.assign_batches(chunks, batch_size, ["doc_id", "chunk_index"], bucket)
     n = min(max(batch_size, 1), K.MAX_BATCH)
-    counts = docs.agg(F.count("*").alias("total_documents")).crossJoin(
-        chunks.agg(F.count("*").alias("total_chunks"), F.countDistinct("doc_id").alias("successful_documents"))
-    ).crossJoin(bad.agg(F.count("*").alias("failed_documents")))
-    summary = counts.withColumn("total_batches", F.ceil(F.col("total_chunks") / F.lit(float(n))))
+    lanes = union_lanes(
+        documents=docs.select("doc_id"), failed=bad.select("doc_id"), chunks=chunks.select("doc_id"),
+    )
+    lane = F.col("lane")
+    summary = lanes.agg(
+        F.count_if(lane == "documents").alias("total_documents"), F.count_if(lane == "chunks").alias("total_chunks"),
+        F.ceil(F.count_if(lane == "chunks") / F.lit(float(n))).alias("total_batches"),
+        F.countDistinct(F.when(lane == "chunks", F.col("doc_id"))).alias("successful_documents"),
+        F.count_if(lane == "failed").alias("failed_documents"),
+    )
     return DocumentBatch(batched, bad, summary)
 
 
