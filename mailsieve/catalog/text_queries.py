@@ -134,7 +134,7 @@ def _(v):
 
 
 @query("f12_strip_urls", "E", sql=f"""
-SELECT email_id, {sub("body || ' see www.example.org/a(b)'", r"(?i)\b(?:https?://|www\.)[^\s<>\"'()]+")} AS text FROM E""")
+SELECT email_id, {sub("body || ' see www.example.org/a(b)'", r"https?://\S+|www\.\S+")} AS text FROM E""")
 def _(v):
     return v.E.select("email_id", X.strip_urls(F.concat("body", F.lit(" see www.example.org/a(b)"))).alias("text"))
 

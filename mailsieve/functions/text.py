@@ -70,7 +70,7 @@ def extract_urls(c: Column) -> Column:
 
 
 def strip_urls(c: Column) -> Column:
-    return F.regexp_replace(c, r"(?i)\b(?:https?://|www\.)[^\s<>\"'()]+", "")
+    return F.regexp_replace(c, r"https?://\S+|www\.\S+", "")
 
 
 def mask_pii(c: Column) -> Column:

@@ -146,6 +146,7 @@ def drop_near_duplicates(df: DataFrame, by: str, order: Sequence[str], text: str
     """Greedy in order within each bounded query group: a record too close to any kept one leaves."""
     pos = Window.partitionBy(by).orderBy(*order)
     d = df.withColumn("__pos", F.row_number().over(pos)).withColumn("__tok", F.array_distinct(tokens(F.col(text))))
+    columns, schema = df.columns, df.schema
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("__pos", ignore_index=True)
@@ -153,9 +154,9 @@ def drop_near_duplicates(df: DataFrame, by: str, order: Sequence[str], text: str
         for i, t in enumerate(set(t) for t in pdf["__tok"]):
             if not any(_overlap(t, k) >= threshold for _, k in kept):
                 kept.append((i, t))
-        return pdf.iloc[[i for i, _ in kept]][df.columns]
+        return pdf.iloc[[i for i, _ in kept]][columns]
 
-    return d.groupBy(by).applyInPandas(run, df.schema)
+    return d.groupBy(by).applyInPandas(run, schema)
 
 
 def _overlap(a: set, b: set) -> float:

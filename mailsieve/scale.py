@@ -41,51 +41,81 @@ def range_bucket(value: Column, width: int) -> Column:
     return F.floor(value / F.lit(width))
 
 
-def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], bucket: Column | None = None
-) -> DataFrame:
-    """Exact linearly interpolated quantiles per key, without gathering a key in one task.
-
-    Equal values collapse to counts before the shuffle; a bucket histogram per key locates the two
-    ranks each quantile needs, and only the buckets that hold such a rank are ordered.
+def value_cells(
+    df: DataFrame, keys: Sequence[str], value: str, bucket: Column | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Sorted-order skeleton of a value column per key.
+
+    Cells hold the distinct values of a bucket with their counts (equal values collapse before the
+    shuffle); the histogram holds, per bucket, its ranks ``[__start, __stop)``, the group size and the sum
+    of all values below it.
     """
     keys = list(keys)
     v = F.col(value).cast("double")
     b = value_bucket(v) if bucket is None else bucket
     cells = df.where(v.isNotNull()).groupBy(*keys, b.alias(_B), v.alias("__v")).agg(F.count("*").alias("__c"))
-    hist = cells.groupBy(*keys, _B).agg(F.sum("__c").alias("__n"))
+    hist = cells.groupBy(*keys, _B).agg(F.sum("__c").alias("__n"), F.sum(F.col("__c") * F.col("__v")).alias("__s"))
     ordered = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, 0)
     whole = Window.partitionBy(*keys)
+    n, s = F.sum("__n"), F.sum("__s")
     hist = hist.select(
-        *keys, _B, (F.sum("__n").over(ordered) - F.col("__n")).alias("__start"),
-        F.sum("__n").over(ordered).alias("__stop"), F.sum("__n").over(whole).alias("__tot"),
+        *keys, _B, (n.over(ordered) - F.col("__n")).alias("__start"), n.over(ordered).alias("__stop"),
+        n.over(whole).alias("__tot"), (s.over(ordered) - F.col("__s")).alias("__below"), s.over(whole).alias("__sum"),
     )
-    pos = {name: F.lit(float(p)) * (F.col("__tot") - 1) for name, p in probs.items()}
+    return cells, hist
 
-    def holds(rank: Column, lo: Column, hi: Column) -> Column:
-        return (rank >= lo) & (rank < hi)
 
-    wanted = reduce(
-        lambda x, y: x | y,
-        [holds(f(pos[n]), F.col("__start"), F.col("__stop")) for n in pos for f in (F.floor, F.ceil)],
-    )
-    picked = join_null_safe(cells, hist.where(wanted), [*keys, _B])
+def ranked_cells(cells: DataFrame, hist: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Cells of the given buckets with the ranks ``[__lo, __hi)`` each value covers."""
+    picked = join_null_safe(cells, hist, [*keys, _B])
     inner = Window.partitionBy(*keys, _B).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
     picked = picked.withColumn("__hi", F.col("__start") + F.sum("__c").over(inner))
-    picked = picked.withColumn("__lo", F.col("__hi") - F.col("__c"))
-    aggs = []
+    return picked.withColumn("__lo", F.col("__hi") - F.col("__c"))
+
+
+def _holds(rank: Column, lo: str, hi: str) -> Column:
+    return (rank >= F.col(lo)) & (rank < F.col(hi))
+
+
+def exact_quantiles(
+    df: DataFrame, keys: Sequence[str], value: str, probs: Mapping[str, float], bucket: Column | None = None,
+    halves: bool = False,
+) -> DataFrame:
+    """Exact linearly interpolated quantiles per key, without gathering a key in one task.
+
+    A histogram per key locates the two ranks each quantile needs, and only the buckets that hold such a
+    rank are ordered.  ``halves`` adds the means of the lower and upper half of the sorted values.
+    """
+    keys = list(keys)
+    cells, hist = value_cells(df, keys, value, bucket)
+    pos = {name: F.lit(float(p)) * (F.col("__tot") - 1) for name, p in probs.items()}
+    half = F.floor(F.col("__tot") / 2)
+    ranks = [f(pos[n]) for n in pos for f in (F.floor, F.ceil)] + ([half] if halves else [])
+    picked = ranked_cells(
+        cells, hist.where(reduce(lambda x, y: x | y, [_holds(r, "__start", "__stop") for r in ranks])), keys
+    )
+    aggs = [F.max("__tot").alias("__tot")]
     for n in pos:
         for tag, f in (("l", F.floor), ("h", F.ceil)):
-            hit = holds(f(pos[n]), F.col("__lo"), F.col("__hi"))
-            aggs.append(F.max(F.when(hit, F.col("__v"))).alias(f"__{n}_{tag}"))
-    out = picked.groupBy(*keys).agg(F.max("__tot").alias("__tot"), *aggs)
-    return out.select(
-        *keys,
-        *[
-            (F.col(f"__{n}_l") + (F.col(f"__{n}_h") - F.col(f"__{n}_l")) * (pos[n] - F.floor(pos[n]))).alias(n)
-            for n in pos
-        ],
-    )
+            aggs.append(F.max(F.when(_holds(f(pos[n]), "__lo", "__hi"), F.col("__v"))).alias(f"__{n}_{tag}"))
+    if halves:
+        split = _holds(half, "__start", "__stop")
+        taken = F.greatest(F.least(F.col("__c"), half - F.col("__lo")), F.lit(0))
+        aggs += [
+            F.max(F.when(split, F.col("__below"))).alias("__below"), F.max("__sum").alias("__sum"),
+            F.sum(F.when(split, taken * F.col("__v")).otherwise(0.0)).alias("__part"),
+        ]
+    out = picked.groupBy(*keys).agg(*aggs)
+    cols = [
+        (F.col(f"__{n}_l") + (F.col(f"__{n}_h") - F.col(f"__{n}_l")) * (pos[n] - F.floor(pos[n]))).alias(n) for n in pos
+    ]
+    if halves:
+        low = F.col("__below") + F.col("__part")
+        cols += [
+            F.when(half > 0, F.try_divide(low, half)).otherwise(F.col("__sum") / F.col("__tot")).alias("lower_mean"),
+            ((F.col("__sum") - low) / (F.col("__tot") - half)).alias("upper_mean"),
+        ]
+    return out.select(*keys, *cols)
 
 
 def cumulative_sum(
