@@ -84,7 +84,7 @@ def _(v):
 
 @query("a36_schedule_trends", "M", sql=AL + """
 SELECT CAST(ts::DATE AS VARCHAR) AS "Day", schedule AS "Schedule", machine AS "Machine", count(*) AS "Samples", count(*) FILTER (missed) AS "Missed", count(*) FILTER (extended) AS "Extended",
-  round(avg(overdue_min), 4) AS "AvgOverdueMin", round(quantile_cont(overdue_min, 0.95), 4) AS "P95OverdueMin", max(current_duration) AS "MaxDurationMin" FROM a GROUP BY 1, 2, 3""")
+  round(avg(overdue_min), 6) AS "AvgOverdueMin", round(quantile_cont(overdue_min, 0.95), 6) AS "P95OverdueMin", max(current_duration) AS "MaxDurationMin" FROM a GROUP BY 1, 2, 3""")
 def _(v):
     return S.schedule_trends(v.M)
 

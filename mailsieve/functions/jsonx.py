@@ -53,17 +53,20 @@ def _compact(o):
     return o
 
 
-@F.pandas_udf(T.StringType())
-def json_compact(s: pd.Series) -> pd.Series:
+def _compact_text(t):
+    try:
+        return json.dumps(_compact(json.loads(t)), separators=(",", ":"), ensure_ascii=False)
+    except (TypeError, ValueError):
+        return t
+
+
+def json_compact(c: Column) -> Column:
     """Open JSON without nulls and empty strings, lists and objects; false and 0 stay."""
 
-    def one(t):
-        try:
-            return json.dumps(_compact(json.loads(t)), separators=(",", ":"), ensure_ascii=False)
-        except (TypeError, ValueError):
-            return t
+    def run(s: pd.Series) -> pd.Series:
+        return s.map(_compact_text)
 
-    return s.map(one)
+    return F.pandas_udf(run, T.StringType())(c)
 
 
 def dig(c: Column, path: str) -> Column:

@@ -39,12 +39,12 @@ def schedule_trends(obs: DataFrame, ts: str = "ts") -> DataFrame:
     keys = ["Day", "schedule", "machine"]
     base = d.groupBy(*keys).agg(
         F.count("*").alias("Samples"), F.count_if("missed").alias("Missed"), F.count_if("extended").alias("Extended"),
-        F.round(F.avg("overdue_min"), 4).alias("AvgOverdueMin"), F.max("current_duration").alias("MaxDurationMin"),
+        F.round(F.avg("overdue_min"), 6).alias("AvgOverdueMin"), F.max("current_duration").alias("MaxDurationMin"),
     )
     p95 = scale.exact_quantiles(d, keys, "overdue_min", {"__p": 0.95})
     return scale.join_null_safe(base, p95, keys).select(
         "Day", F.col("schedule").alias("Schedule"), F.col("machine").alias("Machine"), "Samples", "Missed", "Extended",
-        "AvgOverdueMin", F.round("__p", 4).alias("P95OverdueMin"), "MaxDurationMin",
+        "AvgOverdueMin", F.round("__p", 6).alias("P95OverdueMin"), "MaxDurationMin",
     )
 
 

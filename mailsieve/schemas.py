@@ -4,52 +4,54 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-_S, _L, _D, _B = T.StringType(), T.LongType(), T.DoubleType(), T.BooleanType()
+S, L, I, D, B, TS = T.StringType(), T.LongType(), T.IntegerType(), T.DoubleType(), T.BooleanType(), T.TimestampType()
 
 
-def _struct(text: str) -> T.StructType:
-    return T.StructType.fromDDL(text)
+def _list(t: T.DataType) -> T.ArrayType:
+    return T.ArrayType(t)
 
 
-EMAIL_ENVELOPE = _struct(
-    "message_id string, from_email string, from_name string, subject string, body string, "
-    "headers map<string,string>, attachments array<string>, auth map<string,boolean>"
-)
-RULE_ROW = _struct("rule_id string, rule_type string, rule_pattern string, action string, priority int, active boolean")
-PACK_ROW = _struct(
-    "rule_id string, family string, field string, operator string, pattern string, weight int, cap_per_email int, "
-    "action string, priority int, enabled string, category string, flag_a string, flag_b string, notes string"
+def _map(t: T.DataType) -> T.MapType:
+    return T.MapType(S, t)
+
+
+def _record(**fields: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(n, t) for n, t in fields.items()])
+
+
+EMAIL_ENVELOPE = _record(
+    message_id=S, from_email=S, from_name=S, subject=S, body=S, headers=_map(S), attachments=_list(S), auth=_map(B)
 )
-CHUNK = _struct(
-    "chunk_id string, chunk_index bigint, text string, token_count bigint, start_char bigint, end_char bigint, "
-    "metadata map<string,string>"
+RULE_ROW = _record(rule_id=S, rule_type=S, rule_pattern=S, action=S, priority=I, active=B)
+PACK_ROW = _record(
+    rule_id=S, family=S, field=S, operator=S, pattern=S, weight=I, cap_per_email=I, action=S, priority=I, enabled=S,
+    category=S, flag_a=S, flag_b=S, notes=S,
 )
-EMBEDDING_REQUEST = _struct("text string, metadata map<string,string>")
-DATAPOINT = _struct("datapoint_id string, feature_vector array<double>, restricts array<struct<namespace:string,allow_list:array<string>>>")
-CONTEXT = _struct(
-    "id string, text string, score double, source string, uri string, metadata map<string,string>, is_pdf boolean, "
-    "processing_error boolean, llm_relevance double, category_alignment double"
+CHUNK = _record(
+    chunk_id=S, chunk_index=L, text=S, token_count=L, start_char=L, end_char=L, metadata=_map(S)
 )
-CATEGORY = _struct("name string, description string, examples array<string>")
-GATE = _struct(
-    "prelim_pass boolean, hard_block boolean, hard_reason string, soft_score int, decision string, generator_hint string"
+EMBEDDING_REQUEST = _record(text=S, metadata=_map(S))
+DATAPOINT = _record(
+    datapoint_id=S, feature_vector=_list(D), restricts=_list(_record(namespace=S, allow_list=_list(S)))
 )
-FILE_META = _struct(
-    "id string, name string, mime_type string, size bigint, modified_time timestamp, checksum string, owners array<string>"
+CONTEXT = _record(
+    id=S, text=S, score=D, source=S, uri=S, metadata=_map(S), is_pdf=B, processing_error=B, llm_relevance=D,
+    category_alignment=D,
 )
-OBJECT_META = _struct(
-    "bucket string, name string, size bigint, content_type string, updated timestamp, md5_hash string, crc32c string, "
-    "metadata map<string,string>"
+CATEGORY = _record(name=S, description=S, examples=_list(S))
+GATE = _record(prelim_pass=B, hard_block=B, hard_reason=S, soft_score=I, decision=S, generator_hint=S)
+FILE_META = _record(id=S, name=S, mime_type=S, size=L, modified_time=TS, checksum=S, owners=_list(S))
+OBJECT_META = _record(
+    bucket=S, name=S, size=L, content_type=S, updated=TS, md5_hash=S, crc32c=S, metadata=_map(S)
 )
-METRIC_POINT = _struct("ts timestamp, value double, metadata map<string,string>")
-LOG_ROW = _struct(
-    "timestamp timestamp, action string, status string, http_status bigint, latency_ms bigint, retrieval_top_k bigint, "
-    "retrieval_filter string, retrieval_filter_val double, rank_mode string, rank_model string, contexts_returned bigint, "
-    "tokens_prompt bigint, tokens_candidates bigint, tokens_total bigint, gen_finish_reason string, confidence double, "
-    "safety_blocked boolean, answered_unknown boolean, correlation_id string, env string, recipe_id string, job_id string, "
-    "region string"
+METRIC_POINT = _record(ts=TS, value=D, metadata=_map(S))
+LOG_ROW = _record(
+    timestamp=TS, action=S, status=S, http_status=L, latency_ms=L, retrieval_top_k=L, retrieval_filter=S,
+    retrieval_filter_val=D, rank_mode=S, rank_model=S, contexts_returned=L, tokens_prompt=L, tokens_candidates=L,
+    tokens_total=L, gen_finish_reason=S, confidence=D, safety_blocked=B, answered_unknown=B, correlation_id=S, env=S,
+    recipe_id=S, job_id=S, region=S,
 )
-MODEL_REPLY = _struct("category string, confidence double, reasons array<string>, note string")
+MODEL_REPLY = _record(category=S, confidence=D, reasons=_list(S), note=S)
 
 # fixed values: required fields and field types of the exchanged records
 _A, _M = "array", "object"
