@@ -17,6 +17,7 @@ from mailsieve.schemas import MODEL_REPLY
 from mailsieve.session import scratch_dir
 from mailsieve.sources import files as S
 from mailsieve.sources import sinks
+from mailsieve.sources.tables import spread
 from mailsieve.sources.json_csv import first_seen, flatten_rows, json_to_csv
 
 
@@ -92,7 +93,7 @@ NESTED = "'{\"n\": ' || event_id || ', \"user\": {\"id\": ' || user_id || ', \"t
 
 def nested(v):
     s = [F.col(c).cast("string") for c in ("event_id", "user_id")]
-    return v.t("events").select(
+    return spread(v.t("events")).select(
         "event_id", "event_type",
         F.concat(F.lit('{"n": '), s[0], F.lit(', "user": {"id": '), s[1], F.lit(', "tags": ["a,b", "'), "event_type", F.lit('"]}, "e": {}, "p": '),
                  "props", F.when(F.col("event_type") == "error", ', "err": true').otherwise(""), F.lit("}")).alias("json"),

@@ -306,7 +306,7 @@ FROM {src} r LEFT JOIN E e ON regexp_matches(CASE r.rule_type WHEN 'sender' THEN
 def hit_counts(v, rules):
     """Matches per loaded rule over all e-mails; rules without a match stay with 0."""
     d = R.apply_rules(v.E, R.rule_rows(rules), stop_on_first=False)
-    n = d.select(F.explode("custom.matches.rule_id").alias("rule_id")).groupBy("rule_id").agg(F.count("*").alias("hits"))
+    n = d.select(F.explode_outer("custom.matches.rule_id").alias("rule_id")).where("rule_id IS NOT NULL").groupBy("rule_id").agg(F.count("*").alias("hits"))
     return rules.join(n, "rule_id", "left").select(
         "rule_id", "rule_type", "action", "priority", F.coalesce("hits", F.lit(0)).alias("hits")
     )
@@ -327,7 +327,7 @@ SELECT e.email_id, r.rule_id FROM E e JOIN R r ON regexp_matches(CASE r.rule_typ
   WHEN 'subject' THEN e.subject WHEN 'body' THEN e.body END, r.rx, 'i')""")
 def _(v):
     d = R.apply_rules(v.E, LIVE, stop_on_first=False)
-    return d.select("email_id", F.explode("custom.matches.rule_id").alias("rule_id"))
+    return d.select("email_id", F.explode_outer("custom.matches.rule_id").alias("rule_id")).where("rule_id IS NOT NULL")
 
 
 @query("x1_union_lanes", "E", sql=RULES_CTE + f"""
@@ -337,8 +337,8 @@ UNION ALL SELECT 'standard', email_id, unnest({STD_IDS}) FROM E""")
 def _(v):
     from mailsieve.operators.lanes import union_lanes
 
-    custom = R.apply_rules(v.E, LIVE, stop_on_first=False).select("email_id", F.explode("custom.matches.rule_id").alias("rule_id"))
-    std = v.E.select("email_id", F.explode(R.standard_signals()["rule_id"]).alias("rule_id"))
+    custom = R.apply_rules(v.E, LIVE, stop_on_first=False).select("email_id", F.explode_outer("custom.matches.rule_id").alias("rule_id")).where("rule_id IS NOT NULL")
+    std = v.E.select("email_id", F.explode_outer(R.standard_signals()["rule_id"]).alias("rule_id")).where("rule_id IS NOT NULL")
     return union_lanes(custom=custom, standard=std)
 
 

@@ -13,14 +13,15 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailsieve.sources.tables import spread
+
+TEXT_TABLES = ("documents", "pages", "conversations")
 LF = "chr(10)"
 TAB = "chr(9)"
-_WS = "[ \t\n\r]+"
 
 
 def _email_sql(dialect: str) -> str:
-    g = ", 'g'" if dialect == "duckdb" else ""
-    head = f"substr(regexp_replace(text, '{_WS}', ' '{g}), 1, 40)"
+    head = f"translate(substr(text, 1, 40), {LF} || {TAB} || chr(13), '   ')"
     ids = "cast(doc_id as string)"
     return f"""
 SELECT doc_id AS email_id, 'Person ' || {ids} AS from_name,
@@ -248,11 +249,13 @@ class Views:
         self.dir = sf_dir.rstrip("/")
 
     def t(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+        return spread(df) if name in TEXT_TABLES else df
 
     def sql(self, name: str) -> DataFrame:
         text = re.sub(r"@([a-z]+)", lambda m: f"parquet.`{self.dir}/{m.group(1)}.parquet`", _view_sql(name, "spark"))
-        return self.spark.sql(text)
+        df = self.spark.sql(text)
+        return spread(df) if any(f"@{t}" in _view_sql(name, "spark") for t in TEXT_TABLES) else df
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

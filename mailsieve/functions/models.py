@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -46,15 +47,12 @@ _WORD = re.compile(r"[a-z0-9]+")
 
 
 def hashed_words(texts: pd.Series, dim: int) -> list[list[float]]:
-    """Normalised bag of words; the slot of a word is its FNV-1a hash modulo ``dim``."""
+    """Normalised bag of words; the slot of a word is its CRC-32 modulo ``dim``."""
     out = []
     for t in texts:
         v = np.zeros(dim)
         for w in _WORD.findall((t or "").lower()):
-            h = 0xCBF29CE484222325
-            for b in w.encode():
-                h = ((h ^ b) * 0x100000001B3) & 0xFFFFFFFFFFFFFFFF
-            v[h % dim] += 1.0
+            v[zlib.crc32(w.encode()) % dim] += 1.0
         n = np.linalg.norm(v)
         out.append((v / n if n else v).tolist())
     return out

@@ -23,6 +23,8 @@ DISCLAIMER_LINE = (
     r"|unauthorized (review|disclosure))"
     r"|(This (e-)?mail|This message).*(confidential|intended only)"
 )
+# runs of blanks that are not already one space: single spaces are left alone instead of being rewritten
+BLANK_RUNS = r"[ \t]{2,}|\t"
 # fixed values: words never reported as a key topic
 TOPIC_STOPWORDS = (
     "the a an and or but in on at to for of with by from is are was were be been being this that these those there "
@@ -36,8 +38,8 @@ def blank(c: Column) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Remove whitespace of every kind at both ends."""
-    return F.regexp_replace(F.regexp_replace(c, r"^\s+", ""), r"\s+$", "")
+    """Remove whitespace of every kind at both ends (looks at the ends only, never at the whole text)."""
+    return F.btrim(c, F.lit(" \t\n\u000b\f\r"))
 
 
 def html_to_text(c: Column) -> Column:
@@ -57,12 +59,12 @@ def strip_unicode_noise(c: Column) -> Column:
 
 
 def normalize_ws(c: Column) -> Column:
-    s = F.regexp_replace(c, r"[ \t]+", " ")
+    s = F.regexp_replace(c, BLANK_RUNS, " ")
     return strip(F.regexp_replace(s, r"\n{3,}", "\n\n"))
 
 
 def collapse_ws(c: Column) -> Column:
-    return strip(F.regexp_replace(c, r"\s+", " "))
+    return strip(F.regexp_replace(c, r"\s{2,}|[^\S ]", " "))
 
 
 def extract_urls(c: Column) -> Column:
@@ -107,8 +109,9 @@ def quote_cut(lines: Column) -> Column:
 
 def tail_cut(lines: Column, pattern: str, window: int) -> Column:
     """Lines before the last line that matches within the final ``window`` lines (null: none does)."""
-    first = F.size(lines) - window
-    return F.array_max(_positions(lines, lambda l, i: (i >= first) & l.rlike(pattern)))
+    first = F.greatest(F.size(lines) - window, F.lit(0))
+    tail = F.slice(lines, first + 1, max(window, 1)) if window > 0 else F.array().cast("array<string>")
+    return first + F.array_max(_positions(tail, lambda l, i: l.rlike(pattern)))
 
 
 def signature_cut(lines: Column, window: int = 40) -> Column:
@@ -130,12 +133,8 @@ def est_tokens(c: Column, chars_per_token: float = 4.0) -> Column:
     return F.ceil(F.length(c) / F.lit(float(chars_per_token)))
 
 
-def words(c: Column) -> Column:
-    return F.filter(F.split(c, r"\s+"), lambda w: w != "")
-
-
 def word_count(c: Column) -> Column:
-    return F.size(words(c)).cast("long")
+    return F.regexp_count(c, F.lit(r"\S+")).cast("long")
 
 
 def language_flag(c: Column) -> Column:
@@ -204,7 +203,7 @@ def sanitize_pdf(c: Column) -> Column:
         (r"(\w)-\n(\w)", "$1$2"),
         (r"\r\n|\r", "\n"),
         (r"\n{3,}", "\n\n"),
-        (r"[ \t]+", " "),
+        (BLANK_RUNS, " "),
         (r"(?m)^[ \t]+|[ \t]+$", ""),
         (r"##(\w)", "## $1"),
         (r"(?m)\.\.+$", "..."),

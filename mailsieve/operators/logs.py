@@ -185,10 +185,10 @@ def facet_alerts(errors: str, confidence: str, contexts: str) -> Column:
 
 
 def trace_steps(logs: DataFrame, key: str = "correlation_id", ts: str = "ts", tie: str = "event_id") -> DataFrame:
-    """Time since the previous stage of the trace and wall time so far; hot traces split by hour."""
-    hour = scale.time_bucket(F.col(ts))
-    d = scale.previous_row(logs, [key], hour, [ts, tie], {"previous_action": "action", "__before": ts})
-    d = scale.cumulative_sum(d, [key], hour, [ts, tie], F.col("latency_ms"), "running_ms")
+    """Time since the previous stage of the trace and wall time so far; hot traces split by minute."""
+    minute = scale.time_bucket(F.col(ts), "minute")
+    d = scale.previous_row(logs, [key], minute, [ts, tie], {"previous_action": "action", "__before": ts})
+    d = scale.cumulative_sum(d, [key], minute, [ts, tie], F.col("latency_ms"), "running_ms")
     micros = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("__before").cast("timestamp"))
     return d.withColumn("delta_s", F.round(micros / 1e6, 3)).drop("__before")
 

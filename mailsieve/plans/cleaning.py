@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import re
+from collections import Counter
+from collections.abc import Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from mailsieve import scale
 from mailsieve.functions import ids
 from mailsieve.functions import text as X
 
@@ -120,31 +125,52 @@ def prepare_text(
     )
 
 
-def key_topics(df: DataFrame, doc: str, text: str, n: int = 5) -> DataFrame:
-    """Most frequent long words per document.
+_TOPIC_WORD = re.compile(r"[a-z0-9\-]{4,}")
+
+
+def _topics(text: str | None, n: int) -> list[dict]:
+    found = Counter(w for w in _TOPIC_WORD.findall((text or "").lower()) if w not in X.TOPIC_STOPWORDS)
+    best = sorted(found.items(), key=lambda wc: (-wc[1], wc[0]))[:n]
+    return [{"word": w, "n": c} for w, c in best]
 
-    Words are counted per (document, word) with map-side combine before anything is ranked.
+
+def with_topics(df: DataFrame, text: str, n: int = 5, out: str = "topics") -> DataFrame:
+    """Most frequent long words of each document as an array of (word, n).
+
+    A document is one row, so its words are counted where it is; a group-by would shuffle every
+    (document, word) pair of the corpus.
     """
-    found = F.explode(F.regexp_extract_all(F.lower(text), F.lit(r"[a-z0-9\-]+"), F.lit(0))).alias("word")
-    counts = (
-        df.select(doc, found)
-        .where((F.length("word") >= 4) & ~F.col("word").isin(X.TOPIC_STOPWORDS))
-        .groupBy(doc, "word").agg(F.count("*").alias("n"))
-    )
-    return scale.top_per_key(counts, [doc], [F.desc("n"), F.asc("word")], n)
+    kind = T.ArrayType(T.StructType([T.StructField("word", T.StringType()), T.StructField("n", T.LongType())]))
+
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in batches:
+            yield s.map(lambda t: _topics(t, n))
+
+    return df.withColumn(out, F.pandas_udf(count, kind)(F.col(text)))
+
+
+def key_topics(df: DataFrame, doc: str, text: str, n: int = 5) -> DataFrame:
+    """One row per document and topic, with its rank (ties: word ascending)."""
+    kind = df.schema[doc].dataType.simpleString()
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            rows = [
+                (d, t["word"], t["n"], i)
+                for d, body in zip(pdf[doc], pdf[text]) for i, t in enumerate(_topics(body, n), 1)
+            ]
+            yield pd.DataFrame(rows, columns=[doc, "word", "n", "rank"])
+
+    return df.select(doc, text).mapInPandas(count, f"{doc} {kind}, word string, n bigint, rank int")
 
 
 def document_metadata(df: DataFrame, doc: str, text: str, path: str, n_topics: int = 5) -> DataFrame:
-    """Ids, counts, language flag, summary and key topics per document."""
-    topics = key_topics(df, doc, text, n_topics).groupBy(doc).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("rank", "word"))), lambda x: x["word"]).alias("key_topics")
-    )
+    """Ids, counts, language flag, summary and key topics per document; a narrow plan without a shuffle."""
     c = F.col(text)
-    base = df.select(
+    d = with_topics(df.select(doc, text, path), text, n_topics)
+    return d.select(
         doc, ids.content_document_id(F.col(path), c).alias("document_id"), F.sha2(c, 256).alias("file_hash"),
         X.word_count(c).alias("word_count"), F.length(c).cast("long").alias("character_count"),
         X.est_tokens(c).alias("estimated_tokens"), X.language_flag(c).alias("language"), X.summary(c).alias("summary"),
-    )
-    return base.join(topics, doc, "left").withColumn(
-        "key_topics", F.coalesce("key_topics", F.array().cast("array<string>"))
+        F.col("topics.word").alias("key_topics"),
     )

@@ -10,21 +10,29 @@ from mailsieve.functions.text import strip
 from mailsieve.schemas import LOG_ROW
 
 MAX_TEMPLATES = 2000
+SPREAD_BELOW = 1 << 30
+
+
+def spread(df: DataFrame, below: int = SPREAD_BELOW) -> DataFrame:
+    """Round-robin a small input over all cores before heavy per-row work.
+
+    A small file is one row group and so one task, whatever the cluster.  The size check leaves large
+    inputs, which already have far more splits than cores, without the extra shuffle.
+    """
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) >= below:
+        return df
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def resolve_template(
     templates: DataFrame, selections: DataFrame, pick: str, value_field: str | None = None, record_id: str = "record_id",
 ) -> DataFrame:
-    """Template per selection, by a value field (its first record wins) or by record id.
-
-    The template table is read up to its fixed bound, so its broadcast is bounded too.
-    """
+    """Template per selection, by a value field (its first record wins) or by record id."""
     key = value_field or record_id
-    firsts = templates.groupBy(key).agg(
-        F.min_by(F.struct(*[c for c in templates.columns if c != key]), F.col(record_id)).alias("__t")
-    ).limit(MAX_TEMPLATES).select(F.col(key).alias("__key"), F.col("__t"))
-    joined = selections.join(F.broadcast(firsts), selections[pick] == firsts["__key"], "left")
     rest = [c for c in templates.columns if c != key]
+    firsts = templates.groupBy(F.col(key).alias("__key")).agg(F.min_by(F.struct(*rest), F.col(record_id)).alias("__t"))
+    joined = selections.join(firsts, selections[pick] == firsts["__key"], "left")
     return joined.select(*selections.columns, F.col("__key").alias(key), *[F.col(f"__t.{c}").alias(c) for c in rest])
 
 
