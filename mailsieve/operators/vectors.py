@@ -159,7 +159,11 @@ def retrieve(
     min_similarity: float | None = None, max_distance: float | None = None, ids: Sequence | None = None,
     query_id: str = "query_id", corpus_id: str = "vec_id", carry: Sequence[str] = (), on_empty: str = "empty",
 ) -> DataFrame:
-    """Top-k retrieval under a similarity floor or a distance ceiling (never both)."""
+    """Top-k retrieval under a similarity floor or a distance ceiling (never both).
+
+    A query without hits stays absent (``empty``), gets one row without an id (``placeholder``) or fails
+    the job (``error``).
+    """
     if min_similarity is not None and max_distance is not None:
         raise ValueError("give a similarity floor or a distance ceiling, not both")
     k, floor = RETRIEVAL_PRESETS[preset]
@@ -170,9 +174,12 @@ def retrieve(
         hits = hits.where(1.0 - F.col("score") <= max_distance)
     else:
         hits = hits.where(F.col("score") >= (floor if min_similarity is None else min_similarity))
-    if on_empty == "placeholder":
+    if on_empty in ("placeholder", "error"):
         missing = queries.select(query_id).join(hits.select(query_id).distinct(), query_id, "left_anti")
-        hits = hits.unionByName(missing.withColumn("score", F.lit(0.0)), allowMissingColumns=True)
+        score = F.lit(0.0)
+        if on_empty == "error":
+            score = F.raise_error(F.concat(F.lit("nothing retrieved for "), F.col(query_id).cast("string"))).cast("double")
+        hits = hits.unionByName(missing.withColumn("score", score), allowMissingColumns=True)
     return hits
 
 

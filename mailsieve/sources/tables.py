@@ -19,6 +19,8 @@ def spread(df: DataFrame, below: int = SPREAD_BELOW) -> DataFrame:
     A small file is one row group and so one task, whatever the cluster.  The size check leaves large
     inputs, which already have far more splits than cores, without the extra shuffle.
     """
+    if not hasattr(df, "_jdf"):
+        return df
     size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     if int(str(size)) >= below:
         return df

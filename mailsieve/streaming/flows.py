@@ -7,7 +7,7 @@ end of the available input into a parquet sink with a checkpoint in the shared s
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -69,37 +69,42 @@ def stream_traces(logs: DataFrame, key: str, gap: str = "30 minutes", watermark:
     return s.select(key, F.col("s.start").alias("start"), F.col("s.end").alias("end"), "stages", "total_ms")
 
 
-def _keyed(
-    stream: DataFrame, key: str, out: T.StructType, state: T.StructType,
-    step: Callable[[pd.DataFrame, tuple | None], tuple[pd.DataFrame, tuple]],
-) -> DataFrame:
-    """Stateful pass per key: ``step(rows in time order, state)`` returns output rows and the new state."""
-
-    def run(k, parts: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(parts)).sort_values(["t", "tie"], ignore_index=True)
-        found, new = step(rows, held.get if held.exists else None)
-        held.update(new)
-        yield found.assign(**{key: k[0]})[out.names]
-
-    return stream.groupBy(key).applyInPandasWithState(run, out, state, "append", GroupStateTimeout.NoTimeout)
+def _rows(parts: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    """One key's rows of a micro-batch (bounded by the trigger limit) in time order."""
+    return pd.concat(list(parts)).sort_values(["t", "tie"], ignore_index=True)
 
 
-def stream_dedupe(alerts: DataFrame, key: str, ttl_seconds: int, ts: str = "ts", tie: str = "event_id") -> DataFrame:
-    """Alerts that fire: the first of a key, then the first at least ``ttl`` after the last that fired."""
-    thin = alerts.select(key, F.unix_micros(F.col(ts).cast("timestamp")).alias("t"), F.col(tie).alias("tie"))
-    out = T.StructType([thin.schema[key], T.StructField("tie", T.LongType())])
+def stream_dedupe(
+    alerts: DataFrame, key: str, ttl_seconds: int, ts: str = "ts", tie: str = "event_id", watermark: str = "1 hour"
+) -> DataFrame:
+    """Alerts that fire: the first of a key, then the first at least ``ttl`` after the last that fired.
+
+    The state of a key is its last firing time.  It expires once the watermark is past firing time plus
+    ``ttl``: from then on the next alert fires with or without it, so state stays as small as the set of
+    recently active keys.
+    """
+    thin = alerts.withWatermark(ts, watermark).select(
+        key, ts, F.unix_micros(F.col(ts).cast("timestamp")).alias("t"), F.col(tie).alias("tie")
+    )
+    out = T.StructType([thin.schema[key], T.StructField(tie, T.LongType())])
     state = T.StructType([T.StructField("last", T.LongType())])
     ttl = ttl_seconds * 1_000_000
 
-    def step(rows: pd.DataFrame, held):
-        last, fired = (held[0] if held else None), []
+    def run(k, parts: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        if held.hasTimedOut:
+            held.remove()
+            return
+        rows = _rows(parts)
+        last, fired = (held.get[0] if held.exists else None), []
         for i, t in enumerate(rows["t"].to_numpy()):
             if last is None or t - last >= ttl:
                 last = int(t)
                 fired.append(i)
-        return rows.iloc[fired], (last,)
+        held.update((last,))
+        held.setTimeoutTimestamp(max((last + ttl) // 1000, held.getCurrentWatermarkMs() + 1))
+        yield rows.iloc[fired][["tie"]].rename(columns={"tie": tie}).assign(**{key: k[0]})[out.names]
 
-    return _keyed(thin, key, out, state, step).withColumnRenamed("tie", tie)
+    return thin.groupBy(key).applyInPandasWithState(run, out, state, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_debounce(runs: DataFrame, key: str, gap_seconds: int, ts: str = "ts", tie: str = "event_id") -> DataFrame:
@@ -119,10 +124,10 @@ def stream_spikes(events: DataFrame, key: str, unit: str = "hour", alpha: float
         T.StructField("bucket", T.LongType()), T.StructField("n", T.LongType()), T.StructField("ewma", T.DoubleType()),
     ])
 
-    def step(rows: pd.DataFrame, held):
-        bucket, n, mean = held if held else (None, 0, None)
+    def run(key_, parts: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
+        bucket, n, mean = held.get if held.exists else (None, 0, None)
         closed = []
-        for t_, c in rows.groupby("t").size().items():
+        for t_, c in _rows(parts).groupby("t").size().items():
             if bucket is not None and t_ > bucket:
                 new = float(n) if mean is None else alpha * n + (1 - alpha) * mean
                 closed.append((bucket, n, new, mean is not None and n > k * mean))
@@ -131,9 +136,11 @@ def stream_spikes(events: DataFrame, key: str, unit: str = "hour", alpha: float
                 bucket, n = int(t_), int(c)
             else:
                 n += int(c)
-        return pd.DataFrame(closed, columns=["bucket", "n", "ewma", "is_spike"]), (bucket, n, mean)
+        held.update((bucket, n, mean))
+        rows = pd.DataFrame(closed, columns=["bucket", "n", "ewma", "is_spike"])
+        yield rows.assign(**{key: key_[0]})[out.names]
 
-    return _keyed(thin, key, out, state, step)
+    return thin.groupBy(key).applyInPandasWithState(run, out, state, "append", GroupStateTimeout.NoTimeout)
 
 
 def stream_reindex(snapshots: DataFrame, store: str, out: str, key: str = "doc_id") -> DataFrame:
