@@ -99,3 +99,34 @@ def citation_confidence(df: DataFrame, by: str, order: str, k: int = 3, score: s
     return top.groupBy(by).agg(
         F.round(F.least(F.greatest(F.avg(score), F.lit(0.0)), F.lit(1.0)), 4).alias("confidence")
     )
+
+
+# --- the same over an array column: one row per query, nothing shuffles --------------------------
+
+
+def _total(a: Column) -> Column:
+    return F.aggregate(a, F.lit(0.0), lambda s, x: s + x)
+
+
+def array_probs(weights: Column, min_prob: float = 0.0) -> Column:
+    """Array of weights to probabilities, with the floor on positive shares."""
+
+    def shares(a: Column) -> Column:
+        total = F.when(_total(a) <= 0, 1.0).otherwise(_total(a))
+        return F.transform(a, lambda x: to_probability(x, total))
+
+    p = shares(weights)
+    if min_prob > 0:
+        p = shares(F.transform(p, lambda x: F.when(x > 0, F.greatest(x, F.lit(min_prob))).otherwise(x)))
+    return p
+
+
+def array_stats(probs: Column) -> Column:
+    """Struct of entropy, extremes, concentration and size of an array of probabilities."""
+    h = _total(F.transform(probs, lambda p: F.when(p > 0, -p * F.log(p)).otherwise(0.0)))
+    n = F.size(probs)
+    conc = F.when((n > 1) & (h > 0), F.round(1.0 - h / F.log(n.cast("double")), 4)).otherwise(0.0)
+    return F.struct(
+        F.round(h, 4).alias("entropy"), F.round(F.array_max(probs), 6).alias("max_prob"),
+        F.round(F.array_min(probs), 6).alias("min_prob"), conc.alias("concentration"), n.alias("n"),
+    )

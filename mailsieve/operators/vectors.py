@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailsieve import scale
+from mailsieve.session import cut_lineage
 
 # queries (or categories) up to this many travel to the corpus tasks; larger sets are joined in blocks
 QUERY_CAP = 4096
@@ -99,7 +100,7 @@ def _top_rows(qids, qmat, part: pd.DataFrame, corpus_id: str, k: int, held: dict
 
 def nearest(
     queries: DataFrame, corpus: DataFrame, k: int, query_id: str, corpus_id: str, vector: str = "embedding",
-    carry: Sequence[str] = (), query_cap: int = QUERY_CAP,
+    carry: Sequence[str] = (), query_cap: int = QUERY_CAP, keep_hits: bool = True,
 ) -> DataFrame:
     """Exact cosine top-``k`` of ``corpus`` for every query: (query_id, corpus_id, carry…, score, rank).
 
@@ -107,6 +108,9 @@ def nearest(
     vectors, and each task emits at most ``k`` rows per query.  A larger batch is joined block by block:
     corpus rows are hashed into blocks, queries are repeated per block, and each block pair is scored as
     a matrix product.  Neither path forms a row per (query, vector) pair.
+
+    ``keep_hits`` writes the hits (at most ``k`` per query) to the scratch folder: later steps read them
+    several times, and each reading would otherwise scan the corpus again.
     """
     keep = [corpus_id, *carry]
     schema = T.StructType(
@@ -151,7 +155,8 @@ def nearest(
             return emit(held)
 
         local = left.groupBy("__cb", "__qb").cogroup(right.groupBy("__cb", "__qb")).applyInPandas(pair, schema)
-    return scale.top_per_key(local, [query_id], [F.desc("score"), F.col(corpus_id)], k)
+    hits = scale.top_per_key(local, [query_id], [F.desc("score"), F.col(corpus_id)], k)
+    return cut_lineage(hits) if keep_hits else hits
 
 
 def retrieve(
@@ -183,13 +188,12 @@ def retrieve(
     return hits
 
 
-def score_categories(
+def category_arrays(
     emails: DataFrame, categories: DataFrame, email_id: str, vector: str = "embedding", name: str = "category"
 ) -> DataFrame:
-    """Cosine and score ``(cos + 1) / 2`` of every e-mail vector against every category, best first.
+    """(email_id, scores): categories with their cosines, best first, as one array per e-mail.
 
-    Categories are a configured list (checked against ``QUERY_CAP``); each e-mail stays one row until the
-    final explode, and nothing shuffles.
+    Categories are a configured list (checked against ``QUERY_CAP``); nothing shuffles.
     """
     cats = categories.select(name, F.col(vector).alias("__vec")).limit(QUERY_CAP + 1).toPandas()
     if len(cats) > QUERY_CAP:
@@ -211,11 +215,22 @@ def score_categories(
             ranked = [[{"category": names[j], "cosine": float(row[j])} for j in o] for row, o in zip(cos, order)]
             yield pd.DataFrame({email_id: part[email_id], "scores": ranked})
 
-    packed = emails.select(email_id, F.col(vector).alias("__vec")).mapInPandas(scan, schema)
+    return emails.select(email_id, F.col(vector).alias("__vec")).mapInPandas(scan, schema)
+
+
+def category_score(cosine: Column) -> Column:
+    return F.round((cosine + 1.0) / 2.0, 6)
+
+
+def score_categories(
+    emails: DataFrame, categories: DataFrame, email_id: str, vector: str = "embedding", name: str = "category"
+) -> DataFrame:
+    """One row per e-mail and category: cosine, score ``(cos + 1) / 2`` and rank."""
+    packed = category_arrays(emails, categories, email_id, vector, name)
     out = packed.select(email_id, F.posexplode("scores").alias("pos", "s"))
     return out.select(
         email_id, F.col("s.category").alias("category"), F.round("s.cosine", 6).alias("cosine"),
-        F.round((F.col("s.cosine") + 1.0) / 2.0, 6).alias("score"), (F.col("pos") + 1).alias("rank"),
+        category_score(F.col("s.cosine")).alias("score"), (F.col("pos") + 1).alias("rank"),
     )
 
 

@@ -20,6 +20,7 @@ from mailsieve.operators import triage as TR
 from mailsieve.operators import vectors as V
 from mailsieve.operators.chunking import split_valid
 from mailsieve.operators.rules import RulePack
+from mailsieve.session import cut_lineage
 
 ANSWER = T.StructType([
     T.StructField("answer", T.StringType()),
@@ -47,14 +48,22 @@ def categorize(
     emails: DataFrame, categories: DataFrame, email_id: str, k: int = 3, min_prob: float = 0.01, fallback: str = "Other",
     preset: str | float = "balanced", name: str = "category",
 ) -> DataFrame:
-    """Shortlist by vector, distribution over the shortlist, then the referee gate: one row per e-mail."""
-    scores = V.score_categories(emails, categories, email_id, name=name)
-    short = V.shortlist(scores, email_id, k)
-    dist = D.normalize_probs(scores.where(F.col("rank") <= k), email_id, "score", min_prob)
-    best = dist.groupBy(email_id).agg(
-        F.max_by("category", F.struct("prob", -F.col("rank"))).alias("category"), F.max("prob").alias("confidence")
+    """Shortlist by vector, distribution over the shortlist, then the referee gate: one row per e-mail.
+
+    Everything after the scoring works on the arrays of the e-mail's own row, so nothing shuffles.
+    """
+    top = V.category_arrays(emails, categories, email_id, name=name).select(
+        email_id, F.slice("scores", 1, max(k, 1)).alias("__top")
     )
-    d = short.join(best, email_id).join(D.distribution_stats(dist, email_id, "prob").drop("n"), email_id)
+    weights = F.transform("__top", lambda s: V.category_score(s["cosine"]))
+    d = top.withColumn("__w", weights).withColumn("__p", D.array_probs(F.col("__w"), min_prob))
+    d = d.withColumn("confidence", F.array_max("__p"))
+    d = d.select(
+        email_id, F.col("__top.category").alias("shortlist"), F.array_max("__w").alias("top_score"),
+        (F.array_max("__w") < 0.5).alias("low_confidence"),
+        F.element_at("__top", F.array_position("__p", F.col("confidence")).cast("int"))["category"].alias("category"),
+        "confidence", D.array_stats(F.col("__p")).alias("__s"),
+    ).select("*", "__s.*").drop("__s", "n")
     allowed = [r[name] for r in categories.select(name).limit(V.QUERY_CAP).collect()]
     return TR.referee_gate(d, allowed, preset, fallback)
 
@@ -92,12 +101,16 @@ def rank_contexts(
     records: DataFrame, by: str, query: str, category: str, weights: str | tuple[float, float] = "balanced",
     max_scored: int = 50, top_n: int | None = None, scorer=None,
 ) -> Ranked:
-    """Score the first ``max_scored`` records of each query, mix, rank, cut, and describe the outcome."""
+    """Score the first ``max_scored`` records of each query, mix, rank, cut, and describe the outcome.
+
+    The scores are written once (at most ``max_scored`` thin rows per query): a model must not run again
+    for every result that reads them.
+    """
     valid, _ = split_valid(records, ["id", "text"])
     first = scale.top_per_key(valid, [by], [F.col("rnk")], max_scored, "__first").drop("__first")
     scored = models.score(first, query, "text", "relevance", scorer)
     scored = scored.select(by, "id", "relevance", models.lexical_alignment(F.col(category), F.col("text")).alias("alignment"))
-    merged = C.merge_scores(valid, scored, [by, "id"], weights)
+    merged = C.merge_scores(valid, cut_lineage(scored), [by, "id"], weights)
     ranked = C.rank_records(merged, by)
     if top_n:
         ranked = ranked.where(F.col("rank") <= top_n)
