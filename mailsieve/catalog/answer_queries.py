@@ -54,7 +54,7 @@ h AS (SELECT r.query_id, r.vec_id, r.score, d.lang FROM r JOIN documents d ON d.
 SELECT query_id, count(*) AS contexts_count, count(*) FILTER (lang <> 'de') AS success_count, count(*) FILTER (lang = 'de') AS error_count,
   count(*) FILTER (lang <> 'de' AND vec_id % 3 = 0) AS pdf_contexts_count, count(*) FILTER (lang = 'de') > 0 AS partial_failure, count(*) FILTER (lang <> 'de') AS kept FROM h GROUP BY 1""")
 def _(v):
-    docs = v.t("documents")
+    docs = v.raw("documents")
     corpus = v.t("embeddings").withColumn("doc_id", F.col("vec_id") % docs.agg(F.count("*")).scalar())
     texts = docs.select("doc_id", F.when(F.col("lang") != "de", F.col("text")).alias("text"))
     uri = F.concat(F.lit("gs://b/"), F.col("vec_id").cast("string"), F.when(F.col("vec_id") % 3 == 0, ".pdf").otherwise(".txt"))

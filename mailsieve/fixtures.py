@@ -13,6 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mailsieve.session import ship_package
 from mailsieve.sources.tables import spread
 
 TEXT_TABLES = ("documents", "pages", "conversations")
@@ -245,12 +246,16 @@ class Views:
     """Given tables and derived views of one scale-factor folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        ship_package(spark)
         self.spark = spark
         self.dir = sf_dir.rstrip("/")
 
+    def raw(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
+
     def t(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.dir}/{name}.parquet")
-        return spread(df) if name in TEXT_TABLES else df
+        """Given table; text tables are dealt out over the cores when they are small."""
+        return spread(self.raw(name)) if name in TEXT_TABLES else self.raw(name)
 
     def sql(self, name: str) -> DataFrame:
         text = re.sub(r"@([a-z]+)", lambda m: f"parquet.`{self.dir}/{m.group(1)}.parquet`", _view_sql(name, "spark"))
@@ -292,8 +297,8 @@ class Views:
             self.t("embeddings").select("vec_id", "embedding", "label"),
             k=50, query_id="query_id", corpus_id="vec_id", carry=["label"],
         )
-        docs = self.t("documents").select("doc_id", "text", "source")
-        n_docs = self.t("documents").agg(F.count("*")).scalar()
+        docs = self.raw("documents").select("doc_id", "text", "source")
+        n_docs = self.raw("documents").agg(F.count("*")).scalar()
         h = hits.withColumn("doc_id", F.col("vec_id") % n_docs)
         vid = F.col("vec_id").cast("string")
         return h.join(docs, "doc_id").select(

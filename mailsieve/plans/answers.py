@@ -103,20 +103,21 @@ def rank_contexts(
 ) -> Ranked:
     """Score the first ``max_scored`` records of each query, mix, rank, cut, and describe the outcome.
 
-    The scores are written once (at most ``max_scored`` thin rows per query): a model must not run again
-    for every result that reads them.
+    The mixed scores are written once as thin rows (query, id, scores): the results all read them, and
+    neither the model nor the text scan runs again for each.
     """
     valid, _ = split_valid(records, ["id", "text"])
     first = scale.top_per_key(valid, [by], [F.col("rnk")], max_scored, "__first").drop("__first")
     scored = models.score(first, query, "text", "relevance", scorer)
     scored = scored.select(by, "id", "relevance", models.lexical_alignment(F.col(category), F.col("text")).alias("alignment"))
-    merged = C.merge_scores(valid, cut_lineage(scored), [by, "id"], weights)
-    ranked = C.rank_records(merged, by)
+    merged = C.merge_scores(valid.select(by, "id"), scored, [by, "id"], weights)
+    ranked = C.rank_records(cut_lineage(merged), by)
     if top_n:
         ranked = ranked.where(F.col("rank") <= top_n)
     dist = D.score_probs(ranked, by, "score")
     stats = D.distribution_stats(dist, by, "probability").join(D.coverage_signal(ranked, by), by)
-    return Ranked(ranked, dist.select(by, "id", "probability", F.round("score", 6).alias("score")), stats)
+    full = ranked.join(valid.drop("score"), [by, "id"])
+    return Ranked(full, dist.select(by, "id", "probability", F.round("score", 6).alias("score")), stats)
 
 
 def build_requests(

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 def build_session(app: str = "mailsieve", cpus: int | None = None, memory: str = "16g") -> SparkSession:
     """Local session for tests and benchmarks; a cluster brings its own session."""
     n = cpus or os.cpu_count() or 4
-    return (
+    spark = (
         SparkSession.builder.master(f"local[{n}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(n))
@@ -25,6 +27,8 @@ def build_session(app: str = "mailsieve", cpus: int | None = None, memory: str =
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
+    ship_package(spark)
+    return spark
 
 
 def scratch_dir(spark: SparkSession) -> str:
@@ -50,3 +54,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = f"{scratch_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application, wherever the driver was started.
+
+    Needed only when the package is not installed on the executors.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_mailsieve_shipped", False):
+        return
+    package = Path(__file__).resolve().parent
+    base = Path(tempfile.mkdtemp(prefix="mailsieve-pkg-")) / "mailsieve"
+    sc.addPyFile(shutil.make_archive(str(base), "zip", package.parent, package.name))
+    sc._mailsieve_shipped = True
