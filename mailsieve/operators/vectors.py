@@ -38,8 +38,8 @@ def norm(a: Column) -> Column:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    m = norm(a) * norm(b)
-    return F.when(m > 0, F.greatest(F.least(dot(a, b) / m, F.lit(1.0)), F.lit(-1.0))).otherwise(0.0)
+    c = F.coalesce(F.try_divide(dot(a, b), norm(a) * norm(b)), F.lit(0.0))
+    return F.greatest(F.least(c, F.lit(1.0)), F.lit(-1.0))
 
 
 def similarity(a: Column, b: Column, kind: str = "cosine", normalize: bool = True, threshold: float = 0.7) -> Column:
@@ -60,13 +60,18 @@ def similarity(a: Column, b: Column, kind: str = "cosine", normalize: bool = Tru
     )
     if kind == "dot_product" and not normalize:
         error = error.otherwise("dot product without normalization has no threshold")
-    score = F.when(error.isNull(), score)
-    percent = F.round(score * 100, 2) if kind in ("cosine", "euclidean") else F.lit(None).cast("double")
-    level = F.when(score.between(0.8, 1.0), "high").when(score.between(0.6, 0.8), "medium").otherwise("low")
-    return F.struct(
-        F.round(score, 6).alias("score"), percent.alias("percentage"), (score >= threshold).alias("is_similar"),
-        F.when(error.isNull(), level).alias("level"), error.alias("error"),
-    )
+    fine = error.isNull()
+
+    def describe(x: Column) -> Column:
+        percent = F.round(x * 100, 2) if kind in ("cosine", "euclidean") else F.lit(None).cast("double")
+        level = F.when(x.between(0.8, 1.0), "high").when(x.between(0.6, 0.8), "medium").otherwise("low")
+        return F.struct(
+            F.round(x, 6).alias("score"), percent.alias("percentage"), (x >= threshold).alias("is_similar"),
+            F.when(fine, level).alias("level"), error.alias("error"),
+        )
+
+    # a one-element array binds the score, so the vectors are walked once
+    return F.transform(F.array(F.when(fine, score)), describe)[0]
 
 
 def _unit(rows: pd.Series) -> np.ndarray:
