@@ -2,19 +2,53 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from mailsieve.llm import bpe, langid, licenses, quality, secrets
+from mailsieve.llm.decontaminate import contamination
 from mailsieve.llm.near_dup import near_duplicates
 
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_ppm_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.fit(docs))
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.find_licenses(_table(spark, sf_dir, "documents"))
+
+
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.round_trip_digest(_table(spark, sf_dir, "documents"), RANKS, PATTERN)
+
+
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.secret_digest(_table(spark, sf_dir, "documents"))
+
+
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
+def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return quality.quality_scores(docs, quality.fit(docs, _table(spark, sf_dir, "labels")))
+
+
 def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
-QUERIES = {f.__name__: f for f in (op10_minhash_near_dedup,)}
+QUERIES = {f.__name__: f for f in (
+    op2_ppm_language_id, op3_license_scan, op4_byte_bpe, op5_secret_scan, op6_decontamination, op7_quality_rules,
+    op10_minhash_near_dedup,
+)}
 
 ORACLES: dict[str, str] = {}
