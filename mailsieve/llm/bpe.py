@@ -145,7 +145,7 @@ class Coder:
 _CODERS: dict[tuple[int, str], Coder] = {}
 
 
-def _coder(ranks: bytes, pattern: str) -> Coder:
+def coder_for(ranks: bytes, pattern: str) -> Coder:
     """One coder for each vocabulary in a Python worker."""
     key = (hash(ranks), pattern)
     if key not in _CODERS:
@@ -161,7 +161,7 @@ def _map_column(df: DataFrame, source: str, target: str, kind: str, ranks: str,
     at = names.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = getattr(_coder(shared.value, pattern), work)
+        one = getattr(coder_for(shared.value, pattern), work)
         for batch in batches:
             for part in slices(batch, names[at]):
                 made = [None if x is None else one(x) for x in part.column(at).to_pylist()]
