@@ -4,20 +4,54 @@ from __future__ import annotations
 
 import uuid
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from mailsieve.llm import bpe, quality
+from mailsieve.llm.decontaminate import decontaminate
 from mailsieve.llm.near_dup import deduplicate
+from mailsieve.llm.secrets import remove_secrets
 from mailsieve.session import scratch_dir
 
+RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
-def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return deduplicate(docs)
 
+def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality model, fitted on ``labels``, does not reject."""
+    model = quality.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.keep_good(docs, model)
 
-STAGES = [("minhash_near_dedup", near_duplicates)]
 
-#: The stages are learned, hashed or byte-level: no SQL.
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies (five words, similarity of 0.8 or more)."""
+    return deduplicate(docs, percent=80)
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window of ``benchmark``."""
+    return decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, secrets in their texts replaced."""
+    return remove_secrets(docs)
+
+
+def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of every document, with a digest of what they decode to; a null text has null ids."""
+    coded = bpe.decode(bpe.encode(docs, RANKS, PATTERN).drop("text"), RANKS, PATTERN)
+    return coded.select(
+        "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
+        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [
+    ("quality_classifier", keep_good), ("minhash_near_dedup", drop_near_copies),
+    ("benchmark_decontamination", drop_contaminated), ("secret_scans", redact), ("byte_bpe", tokenize),
+]
+
+#: A learned score and merges by rank: no SQL.  The tests hold every stage against a brute-force version.
 ORACLE_SQL = None
 
 
