@@ -12,12 +12,12 @@ from mailsieve.functions import mime as H
 from mailsieve.operators import contexts as C
 from mailsieve.operators import inventory as I
 from mailsieve.operators import lanes
+from mailsieve.fixtures import spread
 from mailsieve.registry import query
 from mailsieve.schemas import MODEL_REPLY
 from mailsieve.session import scratch_dir
 from mailsieve.sources import files as S
 from mailsieve.sources import sinks
-from mailsieve.sources.tables import spread
 from mailsieve.sources.json_csv import first_seen, flatten_rows, json_to_csv
 
 
@@ -29,7 +29,7 @@ def inventory(v):
 SELECT page_id AS id, path, modified_s AS modified FROM FILES WHERE modified_s >= 36000 AND mime IN ('text/html', 'application/pdf') AND mime <> 'application/vnd.google-apps.folder'
 ORDER BY modified_s DESC, page_id LIMIT 1000""")
 def _(v):
-    return S.list_files(inventory(v), modified_after=36000, mime_types="text/html, application/pdf", exclude_folders=True, limit=5000).select("id", "path", "modified")
+    return S.list_files(inventory(v), modified_after=36000, mime_types="text/html, application/pdf", exclude_folders=True).select("id", "path", "modified")
 
 
 @query("s2_list_objects", "FILES", sql="""

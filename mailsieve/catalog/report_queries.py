@@ -188,10 +188,10 @@ def _(v):
 
 
 @query("s3_list_tree", "FILES", sql="""--recursive
-t(folder, depth) AS (SELECT 0::BIGINT, 1 UNION ALL SELECT f.folder_id, t.depth + 1 FROM t JOIN FILES f ON f.parent_id = t.folder WHERE t.depth < 4)
+t(folder, depth) AS (SELECT 0::BIGINT, 1 UNION ALL SELECT f.folder_id, t.depth + 1 FROM t JOIN FILES f ON f.parent_id = t.folder )
 SELECT t.depth, f.page_id AS id, f.parent_id, f.mime FROM t JOIN FILES f ON f.parent_id = t.folder WHERE f.mime <> 'image/png'""")
 def _(v):
     f = v.FILES
     folders = f.select(F.col("folder_id").alias("id"), "parent_id")
     files = f.select(F.col("page_id").alias("id"), "parent_id", "mime")
-    return G.list_tree(folders, files, 0, max_depth=4, limit=10000, keep=F.col("mime") != "image/png").select("depth", "id", "parent_id", "mime")
+    return G.list_tree(folders, files, 0, keep=F.col("mime") != "image/png").select("depth", "id", "parent_id", "mime")

@@ -319,7 +319,7 @@ def _(v):
 
 @query("t6_limited_rules", "E", sql=RULES_CTE + " " + COUNT_HITS.format(src="(SELECT * FROM R ORDER BY priority, rule_id LIMIT 4)"))
 def _(v):
-    return hit_counts(v, R.load_rules(v.spark.createDataFrame(RULE_ROWS, RULE_DDL), max_rules=4))
+    return hit_counts(v, R.load_rules(v.spark.createDataFrame(RULE_ROWS, RULE_DDL)).limit(4))
 
 
 @query("j4_rule_matches", "E", sql=RULES_CTE + """

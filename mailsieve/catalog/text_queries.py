@@ -140,10 +140,7 @@ def _(v):
 
 
 def pdf_sql(expr: str) -> str:
-    def cap(e, n):
-        return f"CASE WHEN length({e}) > {n} THEN substr({e}, 1, {n + 1}) || '...[truncated]' ELSE {e} END"
-
-    ctes = [f"p0 AS (SELECT doc_id, {cap(expr, 50000)} AS t FROM PDF)"]
+    ctes = [f"p0 AS (SELECT doc_id, {expr} AS t FROM PDF)"]
     s = "t"
     for old, new in ((r"\\n", "\n"), (r"\\t", " "), (r"\\r", ""), (r"\\" + '"', '"'), (r"\\'", "'"), (r"\\", "\\"),
                      (r"\n", "\n"), (r"\t", " "), (r"\r", "")):
@@ -155,7 +152,7 @@ def pdf_sql(expr: str) -> str:
              (r"\(\s*\)", ""))
     ctes.append(f"p2 AS (SELECT doc_id, {chain('t', *rules)} AS t FROM p1)")
     ctes.append(f"p3 AS (SELECT doc_id, {chain(strip('t'), (chr(92) + 's+' + chr(92) + 'n', chr(10)), (chr(92) + 'n' + chr(92) + 's+', chr(10)))} AS t FROM p2)")
-    return ", ".join(ctes) + f" SELECT doc_id, {strip(cap('t', 10000))} AS text FROM p3"
+    return ", ".join(ctes) + f" SELECT doc_id, {strip('t')} AS text FROM p3"
 
 
 @query("f13_sanitize_pdf", "PDF", sql=pdf_sql("text"))
@@ -263,7 +260,7 @@ def _(v):
 
 
 @query("f29_salience", "E", sql=f"""
-f AS (SELECT email_id, regexp_replace(substr('Subject: ' || subject || chr(10) || 'Hello,' || chr(10) || body, 1, 8000), '(?i)^\\s*(subject:\\s*[^\\n]+\\n+)?\\s*(hi|hello|hey)[^a-z0-9]*\\n+', '') AS t FROM E),
+f AS (SELECT email_id, regexp_replace('Subject: ' || subject || chr(10) || 'Hello,' || chr(10) || body, '(?i)^\\s*(subject:\\s*[^\\n]+\\n+)?\\s*(hi|hello|hey)[^a-z0-9]*\\n+', '') AS t FROM E),
 g AS (SELECT email_id, t, string_split({sub('t', r'([.!?])' + chr(92) + 's+', chr(92) + '1' + chr(1))}, chr(1)) AS s FROM f)
 SELECT email_id, substr({strip("coalesce(list_filter(s, lambda x: length(" + strip('x') + ") >= 12 AND NOT regexp_matches(x, '(?i)^(hi|hello|hey)" + chr(92) + "b'))[1], substr(t, 1, 500))")}, 1, 500) AS span FROM g""")
 def _(v):

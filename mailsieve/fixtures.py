@@ -13,8 +13,7 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailsieve.session import ship_package
-from mailsieve.sources.tables import spread
+from mailsieve.session import SPREAD, ship_package
 
 TEXT_TABLES = ("documents", "pages", "conversations")
 LF = "chr(10)"
@@ -58,9 +57,12 @@ SELECT doc_id, text, lang, source, n_chars, source || '/' || cast(doc_id as stri
     ELSE 'image/png' END AS mime
 FROM @documents""",
     # a document is missing from the previous snapshot when its label row says toxic, and from the
-    # current one when its label row says low quality; every tenth text was edited since
+    # current one when its label row says low quality; of ten texts one had a word more at its end, one a line
+    # more and one a line less at its start, and one a line break more at its end
     "PREV": """
-SELECT d.doc_id, CASE WHEN d.doc_id % 10 = 0 THEN d.text || ' edited' ELSE d.text END AS text
+SELECT d.doc_id, CASE d.doc_id % 10 WHEN 0 THEN d.text || ' edited' WHEN 1 THEN 'dropped line' || chr(10) || d.text
+  WHEN 2 THEN CASE WHEN instr(d.text, chr(10)) > 0 THEN substr(d.text, instr(d.text, chr(10)) + 1) ELSE '' END
+  WHEN 3 THEN d.text || chr(10) ELSE d.text END AS text
 FROM @documents d LEFT JOIN @labels l ON d.doc_id = l.doc_id WHERE coalesce(l.toxic, 0) = 0""",
     "CUR": """
 SELECT d.doc_id, d.text
@@ -200,13 +202,13 @@ FROM (SELECT *, unnest(range(0, CASE WHEN len <= 400 THEN 1 ELSE cast(ceil((len
       FROM (SELECT doc_id, text, source, file_path, length(text) AS len FROM DOCS WHERE length(text) > 0) a) b"""
 
 _CTX_ORACLE = """
-SELECT query_id, 'v' || vec_id AS id, c.vec_id, cos AS score, rnk,
+SELECT query_id, 'v' || vec_id AS id, c.vec_id, round(cos, 6) AS score, rnk,
   CASE WHEN c.vec_id % 15 = 0 THEN '' ELSE d.text END AS text, d.source,
   'cat_' || label AS category, c.vec_id AS page,
   'gs://bucket/' || d.source || '/' || c.vec_id || CASE WHEN c.vec_id % 3 = 0 THEN '.pdf' ELSE '.txt' END AS uri
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY cos DESC, vec_id) AS rnk
       FROM (SELECT q.query_id, e.vec_id, e.label,
-              round(list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]), 6) AS cos
+              list_cosine_similarity(q.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS cos
             FROM VQ q, embeddings e) s) c
 JOIN documents d ON d.doc_id = c.vec_id % (SELECT count(*) FROM documents)
 WHERE rnk <= 50"""
@@ -242,6 +244,12 @@ def oracle_sql_text(views: list[str], body: str) -> str:
     return f"WITH {recursive}" + ", ".join(ctes) + (", " if own else " ") + body
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """``df`` dealt out over as many tasks as the session's SPREAD setting says, if it says so."""
+    n = df.sparkSession.conf.get(SPREAD, None)
+    return df.repartition(int(n)) if n else df
+
+
 class Views:
     """Given tables and derived views of one scale-factor folder."""
 

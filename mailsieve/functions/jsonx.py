@@ -168,8 +168,10 @@ def context_fields(item: Column, pos: Column) -> Column:
     )
 
 
-def parse_contexts(df, json_col: str, key: str, limit: int = 50):
-    items = F.slice(context_items(F.col(json_col)), 1, limit)
+def parse_contexts(df, json_col: str, key: str, limit: int | None = None):
+    """One row per context of each reply; ``limit`` keeps the first ones only."""
+    items = context_items(F.col(json_col))
+    items = items if limit is None else F.slice(items, 1, limit)
     d = df.select(key, F.posexplode(items).alias("pos", "item"))
     return d.select(key, "pos", context_fields(F.col("item"), F.col("pos")).alias("c")).select(key, "pos", "c.*")
 

@@ -27,10 +27,12 @@ DISCLAIMER_LINE = (
 BLANK_RUNS = r"[ \t]{2,}|\t"
 # fixed values: words never reported as a key topic
 TOPIC_STOPWORDS = (
-    "the a an and or but in on at to for of with by from is are was were be been being this that these those there "
-    "here then than into out over under after before about as it its it's their them they our we you your he she his "
-    "her him not will would can could should may might must also just more most other some such"
-).split()
+    "the", "a", "an", "and", "or", "but", "in", "on", "at", "to", "for", "of", "with", "by", "from", "is", "are",
+    "was", "were", "be", "been", "being", "this", "that", "these", "those", "there", "here", "then", "than", "into",
+    "out", "over", "under", "after", "before", "about", "as", "it", "its", "it's", "their", "them", "they", "our",
+    "we", "you", "your", "he", "she", "his", "her", "him", "not", "will", "would", "can", "could", "should", "may",
+    "might", "must", "also", "just", "more", "most", "other", "some", "such",
+)
 
 
 def blank(c: Column) -> Column:
@@ -42,14 +44,41 @@ def strip(c: Column) -> Column:
     return F.btrim(c, F.lit(" \t\n\u000b\f\r"))
 
 
+# fixed values: named entities of markup
+ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
+
+
+def decode_entities(s: Column) -> Column:
+    """Named and numeric entities, each decoded once; numbers that name no character stay as they are."""
+    mark = "\u0001"
+    names = "|".join(e[1:-1] for e, _ in ENTITIES)
+    entity = rf"(&(?:#[xX][0-9a-fA-F]{{1,6}}|#[0-9]{{1,7}}|{names});)"
+    parts = F.split(F.regexp_replace(s, entity, f"{mark}$1{mark}"), mark)
+
+    def decode(p: Column) -> Column:
+        inner = F.regexp_extract(p, r"^&#([xX]?[0-9a-fA-F]+);$", 1)
+        n = F.when(inner.rlike("^[xX]"), F.conv(F.substring(inner, 2, 8), 16, 10)).otherwise(inner).try_cast("int")
+        byte = lambda v: F.lpad(F.hex(v), 2, "0")
+        tail = lambda k: F.shiftright(n, k).bitwiseAND(63) + 128
+        utf8 = (
+            F.when(n < 0x80, byte(n)).when(n < 0x800, F.concat(byte(F.shiftright(n, 6) + 192), byte(tail(0))))
+            .when(n < 0x10000, F.concat(byte(F.shiftright(n, 12) + 224), byte(tail(6)), byte(tail(0))))
+            .otherwise(F.concat(byte(F.shiftright(n, 18) + 240), byte(tail(12)), byte(tail(6)), byte(tail(0)))))
+        out = F.when((n > 0) & (n < 0x110000) & ~n.between(0xD800, 0xDFFF), F.decode(F.unhex(utf8), "UTF-8"))
+        for name, char in ENTITIES:
+            out = out.when(p == name, char)
+        return out.otherwise(p)
+
+    return F.array_join(F.transform(parts, decode), "")
+
+
 def html_to_text(c: Column) -> Column:
     s = F.regexp_replace(c, r"(?is)<script\b.*?</script>", "")
     s = F.regexp_replace(s, r"(?is)<style\b.*?</style>", "")
     s = F.regexp_replace(s, r"(?i)</(p|div|h\d|li|br|tr)>", "\n")
     s = F.regexp_replace(s, r"(?i)<li[^>]*>", "• ")
     s = F.regexp_replace(s, r"</?[^>]+>", "")
-    for entity, char in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&")):
-        s = F.replace(s, F.lit(entity), F.lit(char))
+    s = F.when(s.contains("&"), decode_entities(s)).otherwise(s)
     return F.when(strip(blank(c)) == "", blank(c)).otherwise(s)
 
 
@@ -159,19 +188,25 @@ def jaccard(a: Column, b: Column) -> Column:
     return F.when((F.size(a) == 0) | (F.size(b) == 0), 0.0).otherwise(F.size(F.array_intersect(a, b)) / union)
 
 
+def _blank_split(c: Column) -> Column:
+    """Parts between blanks: a leading empty part counts, trailing ones don't."""
+    ended = F.rtrim(c, F.lit(" \t\n\u000b\f\r"))
+    return F.when(ended == "", F.array().cast("array<string>")).otherwise(F.split(ended, r"\s+"))
+
+
 def token_change(a: Column, b: Column) -> Column:
     """Percentage of distinct whitespace tokens that two texts do not share."""
-    ta, tb = F.split(a, r"\s+"), F.split(b, r"\s+")
+    ta, tb = _blank_split(a), _blank_split(b)
     union = F.size(F.array_union(ta, tb))
     shared = F.size(F.array_intersect(ta, tb))
     return F.when(union == 0, 0.0).otherwise(F.round((1.0 - shared / union) * 100, 2))
 
 
 def salience(c: Column, max_chars: int = 500) -> Column:
-    """First real sentence after subject and greeting, else the head of the text."""
+    """First real sentence of the whole text after subject and greeting, else its head."""
     n = min(max(max_chars, 80), 2000)
     focus = F.regexp_replace(
-        F.left(c, F.lit(8000)), r"(?i)\A\s*(subject:\s*[^\n]+\n+)?\s*(hi|hello|hey)[^a-z0-9]*\n+", ""
+        c, r"(?i)\A\s*(subject:\s*[^\n]+\n+)?\s*(hi|hello|hey)[^a-z0-9]*\n+", ""
     )
     mark = "\u0001"
     sentences = F.split(F.regexp_replace(focus, r"([.!?])\s+", "$1" + mark), mark)
@@ -181,39 +216,45 @@ def salience(c: Column, max_chars: int = 500) -> Column:
     return F.left(strip(F.coalesce(F.try_element_at(good, F.lit(1)), F.left(focus, F.lit(n)))), F.lit(n))
 
 
-PDF_INPUT_CAP = 50000
-PDF_OUTPUT_CAP = 10000
+# fixed values: repairs of extracted text in the order in which they must be made
+PDF_ESCAPES = (
+    ("\\\\n", "\n"), ("\\\\t", " "), ("\\\\r", ""), ('\\\\"', '"'), ("\\\\'", "'"), ("\\\\", "\\"),
+    ("\\n", "\n"), ("\\t", " "), ("\\r", ""),
+)
+PDF_RULES = (
+    (r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""),
+    (r"(\w)-\n(\w)", "$1$2"),
+    (r"\r\n|\r", "\n"),
+    (r"\n{3,}", "\n\n"),
+    (BLANK_RUNS, " "),
+    (r"(?m)^[ \t]+|[ \t]+$", ""),
+    (r"##(\w)", "## $1"),
+    (r"(?m)\.\.+$", "..."),
+    (r"\s*\n\s*-\s*", "\n• "),
+    (r"([.!?])\s*\n+([A-Z])", "$1 $2"),
+    (r"\[\s*\]", ""),
+    (r"\(\s*\)", ""),
+)
+
 
+def sanitize_pdf(c: Column, input_cap: int | None = None, output_cap: int | None = None) -> Column:
+    """Repair text extracted from PDF files: escapes, control characters, line layout, bullets, trims.
 
-def sanitize_pdf(c: Column) -> Column:
-    """Repair text extracted from PDF files: escapes, control characters, line layout, bullets, trims."""
+    Whole texts by default; a cap cuts and marks what is longer.
+    """
     marker = "...[truncated]"
 
-    def cap(s: Column, n: int) -> Column:
+    def cap(s: Column, n: int | None) -> Column:
+        if n is None:
+            return s
         # the cap keeps n + 1 characters
         return F.when(F.length(s) > n, F.concat(F.left(s, F.lit(n + 1)), F.lit(marker))).otherwise(s)
 
-    s = cap(c, PDF_INPUT_CAP)
-    escapes = (("\\\\n", "\n"), ("\\\\t", " "), ("\\\\r", ""), ('\\\\"', '"'), ("\\\\'", "'"), ("\\\\", "\\"),
-               ("\\n", "\n"), ("\\t", " "), ("\\r", ""))
-    for old, new in escapes:
+    s = cap(c, input_cap)
+    for old, new in PDF_ESCAPES:
         s = F.replace(s, F.lit(old), F.lit(new))
-    rules = (
-        (r"[\x00-\x08\x0b\x0c\x0e-\x1f]", ""),
-        (r"(\w)-\n(\w)", "$1$2"),
-        (r"\r\n|\r", "\n"),
-        (r"\n{3,}", "\n\n"),
-        (BLANK_RUNS, " "),
-        (r"(?m)^[ \t]+|[ \t]+$", ""),
-        (r"##(\w)", "## $1"),
-        (r"(?m)\.\.+$", "..."),
-        (r"\s*\n\s*-\s*", "\n• "),
-        (r"([.!?])\s*\n+([A-Z])", "$1 $2"),
-        (r"\[\s*\]", ""),
-        (r"\(\s*\)", ""),
-    )
-    for pattern, new in rules:
+    for pattern, new in PDF_RULES:
         s = F.regexp_replace(s, pattern, new)
     s = F.regexp_replace(strip(s), r"\s+\n", "\n")
     s = F.regexp_replace(s, r"\n\s+", "\n")
-    return strip(cap(s, PDF_OUTPUT_CAP))
+    return strip(cap(s, output_cap))

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from bisect import bisect_right
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -16,7 +17,8 @@ from mailsieve.functions.text import blank, est_tokens, strip
 
 PARAGRAPH_END = re.compile(r"\n{2,}")
 SENTENCE_END = re.compile(r"""[.!?]["')\]]?\s""")
-MAX_BATCH = 100
+SENTENCE_STOP = re.compile(r"[.!?]\s+")
+BLANKS = re.compile(r"\s+")
 
 
 def _window(size: int, overlap: int, chars_per_token: float) -> tuple[int, int]:
@@ -66,53 +68,78 @@ def chunk_totals(chunks: DataFrame, by: str) -> DataFrame:
     return chunks.join(totals, by)
 
 
-def last_end(segment: str, pattern: re.Pattern[str]) -> int | None:
-    end = None
-    for m in pattern.finditer(segment):
-        end = m.end()
-    return end
+class _Marks:
+    """Matches of a pattern in a text, found once, for questions about the last one before a place."""
+
+    def __init__(self, pattern: re.Pattern[str], text: str) -> None:
+        spans = [m.span() for m in pattern.finditer(text)]
+        self.starts, self.ends = [a for a, _ in spans], [b for _, b in spans]
+
+    def last_ending(self, by: int, since: int) -> int | None:
+        """End of the last match that ends at ``by`` or before and starts at ``since`` or later."""
+        k = bisect_right(self.ends, by) - 1
+        return self.ends[k] if k >= 0 and self.starts[k] >= since else None
+
+    def last_starting(self, by: int, since: int) -> int | None:
+        """Start of the last match that starts at ``by`` or before and at ``since`` or later."""
+        k = bisect_right(self.starts, by) - 1
+        return self.starts[k] if k >= 0 and self.starts[k] >= since else None
+
+    def last_cut(self, by: int, since: int, least: int) -> int | None:
+        """End of the last match of which ``least`` characters lie in ``since``..``by``, cut to ``by``."""
+        k = bisect_right(self.starts, by - least) - 1
+        if k < 0:
+            return None
+        end = min(self.ends[k], by)
+        return end if end - max(self.starts[k], since) >= least else None
+
+
+def _spans(total: int, length: int, back: int, choose: Callable[[int, int], int]) -> Iterator[tuple[int, int]]:
+    """Consecutive (start, end) pairs: ``choose(start, tentative end)`` ends a chunk, the next one starts ``back``
+    before, unless that would not move on."""
+    start = 0
+    while start < total:
+        end = choose(start, start + length) if start + length < total else total
+        yield start, end
+        if end >= total:
+            return
+        start = end - back if end - back > start else end
 
 
 def boundary_spans(
     text: str, length: int, back: int, sentences: bool, paragraphs: bool
 ) -> Iterator[tuple[int, int]]:
     """(start, end) pairs that prefer a paragraph end, then a sentence end, inside each window."""
-    total, pos = len(text), 0
-    while pos < total:
-        limit = min(pos + length, total)
-        end = limit
-        if limit < total:
-            segment = text[pos:limit]
-            found = last_end(segment, PARAGRAPH_END) if paragraphs else None
-            if found is None and sentences:
-                found = last_end(segment, SENTENCE_END)
-            if found:
-                end = pos + found
-        yield pos, end
-        if end >= total:
-            return
-        pos = end - back if end - back > pos else end
+    gaps = _Marks(PARAGRAPH_END, text) if paragraphs else None
+    stops = _Marks(SENTENCE_END, text) if sentences else None
 
+    def choose(start: int, limit: int) -> int:
+        end = gaps.last_cut(limit, start, 2) if gaps else None
+        if end is None and stops:
+            end = stops.last_ending(limit, start)
+        return limit if end is None else end
 
-def word_spans(text: str, size: int, back: int) -> Iterator[tuple[int, int]]:
-    """Sentence end near the target, else the last blank before it, else the target itself."""
-    total, pos = len(text), 0
-    while pos < total:
-        target = pos + size
-        if target >= total:
-            yield pos, total
-            return
-        lo = max(target - 200, pos)
-        ends = [lo + m.end() for m in re.finditer(r"[.!?]\s+", text[lo : target + 100])]
-        ends = [e for e in ends if pos + size // 2 < e <= target + 50]
-        if ends:
-            end = ends[-1]
-        else:
-            blanks = [pos + m.start() for m in re.finditer(r"\s+", text[pos : target + 50])]
-            blanks = [b for b in blanks if pos < b <= target]
-            end = blanks[-1] if blanks else target
-        yield pos, end
-        pos = end - back if end - back > pos else end
+    return _spans(len(text), length, back, choose)
+
+
+def word_spans(
+    text: str, size: int, back: int, before: int = 200, beyond: int = 50, least: float = 0.5
+) -> Iterator[tuple[int, int]]:
+    """Sentence end near the target, else the last blank before it, else the target itself.
+
+    A sentence may start ``before`` characters before the target and its end lie ``beyond`` it, if the chunk gets
+    more than the share ``least`` of its size.
+    """
+    stops, blanks = _Marks(SENTENCE_STOP, text), _Marks(BLANKS, text)
+
+    def choose(start: int, target: int) -> int:
+        end = stops.last_ending(target + beyond, max(target - before, start))
+        if end is not None and end > start + int(size * least):
+            return end
+        blank_at = blanks.last_starting(target, start + 1)
+        return target if blank_at is None else blank_at
+
+    return _spans(len(text), size, back, choose)
 
 
 def _explode_spans(df: DataFrame, spans, text: str, id_cols: Sequence[str]) -> DataFrame:
@@ -183,14 +210,14 @@ def process_documents(
 
 
 def assign_batches(
-    df: DataFrame, n: int, order: Sequence[str], bucket: Column, by: Sequence[str] = (), limit: int = MAX_BATCH
+    df: DataFrame, n: int, order: Sequence[str], bucket: Column, by: Sequence[str] = ()
 ) -> DataFrame:
     """Slices of ``n`` consecutive rows, numbered from 0, over the table or within ``by``.
 
     ``bucket`` is a monotone function of ``order``; positions come from per-bucket counts, so no
     single task sees the whole table.
     """
-    n = min(max(n, 1), limit)
+    n = max(n, 1)
     d = scale.number_rows(df, list(by), bucket, list(order), "__pos")
     return d.withColumn("batch_number", F.floor((F.col("__pos") - 1) / F.lit(float(n)))).drop("__pos")
 
@@ -205,10 +232,10 @@ def batch_summary(chunks: DataFrame, doc: str = "doc_id") -> DataFrame:
 
 def embedding_batches(
     texts: DataFrame, n: int, order: Sequence[str], bucket: Column, run_id: str, task_type: str = "RETRIEVAL_DOCUMENT",
-    include_title: bool = True, prefix: str = "emb_batch", limit: int = MAX_BATCH,
+    include_title: bool = True, prefix: str = "emb_batch",
 ) -> DataFrame:
     """Embedding requests (``id``, ``title``, ``content`` in) with batch ids built from a passed run id."""
-    d = assign_batches(texts, n, order, bucket, limit=limit)
+    d = assign_batches(texts, n, order, bucket)
     title, content = blank(F.col("title")), blank(F.col("content"))
     text = F.when(F.lit(include_title) & (title != ""), F.concat(title, F.lit(": "), content)).otherwise(content)
     batch = F.concat(F.lit(prefix + "_"), F.col("batch_number").cast("string"), F.lit("_" + run_id))

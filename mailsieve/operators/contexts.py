@@ -16,7 +16,6 @@ from mailsieve.functions.text import blank, est_tokens, strip, tokens, truncate_
 # fixed values: weight presets (relevance, category), request limits (chunks, prompt tokens, reserve)
 WEIGHT_PRESETS = {"relevance_heavy": (0.9, 0.1), "balanced": (0.8, 0.2), "category_heavy": (0.6, 0.4)}
 REQUEST_LIMITS = {"conservative": (15, 2500, 400), "balanced": (20, 3000, 512), "generous": (25, 4000, 800)}
-MAX_CHUNKS = 100
 SEPARATOR = "\n\n---\n\n"
 # fixed values: prompt templates
 PROMPT_TEMPLATES = {
@@ -116,9 +115,8 @@ def ranker_block(rid: Column, source: Column, text: Column) -> Column:
 
 
 def first_chunks(df: DataFrame, by: str, order: str, limit: int) -> DataFrame:
-    """The first ``limit`` (1..100) contexts of each query: every later step works on a bounded group."""
-    n = min(max(limit, 1), MAX_CHUNKS)
-    return scale.top_per_key(df, [by], [F.col(order)], n, "__first").drop("__first")
+    """The first ``limit`` contexts of each query: every later step works on a bounded group."""
+    return scale.top_per_key(df, [by], [F.col(order)], max(limit, 1), "__first").drop("__first")
 
 
 def select_by_budget(

@@ -7,8 +7,6 @@ from pyspark.sql import functions as F
 
 from mailsieve.session import cut_lineage
 
-TREE_LIMIT = (1, 10_000)
-
 
 def undefined_calls(edges: DataFrame, defined: DataFrame) -> DataFrame:
     """Callees nobody defines, with their call sites."""
@@ -27,19 +25,19 @@ def graph_stats(edges: DataFrame) -> DataFrame:
     )
 
 
-def call_cycles(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
+def call_cycles(edges: DataFrame) -> DataFrame:
     """(node, component) of every node on a cycle; a component is named by its smallest node.
 
     Leaves and roots are trimmed first, then forward and backward reachable minimum labels are
     propagated.  A node whose two labels agree shares a component with that label; settled components
-    leave and the rest repeats.  State is one row per node, never per pair; every round is written to
-    the shared scratch folder.
+    leave and the rest repeats until no edge is left (each round settles at least the smallest label's
+    component).  State is one row per node, never per pair; every round is written to the shared scratch folder.
     """
     loops = edges.where(F.col("src") == F.col("dst")).select(F.col("src").alias("node")).distinct()
     e = cut_lineage(edges.where(F.col("src") != F.col("dst")).select("src", "dst").distinct())
     done = loops.select("node", F.col("node").alias("component"), F.lit(1).alias("size"))
-    for _ in range(max_rounds):
-        e = _trim(e, max_rounds)
+    while True:
+        e = _trim(e)
         if e.isEmpty():
             break
         nodes = e.select(F.col("src").alias("node")).union(e.select("dst")).distinct()
@@ -62,10 +60,10 @@ def call_cycles(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
 STEPS = 4
 
 
-def _trim(e: DataFrame, rounds: int) -> DataFrame:
+def _trim(e: DataFrame) -> DataFrame:
     """Drop edges whose ends cannot lie on a cycle until nothing changes."""
     before = e.count()
-    for _ in range(rounds):
+    while before:
         e = cut_lineage(
             e.join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
             .join(e.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst")
@@ -111,14 +109,17 @@ def _same_label_reach(fwd: DataFrame, e: DataFrame) -> DataFrame:
         size = grown
 
 
-def list_tree(folders: DataFrame, files: DataFrame, root, max_depth: int = 0, limit: int = 1000, keep: Column | None = None) -> DataFrame:
+def list_tree(
+    folders: DataFrame, files: DataFrame, root, max_depth: int = 0, keep: Column | None = None,
+    limit: int | None = None, after: tuple[int, int, int] | None = None,
+) -> DataFrame:
     """Children of every folder under ``root`` level by level (``max_depth`` <= 0: all; 1: the root only).
 
     ``folders`` holds (id, parent_id) edges and ``files`` everything listed, with parent_id.  Folders are
-    discovered regardless of ``keep``, which filters what is listed.  Loops end on an empty frontier.
+    discovered regardless of ``keep``, which filters what is listed.  Loops end on an empty frontier.  With a
+    ``limit`` a page comes out, in the order (depth, folder, id); ``after`` is the last row of the page before.
     """
     spark = folders.sparkSession
-    n = min(max(limit, TREE_LIMIT[0]), TREE_LIMIT[1])
     seen = spark.createDataFrame([(root, 1)], "folder bigint, depth int")
     frontier, depth = seen, 1
     while max_depth <= 0 or depth < max_depth:
@@ -132,4 +133,8 @@ def list_tree(folders: DataFrame, files: DataFrame, root, max_depth: int = 0, li
         depth += 1
     listed = files.where(keep) if keep is not None else files
     out = listed.join(seen, listed["parent_id"] == seen["folder"])
-    return out.orderBy("depth", "folder", "id").limit(n)
+    if after is not None:
+        last = F.struct(*[F.lit(x).cast(t).alias(n) for n, t, x in zip(
+            ("depth", "folder", "id"), ("int", "bigint", out.schema["id"].dataType), after, strict=True)])
+        out = out.where(F.struct("depth", "folder", "id") > last)
+    return out if limit is None else out.orderBy("depth", "folder", "id").limit(limit)

@@ -1,6 +1,6 @@
 """Rule packs compiled to column expressions.
 
-Rules are configuration (at most ``MAX_RULES`` rows), so they become literal predicates evaluated in
+Rules are configuration (more than ``MAX_RULES`` rows are an error), so they become literal predicates evaluated in
 the scan stage: no join, no shuffle, and every pattern is compiled once per task.
 """
 
@@ -16,7 +16,6 @@ from pyspark.sql import functions as F
 from mailsieve.functions.text import blank, strip
 
 MAX_RULES = 10_000
-MAX_PATTERN = 512
 DEFAULT_PRIORITY = 1000
 
 
@@ -373,12 +372,12 @@ STANDARD_PATTERNS: dict[str, tuple[str, ...]] = {
 }
 # fixed values: column names accepted for each rule field
 COLUMN_SYNONYMS = {
-    "rule_id": "rule_id id key",
-    "rule_type": "rule_type type field target applies_to scope",
-    "rule_pattern": "rule_pattern pattern regex regexp matcher match expression expr contains",
-    "action": "action category label outcome route bucket folder",
-    "priority": "priority prio rank order weight score",
-    "active": "active enabled is_active status state",
+    "rule_id": ("rule_id", "id", "key"),
+    "rule_type": ("rule_type", "type", "field", "target", "applies_to", "scope"),
+    "rule_pattern": ("rule_pattern", "pattern", "regex", "regexp", "matcher", "match", "expression", "expr", "contains"),
+    "action": ("action", "category", "label", "outcome", "route", "bucket", "folder"),
+    "priority": ("priority", "prio", "rank", "order", "weight", "score"),
+    "active": ("active", "enabled", "is_active", "status", "state"),
 }
 
 
@@ -413,7 +412,7 @@ def standard_signals() -> Column:
 
 def rule_regex(pattern: str) -> str:
     """``/re/`` and ``re:`` are expressions, anything else is literal; always case-insensitive."""
-    p = pattern.strip()[:MAX_PATTERN]
+    p = pattern.strip()
     if len(p) >= 2 and p.startswith("/") and p.endswith("/"):
         return "(?i)" + p[1:-1]
     if p.startswith("re:"):
@@ -458,11 +457,9 @@ def apply_rules(df: DataFrame, rules: Sequence[Mapping], stop_on_first: bool = T
 
 def classify_by_pattern(
     df: DataFrame, rules: Sequence[Mapping] | None = None, stop_on_first: bool = True, fallback: bool = True,
-    max_rules: int = 500,
 ) -> DataFrame:
-    """Custom rules, else standard patterns, else none."""
-    limit = min(max(max_rules, 1), MAX_RULES)
-    d = apply_rules(df, (rules or [])[:limit], stop_on_first).withColumn("standard", standard_signals())
+    """Custom rules (all of them), else standard patterns, else none."""
+    d = apply_rules(df, rules or [], stop_on_first).withColumn("standard", standard_signals())
     own, std = F.size("custom.matches") > 0, F.size("standard") > 0
     use_std = std if rules is None or fallback else F.lit(False)
     d = d.withColumn("rule_source", F.when(own, "custom").when(use_std, "standard").otherwise("none"))
@@ -484,7 +481,7 @@ def infer_mapping(columns: Sequence[str], explicit: Mapping[str, str] | None = N
     mapping = {k: v for k, v in (explicit or {}).items() if str(v).strip()}
     for key, alts in COLUMN_SYNONYMS.items():
         if key not in mapping:
-            found = next((c for c in columns if c.lower() in alts.split()), None)
+            found = next((c for c in columns if c.lower() in alts), None)
             if found:
                 mapping[key] = found
     return mapping
@@ -495,7 +492,7 @@ def coerce_flag(c: Column) -> Column:
     return F.when(s.isin("true", "1"), True).when(s.isin("false", "0"), False).otherwise(c.isNotNull())
 
 
-def load_rules(df: DataFrame, mapping: Mapping[str, str] | None = None, max_rules: int = 500) -> DataFrame:
+def load_rules(df: DataFrame, mapping: Mapping[str, str] | None = None) -> DataFrame:
     """Canonical rule rows from a table under any accepted column names: active only, best priority first."""
     m = infer_mapping(df.columns, mapping)
     missing = [k for k in ("rule_type", "rule_pattern") if m.get(k) not in df.columns]
@@ -513,11 +510,13 @@ def load_rules(df: DataFrame, mapping: Mapping[str, str] | None = None, max_rule
             text("rule_pattern").alias("rule_pattern"), text("action").alias("action"),
             F.coalesce(priority, F.lit(DEFAULT_PRIORITY)).alias("priority"), active.alias("active"),
         )
-        .where("active").orderBy("priority", "rule_id").limit(min(max(max_rules, 1), MAX_RULES))
+        .where("active").orderBy("priority", "rule_id")
     )
 
 
-def rule_rows(rules: DataFrame, max_rules: int = 500) -> list[dict]:
-    """Bounded read of the rule table: at most ``MAX_RULES`` configuration rows reach the driver."""
-    limit = min(max(max_rules, 1), MAX_RULES)
-    return [r.asDict() for r in rules.orderBy("priority", "rule_id").limit(limit).collect()]
+def rule_rows(rules: DataFrame) -> list[dict]:
+    """The rule table on the driver, best priority first; more than ``MAX_RULES`` rows are an error, never a cut."""
+    rows = rules.orderBy("priority", "rule_id").limit(MAX_RULES + 1).collect()
+    if len(rows) > MAX_RULES:
+        raise ValueError(f"more than {MAX_RULES} rules")
+    return [r.asDict() for r in rows]

@@ -13,12 +13,12 @@ from pyspark.sql import types as T
 from mailsieve import scale
 from mailsieve.session import cut_lineage
 
-# queries (or categories) up to this many travel to the corpus tasks; larger sets are joined in blocks
-QUERY_CAP = 4096
+# queries of a search task, corpus rows dealt to it, and the most categories a configured list may have
+QUERY_BLOCK = 1024
 BLOCK_ROWS = 65536
-# fixed values: retrieval presets (top_k, minimum similarity) and the clamp on top_k
+MAX_CATEGORIES = 4096
+# fixed values: retrieval presets (top_k, minimum similarity)
 RETRIEVAL_PRESETS = {"precise": (10, 0.8), "balanced": (20, 0.65), "broad": (50, 0.5)}
-TOP_K_RANGE = (1, 200)
 
 
 def _sum_of(a: Column) -> Column:
@@ -80,87 +80,95 @@ def _unit(rows: pd.Series) -> np.ndarray:
     return np.divide(m, n, out=np.zeros_like(m), where=n > 0)
 
 
-def _best(ids: np.ndarray, scores: np.ndarray, k: int) -> np.ndarray:
-    """Positions of the ``k`` best of one score column; ties by id."""
-    if len(scores) > k:
-        floor = np.partition(scores, len(scores) - k)[len(scores) - k]
-        pos = np.flatnonzero(scores >= floor)
-    else:
-        pos = np.arange(len(scores))
-    return pos[np.lexsort((ids[pos], -scores[pos]))][:k]
-
-
-def _top_rows(qids, qmat, part: pd.DataFrame, corpus_id: str, k: int, held: dict) -> None:
-    """Fold one corpus batch into the running best rows per query."""
-    scores = np.round(_unit(part["__vec"]) @ qmat.T, 6)
-    plain = part.drop(columns="__vec")
-    for j, q in enumerate(qids):
-        pos = _best(plain[corpus_id].to_numpy(), scores[:, j], k)
-        rows = plain.iloc[pos].assign(score=scores[pos, j])
-        if q in held:
-            rows = pd.concat([held[q], rows], ignore_index=True)
-            rows = rows.iloc[_best(rows[corpus_id].to_numpy(), rows["score"].to_numpy(), k)]
-        held[q] = rows
+def _fold(held: tuple[np.ndarray, np.ndarray], scores: np.ndarray, places: np.ndarray, k: int) -> tuple:
+    """The ``k`` best of ``held`` (scores and places, a row a query) and a batch; ties go to the smaller place."""
+    every = np.concatenate([held[0], scores], axis=1)
+    where = np.concatenate([held[1], np.broadcast_to(places, scores.shape)], axis=1)
+    if every.shape[1] <= k:
+        return every, where
+    pick = np.argpartition(-every, k - 1, axis=1)[:, :k]
+    floor = np.take_along_axis(every, pick, axis=1).min(axis=1)
+    for row in np.flatnonzero((every >= floor[:, None]).sum(axis=1) > k):
+        near = np.flatnonzero(every[row] >= floor[row])
+        pick[row] = near[np.lexsort((where[row, near], -every[row, near]))][:k]
+    return np.take_along_axis(every, pick, axis=1), np.take_along_axis(where, pick, axis=1)
+
+
+def _search(k: int, schema: T.StructType):
+    """Best corpus rows for the queries of each task; its queries come first, then its corpus rows."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        task, queries, matrix, held, ids = None, [], None, None, []
+
+        def close() -> pd.DataFrame:
+            rows, cols = np.nonzero(np.isfinite(held[0]))
+            return pd.DataFrame({
+                schema.names[0]: [queries[r] for r in rows],
+                schema.names[1]: [ids[held[1][r, c]] for r, c in zip(rows, cols, strict=True)],
+                "score": held[0][rows, cols],
+            })
+
+        for pdf in batches:
+            for (own, kind), part in pdf.groupby(["__task", "__kind"], sort=True):
+                vectors = _unit(part["__vec"])
+                if kind == 0:
+                    if own != task:
+                        if held is not None:
+                            yield close()
+                        task, queries, matrix, held, ids = own, [], None, None, []
+                    queries += part["__query"].tolist()
+                    matrix = vectors if matrix is None else np.concatenate([matrix, vectors])
+                elif own == task:
+                    if held is None:
+                        held = np.empty((len(queries), 0)), np.empty((len(queries), 0), np.int64)
+                    order = part["__corpus"].argsort(kind="stable").to_numpy()
+                    names = part["__corpus"].to_numpy()[order]
+                    # rows come sorted by id within a task, so a later place is a larger id
+                    places = np.arange(len(ids), len(ids) + len(names))
+                    ids += names.tolist()
+                    held = _fold(held, matrix @ vectors[order].T, places, k)
+        if held is not None:
+            yield close()
+
+    return run
 
 
 def nearest(
     queries: DataFrame, corpus: DataFrame, k: int, query_id: str, corpus_id: str, vector: str = "embedding",
-    carry: Sequence[str] = (), query_cap: int = QUERY_CAP, keep_hits: bool = True,
+    carry: Sequence[str] = (), query_block: int = QUERY_BLOCK, keep_hits: bool = True,
 ) -> DataFrame:
     """Exact cosine top-``k`` of ``corpus`` for every query: (query_id, corpus_id, carry…, score, rank).
 
-    A query batch within ``query_cap`` (checked) is shipped to the corpus tasks: one scan, no shuffle of
-    vectors, and each task emits at most ``k`` rows per query.  A larger batch is joined block by block:
-    corpus rows are hashed into blocks, queries are repeated per block, and each block pair is scored as
-    a matrix product.  Neither path forms a row per (query, vector) pair.
+    One plan for every size: queries are dealt into blocks of about ``query_block`` and corpus rows into blocks
+    of about BLOCK_ROWS; each pair of blocks is a task that holds its queries and streams its corpus rows in
+    the order of their ids past them as matrix products.  A task holds ``query_block`` vectors, their ``k`` best
+    and one batch, and sends ``k`` rows a query.  Only ids travel with the scores; ``carry`` joins the hits.
+    Ranks follow the unrounded cosine (ties: smaller id); the score comes out rounded to 6 places.
 
     ``keep_hits`` writes the hits (at most ``k`` per query) to the scratch folder: later steps read them
     several times, and each reading would otherwise scan the corpus again.
     """
-    keep = [corpus_id, *carry]
-    schema = T.StructType(
-        [T.StructField(query_id, queries.schema[query_id].dataType)]
-        + [corpus.schema[c] for c in keep] + [T.StructField("score", T.DoubleType())]
-    )
-    slim = corpus.select(*keep, F.col(vector).alias("__vec"))
-    asked = queries.select(query_id, F.col(vector).alias("__vec"))
-    head = asked.limit(query_cap + 1).toPandas()
-
-    def emit(held: dict) -> pd.DataFrame:
-        if not held:
-            return pd.DataFrame(columns=schema.names)
-        return pd.concat([r.assign(**{query_id: q}) for q, r in held.items()])[schema.names]
-
-    if len(head) == 0:
-        return corpus.sparkSession.createDataFrame([], schema).withColumn("rank", F.lit(1))
-    if len(head) <= query_cap:
-        shipped = corpus.sparkSession.sparkContext.broadcast((head[query_id].to_numpy(), _unit(head["__vec"])))
-
-        def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            qids, qmat = shipped.value
-            held: dict = {}
-            for part in batches:
-                if len(part):
-                    _top_rows(qids, qmat, part, corpus_id, k, held)
-            yield emit(held)
-
-        local = slim.mapInPandas(scan, schema)
-    else:
-        qblocks = -(-queries.count() // query_cap)
-        blocks = max(int(corpus.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-corpus.count() // BLOCK_ROWS))
-        left = slim.withColumn("__cb", F.pmod(F.xxhash64(corpus_id), F.lit(blocks)))
-        left = left.withColumn("__qb", F.explode(F.sequence(F.lit(0), F.lit(qblocks - 1))))
-        right = asked.withColumn("__qb", F.pmod(F.xxhash64(query_id), F.lit(qblocks)).cast("int"))
-        right = right.withColumn("__cb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
-
-        def pair(c: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
-            held: dict = {}
-            if len(c) and len(q):
-                _top_rows(q[query_id].to_numpy(), _unit(q["__vec"]), c[[*keep, "__vec"]], corpus_id, k, held)
-            return emit(held)
-
-        local = left.groupBy("__cb", "__qb").cogroup(right.groupBy("__cb", "__qb")).applyInPandas(pair, schema)
-    hits = scale.top_per_key(local, [query_id], [F.desc("score"), F.col(corpus_id)], k)
+    asked = queries.select(F.col(query_id).alias("__query"), F.col(vector).alias("__vec")).where("__vec is not null")
+    slim = corpus.select(F.col(corpus_id).alias("__corpus"), F.col(vector).alias("__vec")).where("__vec is not null")
+    n_queries, n_rows = asked.count(), slim.count()
+    qblocks, blocks = max(1, -(-n_queries // query_block)), max(1, -(-n_rows // BLOCK_ROWS))
+    none_q, none_c = (F.lit(None).cast(d.schema[c].dataType) for d, c in ((asked, "__query"), (slim, "__corpus")))
+    each = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    left = asked.select("*", (F.pmod(F.xxhash64("__query"), F.lit(qblocks))).alias("__q"), each(blocks).alias("__b"))
+    right = slim.select("*", (F.pmod(F.xxhash64("__corpus"), F.lit(blocks))).alias("__b"), each(qblocks).alias("__q"))
+    task = (F.col("__b") * qblocks + F.col("__q")).alias("__task")
+    both = left.select(task, F.lit(0).alias("__kind"), "__query", none_c.alias("__corpus"), "__vec").union(
+        right.select(task, F.lit(1).alias("__kind"), none_q.alias("__query"), "__corpus", "__vec"))
+    schema = T.StructType([
+        T.StructField(query_id, queries.schema[query_id].dataType),
+        T.StructField(corpus_id, corpus.schema[corpus_id].dataType), T.StructField("score", T.DoubleType()),
+    ])
+    local = both.repartition("__task").sortWithinPartitions("__task", "__kind", "__corpus").mapInPandas(
+        _search(k, schema), schema)
+    top = scale.top_per_key(local, [query_id], [F.desc("score"), F.col(corpus_id)], k)
+    if carry:
+        top = top.join(corpus.select(corpus_id, *carry), corpus_id)
+    hits = top.select(query_id, corpus_id, *carry, F.round("score", 6).alias("score"), "rank")
     return cut_lineage(hits) if keep_hits else hits
 
 
@@ -177,7 +185,7 @@ def retrieve(
     if min_similarity is not None and max_distance is not None:
         raise ValueError("give a similarity floor or a distance ceiling, not both")
     k, floor = RETRIEVAL_PRESETS[preset]
-    k = min(max(top_k or k, TOP_K_RANGE[0]), TOP_K_RANGE[1])
+    k = max(top_k or k, 1)
     pool = corpus.where(F.col(corpus_id).isin(list(ids))) if ids is not None else corpus
     hits = nearest(queries, pool, k, query_id, corpus_id, carry=carry)
     if max_distance is not None:
@@ -193,16 +201,26 @@ def retrieve(
     return hits
 
 
+def _bounded_list(categories: DataFrame) -> pd.DataFrame:
+    """A configured list of categories on the driver; more than MAX_CATEGORIES are an error, never a cut."""
+    rows = categories.limit(MAX_CATEGORIES + 1).toPandas()
+    if len(rows) > MAX_CATEGORIES:
+        raise ValueError(f"more than {MAX_CATEGORIES} categories; use nearest() with the categories as corpus")
+    return rows
+
+
+def category_names(categories: DataFrame, name: str = "category") -> list[str]:
+    return _bounded_list(categories.select(name))[name].tolist()
+
+
 def category_arrays(
     emails: DataFrame, categories: DataFrame, email_id: str, vector: str = "embedding", name: str = "category"
 ) -> DataFrame:
     """(email_id, scores): categories with their cosines, best first, as one array per e-mail.
 
-    Categories are a configured list (checked against ``QUERY_CAP``); nothing shuffles.
+    Categories are a configured list (checked against ``MAX_CATEGORIES``); nothing shuffles.
     """
-    cats = categories.select(name, F.col(vector).alias("__vec")).limit(QUERY_CAP + 1).toPandas()
-    if len(cats) > QUERY_CAP:
-        raise ValueError(f"more than {QUERY_CAP} categories; use nearest() with the categories as corpus")
+    cats = _bounded_list(categories.select(name, F.col(vector).alias("__vec")))
     cats = cats.sort_values(name, ignore_index=True)
     names, mat = cats[name].to_numpy(), _unit(cats["__vec"])
     schema = T.StructType(

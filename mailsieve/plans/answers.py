@@ -64,8 +64,7 @@ def categorize(
         F.element_at("__top", F.array_position("__p", F.col("confidence")).cast("int"))["category"].alias("category"),
         "confidence", D.array_stats(F.col("__p")).alias("__s"),
     ).select("*", "__s.*").drop("__s", "n")
-    allowed = [r[name] for r in categories.select(name).limit(V.QUERY_CAP).collect()]
-    return TR.referee_gate(d, allowed, preset, fallback)
+    return TR.referee_gate(d, V.category_names(categories, name), preset, fallback)
 
 
 def dress_contexts(hits: DataFrame, metadata: Column, on_error: str = "skip") -> DataFrame:
@@ -99,16 +98,19 @@ def retrieve_contexts(
 
 def rank_contexts(
     records: DataFrame, by: str, query: str, category: str, weights: str | tuple[float, float] = "balanced",
-    max_scored: int = 50, top_n: int | None = None, scorer=None,
+    max_scored: int | None = None, top_n: int | None = None, scorer=None,
 ) -> Ranked:
-    """Score the first ``max_scored`` records of each query, mix, rank, cut, and describe the outcome.
+    """Score the records of each query, mix, rank, cut, and describe the outcome.
+
+    With ``max_scored`` only the first ones are scored; the rest take no part in ranks and probabilities.
 
     The mixed scores are written once as thin rows (query, id, scores): the results all read them, and
     neither the model nor the text scan runs again for each.
     """
     valid, _ = split_valid(records, ["id", "text"])
-    first = scale.top_per_key(valid, [by], [F.col("rnk")], max_scored, "__first").drop("__first")
-    scored = models.score(first, query, "text", "relevance", scorer)
+    if max_scored is not None:
+        valid = scale.top_per_key(valid, [by], [F.col("rnk")], max_scored, "__first").drop("__first")
+    scored = models.score(valid, query, "text", "relevance", scorer)
     scored = scored.select(by, "id", "relevance", models.lexical_alignment(F.col(category), F.col("text")).alias("alignment"))
     merged = C.merge_scores(valid.select(by, "id"), scored, [by, "id"], weights)
     ranked = C.rank_records(cut_lineage(merged), by)

@@ -34,7 +34,7 @@ def prepare_document_batch(docs: DataFrame, batch_size: int = 25, size: int = 10
     chunks = K.process_documents(good, size, overlap)
     bucket = F.floor(F.col("doc_id") / DOCS_PER_BUCKET)
     batched = K.assign_batches(chunks, batch_size, ["doc_id", "chunk_index"], bucket)
-    n = min(max(batch_size, 1), K.MAX_BATCH)
+    n = max(batch_size, 1)
     lanes = union_lanes(
         documents=docs.select("doc_id"), failed=bad.select("doc_id"), chunks=chunks.select("doc_id"),
     )

@@ -118,15 +118,41 @@ def exact_quantiles(
     return out.select(*keys, *cols)
 
 
+#: Buckets whose totals one window adds up.
+FAN = 1024
+
+
+def _sums_before(totals: DataFrame, keys: list[str], levels: int) -> DataFrame:
+    """(keys, bucket, __o): total of all earlier buckets of the key, through a tree of FAN buckets a node."""
+    place = F.col(_B)
+    if totals.schema[_B].dataType.typeName() in ("timestamp", "timestamp_ntz", "date"):
+        place = F.floor(F.unix_seconds(place.cast("timestamp")) / 3600)
+    up = totals.withColumn("__up", F.floor(place / FAN))
+    own = Window.partitionBy(*keys, "__up").orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+    inner = up.withColumn("__in", F.coalesce(F.sum("__t").over(own), F.lit(0)))
+    above = up.groupBy(*keys, F.col("__up").alias(_B)).agg(F.sum("__t").alias("__t"))
+    if levels:
+        outer = _sums_before(above, keys, levels - 1)
+    else:
+        last = Window.partitionBy(*keys, F.lit(0)).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
+        outer = above.select(*keys, _B, F.coalesce(F.sum("__t").over(last), F.lit(0)).alias("__o"))
+    outer = outer.withColumnRenamed(_B, "__up")
+    return join_null_safe(inner, outer, [*keys, "__up"]).select(*keys, _B, (F.col("__o") + F.col("__in")).alias("__o"))
+
+
 def cumulative_sum(
-    df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], value: Column, out: str
+    df: DataFrame, keys: Sequence[str], bucket: Column, order: Sequence[str], value: Column, out: str, levels: int = 1,
 ) -> DataFrame:
-    """Running sum within each key, split over buckets; ``bucket`` must be monotone in ``order``."""
+    """Running sum within each key, split over buckets; ``bucket`` is a number or a
+    time and monotone in ``order``.
+
+    Bucket totals are added up through a tree: a node has FAN children, so with ``levels`` inner levels the top
+    window sees one row for FAN ** (levels + 1) buckets.
+    """
     keys = list(keys)
     d = df.withColumn(_B, bucket).withColumn("__x", value)
     totals = d.groupBy(*keys, _B).agg(F.sum("__x").alias("__t"))
-    before = Window.partitionBy(*keys).orderBy(_B).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, _B, F.coalesce(F.sum("__t").over(before), F.lit(0)).alias("__o"))
+    offsets = _sums_before(totals, keys, levels)
     inner = Window.partitionBy(*keys, _B).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     d = d.withColumn("__in", F.sum("__x").over(inner))
     return join_null_safe(d, offsets, [*keys, _B]).withColumn(out, F.col("__o") + F.col("__in")).drop(

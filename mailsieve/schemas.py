@@ -54,31 +54,30 @@ LOG_ROW = _record(
 MODEL_REPLY = _record(category=S, confidence=D, reasons=_list(S), note=S)
 
 # fixed values: required fields and field types of the exchanged records
-_A, _M = "array", "object"
 CONTRACTS: dict[str, tuple[tuple[str, ...], dict[str, str]]] = {
     "cleaned_text": (
         ("text", "removed_sections", "word_count", "cleaning_applied"),
-        {"text": "string", "removed_sections": _A, "word_count": "integer", "cleaning_applied": _M},
+        {"text": "string", "removed_sections": "array", "word_count": "integer", "cleaning_applied": "object"},
     ),
-    "embedding_request": (("text", "metadata"), {"text": "string", "metadata": _M}),
+    "embedding_request": (("text", "metadata"), {"text": "string", "metadata": "object"}),
     "classification_request": (("content", "rules_source"), {"content": "string", "rules_source": "string"}),
     "classification_response": (
         ("selected_category", "confidence"),
-        {"selected_category": "string", "confidence": "float", "alternatives": _A, "usage_metrics": _M},
+        {"selected_category": "string", "confidence": "float", "alternatives": "array", "usage_metrics": "object"},
     ),
     "classification_result": (
-        ("pattern_match", "rule_source", "matches", "debug"), {"rule_source": "string", "matches": _A, "debug": _M},
+        ("pattern_match", "rule_source", "matches", "debug"), {"rule_source": "string", "matches": "array", "debug": "object"},
     ),
-    "prompt_request": (("context_documents", "user_query"), {"context_documents": _A, "user_query": "string"}),
+    "prompt_request": (("context_documents", "user_query"), {"context_documents": "array", "user_query": "string"}),
     "email_cleaning_result": (
         ("cleaned_text", "original_length", "cleaned_length"),
-        {"cleaned_text": "string", "removed_sections": _A, "extracted_urls": _A, "removed_sections_count": "integer",
+        {"cleaned_text": "string", "removed_sections": "array", "extracted_urls": "array", "removed_sections_count": "integer",
          "urls_count": "integer", "original_length": "integer", "cleaned_length": "integer",
          "reduction_percentage": "float"},
     ),
     "chunking_result": (
         ("chunks", "total_chunks"),
-        {"chunks": _A, "first_chunk": _M, "chunks_json": "string", "total_chunks": "integer", "total_tokens": "integer"},
+        {"chunks": "array", "first_chunk": "object", "chunks_json": "string", "total_chunks": "integer", "total_tokens": "integer"},
     ),
     "similarity_result": (
         ("similarity_score", "is_similar", "similarity_type"),
@@ -92,7 +91,7 @@ CONTRACTS: dict[str, tuple[tuple[str, ...], dict[str, str]]] = {
     ),
     "change_detection": (
         ("change_type",),
-        {"change_type": "string", "added_content": _A, "removed_content": _A, "modified_sections": _A},
+        {"change_type": "string", "added_content": "array", "removed_content": "array", "modified_sections": "array"},
     ),
     "metrics_result": (
         ("average", "median", "min", "max", "total_count"),

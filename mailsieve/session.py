@@ -11,6 +11,10 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Session setting for tests and benchmarks: deal small given files, each one task, out over so many.
+SPREAD = "spark.mailsieve.spread"
+
+
 def build_session(app: str = "mailsieve", cpus: int | None = None, memory: str = "16g") -> SparkSession:
     """Local session for tests and benchmarks; a cluster brings its own session."""
     n = cpus or os.cpu_count() or 4
@@ -23,6 +27,7 @@ def build_session(app: str = "mailsieve", cpus: int | None = None, memory: str =
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.driver.memory", memory)
+        .config(SPREAD, str(n))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
@@ -34,8 +39,8 @@ def build_session(app: str = "mailsieve", cpus: int | None = None, memory: str =
 def scratch_dir(spark: SparkSession) -> str:
     """Shared folder for checkpoints and intermediate tables.
 
-    The cluster names it in ``spark.checkpoint.dir``.  Only when that is unset (tests on one
-    machine) is a fresh local folder used.
+    The cluster names it in ``spark.checkpoint.dir``.  Only when that is unset and the master is local (tests
+    on one machine) is a fresh local folder used; elsewhere executors could not read each other's files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
@@ -43,6 +48,8 @@ def scratch_dir(spark: SparkSession) -> str:
     current = spark.sparkContext._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get()
+    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     fresh = tempfile.mkdtemp(prefix="mailsieve-")
     spark.sparkContext.setCheckpointDir(fresh)
     return fresh

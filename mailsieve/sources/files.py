@@ -12,8 +12,6 @@ from mailsieve.functions.mime import ext_for_mime, is_editor_mime, is_textual_mi
 from mailsieve.functions.text import strip_urls
 
 FOLDER_MIME = "application/vnd.google-apps.folder"
-PAGE_SIZE = (1, 1000)
-MAX_BYTES = 10 * 1024 * 1024
 
 
 def scan_files(spark: SparkSession, path: str, glob: str = "*", after: str | None = None, before: str | None = None) -> DataFrame:
@@ -28,9 +26,13 @@ def scan_files(spark: SparkSession, path: str, glob: str = "*", after: str | Non
 
 def list_files(
     files: DataFrame, modified_after=None, modified_before=None, mime_types: Sequence[str] | str = (),
-    exclude_folders: bool = False, parent=None, limit: int = 100,
+    exclude_folders: bool = False, parent=None, limit: int | None = None, after: tuple | None = None,
 ) -> DataFrame:
-    """Newest files first (columns ``id``, ``mime``, ``modified``, ``parent_id``); bounds are inclusive."""
+    """Files (columns ``id``, ``mime``, ``modified``, ``parent_id``); bounds are inclusive.
+
+    With a ``limit`` a page comes out, newest first, ties by id; ``after`` is (modified, id) of the last row of
+    the page before.
+    """
     types = mime_types.split(",") if isinstance(mime_types, str) else list(mime_types)
     types = [t.strip() for t in types if t.strip()]
     d = files
@@ -44,7 +46,10 @@ def list_files(
         d = d.where(F.col("mime") != FOLDER_MIME)
     if parent is not None:
         d = d.where(F.col("parent_id") == parent)
-    return d.orderBy(F.desc("modified"), "id").limit(min(max(limit, PAGE_SIZE[0]), PAGE_SIZE[1]))
+    if after is not None:
+        at, last = after
+        d = d.where((F.col("modified") < at) | ((F.col("modified") == at) & (F.col("id") > last)))
+    return d if limit is None else d.orderBy(F.desc("modified"), "id").limit(limit)
 
 
 def list_objects(objects: DataFrame, prefix: str = "", delimiter: str = "") -> tuple[DataFrame, DataFrame]:
@@ -59,14 +64,15 @@ def list_objects(objects: DataFrame, prefix: str = "", delimiter: str = "") -> t
 
 
 def read_content(
-    df: DataFrame, raw: str = "bytes", mime: str = "mime", mode: str = "text", max_bytes: int = MAX_BYTES, no_urls: bool = False,
+    df: DataFrame, raw: str = "bytes", mime: str = "mime", mode: str = "text", max_bytes: int | None = None, no_urls: bool = False,
 ) -> DataFrame:
     """Content by mode (none, text, bytes) with digests of the fetched bytes.
 
     Text is read from textual types only; other types get status 415 and no content.  Broken UTF-8 is
-    replaced and a byte order mark dropped.
+    replaced and a byte order mark dropped.  ``max_bytes`` fetches a prefix and flags what was cut.
     """
-    fetched = F.when(F.octet_length(raw) > max_bytes, F.substring(F.col(raw), 1, max_bytes)).otherwise(F.col(raw))
+    size = F.lit(2**31 - 1 if max_bytes is None else max_bytes)
+    fetched = F.when(F.octet_length(raw) > size, F.substring(F.col(raw), F.lit(1), size)).otherwise(F.col(raw))
     d = df.withColumn("__b", fetched if mode != "none" else F.lit(None).cast("binary"))
     textual = is_textual_mime(F.col(mime))
     status = F.when(~textual, 415).otherwise(200) if mode == "text" else F.lit(200)
@@ -78,7 +84,7 @@ def read_content(
         d.withColumn("status", status)
         .withColumn("text_content", F.when(ok & F.lit(mode == "text"), text))
         .withColumn("content_bytes", F.when(ok & F.lit(mode == "bytes"), F.base64("__b")))
-        .withColumn("content_truncated", ok & F.lit(mode != "none") & (F.octet_length(raw) > max_bytes))
+        .withColumn("content_truncated", ok & F.lit(mode != "none") & (F.octet_length(raw) > size))
         .withColumn("fetched_bytes", F.when(ok, F.octet_length("__b")))
         .withColumn("checksum_md5", F.when(ok, F.md5("__b")))
         .withColumn("checksum_sha256", F.when(ok, F.sha2("__b", 256)))

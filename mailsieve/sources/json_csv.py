@@ -18,8 +18,11 @@ MAX_HEADERS = 10_000
 
 @dataclass(frozen=True)
 class CsvTable:
+    """Header, lines, and the rows that are no object: (key, pos, error)."""
+
     header: list[str]
     lines: DataFrame
+    errors: DataFrame
 
 
 def flatten(value, prefix: str, out: dict[str, str], empty_as_blank: bool) -> None:
@@ -77,17 +80,19 @@ def first_seen(flat: DataFrame) -> DataFrame:
 def json_to_csv(df: DataFrame, key: str, json_col: str, empty_as_blank: bool = True) -> CsvTable:
     """Header in first-seen order and one quoted line per row.
 
-    Only the distinct paths (column names) reach the driver; rows are flattened once and written once.
+    Only the distinct paths (column names) reach the driver.
     """
-    flat = flatten_rows(df, key, json_col, empty_as_blank).where(F.col("error").isNull())
+    every = flatten_rows(df, key, json_col, empty_as_blank)
+    flat = every.where(F.col("error").isNull())
     head = first_seen(flat).orderBy("first").limit(MAX_HEADERS + 1).collect()
     if len(head) > MAX_HEADERS:
         raise ValueError(f"more than {MAX_HEADERS} columns")
     names = [r["path"] for r in head]
-    cells = F.map_from_arrays("paths", "cells")
-    d = flat.withColumn("__m", cells)
-    line = F.concat_ws(",", *[csv_field(F.try_element_at("__m", F.lit(n))) for n in names])
-    return CsvTable(names, d.select("key", "pos", line.alias("line")))
+    d = flat.withColumn("__m", F.map_from_arrays("paths", F.transform("cells", csv_field)))
+    header = F.array(*[F.lit(n) for n in names]).cast("array<string>")
+    line = F.array_join(F.transform(header, lambda n: F.coalesce(F.try_element_at("__m", n), csv_field(F.lit(None)))), ",")
+    errors = every.where(F.col("error").isNotNull()).select("key", "pos", "error")
+    return CsvTable(names, d.select("key", "pos", line.alias("line")), errors)
 
 
 def write_csv(table: CsvTable, path: str) -> None:

@@ -9,23 +9,6 @@ from pyspark.sql import types as T
 from mailsieve.functions.text import strip
 from mailsieve.schemas import LOG_ROW
 
-MAX_TEMPLATES = 2000
-SPREAD_BELOW = 1 << 30
-
-
-def spread(df: DataFrame, below: int = SPREAD_BELOW) -> DataFrame:
-    """Round-robin a small input over all cores before heavy per-row work.
-
-    A small file is one row group and so one task, whatever the cluster.  The size check leaves large
-    inputs, which already have far more splits than cores, without the extra shuffle.
-    """
-    if not hasattr(df, "_jdf"):
-        return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(size)) >= below:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)
-
 
 def resolve_template(
     templates: DataFrame, selections: DataFrame, pick: str, value_field: str | None = None, record_id: str = "record_id",
@@ -40,7 +23,7 @@ def resolve_template(
 
 def template_options(templates: DataFrame, display: str = "display", active: str = "active") -> DataFrame:
     """Active templates ordered by display name, ignoring case."""
-    return templates.where(F.col(active)).orderBy(F.lower(display)).limit(MAX_TEMPLATES)
+    return templates.where(F.col(active)).orderBy(F.lower(display))
 
 
 def load_categories(spark: SparkSession, path: str) -> DataFrame:

@@ -24,15 +24,15 @@ def vectors(spark):
     return rows, spark.createDataFrame(rows, "vec_id long, embedding array<double>")
 
 
-def test_both_search_paths_are_exact(vectors):
+def test_search_in_blocks_is_exact(vectors):
     rows, df = vectors
     mat = np.array([v for _, v in rows])
     mat /= np.linalg.norm(mat, axis=1, keepdims=True)
-    cos = np.round(mat @ mat.T, 6)
+    cos = np.round(mat @ mat.T, 12)
     queries = df.where("vec_id < 30").select(F.col("vec_id").alias("q"), "embedding")
     want = {q: sorted(range(len(rows)), key=lambda j: (-cos[q, j], j))[:7] for q in range(30)}
     for cap in (4096, 8):
-        hits = V.nearest(queries, df, 7, "q", "vec_id", query_cap=cap).collect()
+        hits = V.nearest(queries, df, 7, "q", "vec_id", query_block=cap).collect()
         got: dict[int, list] = {}
         for r in sorted(hits, key=lambda r: r["rank"]):
             got.setdefault(r["q"], []).append(r["vec_id"])

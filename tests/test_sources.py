@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from mailsieve.operators import vectors as V
 from mailsieve.operators.schedule import dedupe_alerts
 from mailsieve.sources import files, json_csv, sinks
-from mailsieve.sources.tables import load_categories, spread
+from mailsieve.sources.tables import load_categories
 from mailsieve.streaming import flows
 
 
@@ -59,9 +59,51 @@ def test_too_few_categories(spark, tmp_path):
         load_categories(spark, str(tmp_path / "c.json"))
 
 
-def test_spread_leaves_large_inputs(spark):
-    d = spark.range(10)
-    assert "RoundRobin" not in spread(d, below=1)._jdf.queryExecution().toString()
+def test_spread_follows_the_session(spark):
+    from mailsieve.fixtures import spread
+    from mailsieve.session import SPREAD
+
+    d, n = spark.range(10), spark.conf.get(SPREAD)
+    assert spread(d).rdd.getNumPartitions() == int(n)
+    spark.conf.unset(SPREAD)
+    try:
+        assert spread(d) is d
+    finally:
+        spark.conf.set(SPREAD, n)
+
+
+def test_scratch_needs_a_shared_folder_off_one_machine():
+    from types import SimpleNamespace
+
+    from mailsieve.session import scratch_dir
+
+    unset = SimpleNamespace(isDefined=lambda: False)
+    far = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *a: None), sparkContext=SimpleNamespace(
+            master="yarn", _jsc=SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: unset))))
+    with pytest.raises(RuntimeError):
+        scratch_dir(far)
+
+
+def test_listings_have_no_cap_and_pages_join_up(spark):
+    from mailsieve.operators.graph import list_tree
+    from mailsieve.sources.files import list_files
+
+    files = spark.range(2500).selectExpr("id", "'m' AS mime", "id % 7 AS modified", "0L AS parent_id")
+    every = list_files(files)
+    assert every.count() == 2500
+    seen, after = [], None
+    while rows := list_files(files, limit=999, after=after).collect():
+        seen += [r.id for r in rows]
+        after = (rows[-1].modified, rows[-1].id)
+    assert seen == [r.id for r in every.orderBy(F.desc("modified"), "id").collect()]
+    tree = spark.range(12_000).selectExpr("id + 1 AS id", "id DIV 100 AS parent_id")
+    listed = list_tree(tree, tree, 0)
+    assert listed.count() == 12_000
+    page = list_tree(tree, tree, 0, limit=11_000).collect()
+    last = page[-1]
+    assert len(page) == 11_000
+    assert list_tree(tree, tree, 0, after=(last.depth, last.folder, last.id)).count() == 1000
 
 
 def test_retrieval_error_mode(spark):

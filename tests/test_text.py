@@ -127,3 +127,36 @@ def test_diff_accounts_for_every_line(cur, prev):
 
 def test_topics_ties_by_word():
     assert cleaning._topics("Beta alpha beta ALPHA gamma with", 2) == [{"word": "alpha", "n": 2}, {"word": "beta", "n": 2}]
+
+
+def test_entities_are_decoded_once(spark):
+    rows = ["&#8217;&apos;&#x27;&#X41;&lt;&amp;lt;", "&#38;amp; &#0; &#xD800; &#1114112; &# ; &#65", "&#128512;&#233;", "a & b"]
+    d = spark.createDataFrame([(r,) for r in rows], "t string")
+    got = [r[0] for r in d.select(X.html_to_text(F.col("t"))).collect()]
+    assert got == ["\u2019''A<&lt;", "&amp; &#0; &#xD800; &#1114112; &# ; &#65", "\U0001f600é", "a & b"]
+
+
+def test_token_change_drops_trailing_blanks_only(spark):
+    rows = [("a b\n", "a b", 0.0), (" a", "a", 50.0), ("", " ", 0.0), ("a", "b", 100.0)]
+    d = spark.createDataFrame(rows, "a string, b string, want double")
+    assert all(r[0] == r[1] for r in d.select(X.token_change(F.col("a"), F.col("b")), "want").collect())
+
+
+def test_smart_changes_look_at_the_texts(spark):
+    cur = spark.createDataFrame([(1, "a b\n"), (2, "x\nb\nc"), (3, "same"), (4, "b a")], "k int, text string")
+    prev = spark.createDataFrame([(1, "a b"), (2, "b\nd"), (3, "same"), (4, "a b"), (5, "gone")], "k int, text string")
+    got = {r.k: r for r in changes.detect_changes(cur, prev, "k", check_type="smart").collect()}
+    assert {k: (r.has_changed, r.change_type) for k, r in got.items()} == {
+        1: (False, "none"), 2: (True, "smart_changed"), 3: (False, "none"), 4: (True, "smart_changed"), 5: (True, "hash_changed")}
+    assert got[2].added_content == ["x", "c"] and got[2].removed_content == ["d"]
+    assert [s.type for s in got[2].modified_sections] == ["added", "modified"]
+    assert got[4].change_percentage == 0.0 and got[4].modified_sections[0].current_lines == ["b a"]
+    content = {r.k: r for r in changes.detect_changes(cur, prev, "k", check_type="content").collect()}
+    assert content[1].has_changed and content[1].change_type == "content_changed" and content[1].modified_sections == []
+
+
+def test_marks_agree_with_a_plain_search():
+    for words in ("One two. Three four! Five", "no stops here at all but blanks " * 20, "x" * 900):
+        for start, end in chunking.word_spans(words, 40, 5):
+            assert 0 < end - start <= 90
+    assert [s for s in chunking.word_spans("aa. bb cc", 5, 0)] == [(0, 4), (4, 9)]

@@ -115,6 +115,7 @@ def test_json_csv_sample(spark):
     t = json_to_csv(spark.createDataFrame([(0, text)], "k int, j string"), "k", "j")
     assert t.header == ["id", "user.name", "tags[0]", "user", "z"]
     assert [r["line"] for r in t.lines.orderBy("pos").collect()] == ['1,"A, B",x,,', '2,,,,"q""r"']
+    assert [(r["key"], r["pos"], r["error"]) for r in t.errors.collect()] == [(0, 2, "element is not an object")]
 
 
 def test_context_shapes(spark):
