@@ -124,7 +124,14 @@ def _(v):
     return A.run_funnel(v.E, v.PRED, rules.quick_rules(QUICK), I.actionable_intents("hr_intents"))
 
 
-@query("q9_with_telemetry", "L", sql="SELECT status, CASE WHEN status = 'ok' THEN 200 ELSE 500 END AS http_status, CASE WHEN status = 'ok' THEN 'OK' ELSE 'error' END AS message, count(*) AS n FROM L GROUP BY 1")
+@query("q9_with_telemetry", "L", sql="""
+SELECT event_id, status, CASE WHEN status = 'ok' THEN 200 ELSE 500 END AS http_status, CASE WHEN status = 'ok' THEN 'OK' ELSE 'error' END AS message,
+  latency_ms AS duration_ms, retrieval_filter AS filter, CASE WHEN status = 'ok' THEN correlation_id ELSE md5('run|retrieve|' || event_id) END AS correlation_id FROM L""")
 def _(v):
-    d = A.with_telemetry(v.L.drop("http_status"), "retrieve", F.col("status") == "ok", corr="correlation_id")
-    return d.groupBy("status", "telemetry.http_status", "telemetry.message").agg(F.count("*").alias("n"))
+    d = v.L.drop("http_status").withColumn("correlation_id", F.when(F.col("status") == "ok", F.col("correlation_id")))
+    end = F.timestamp_millis(F.unix_millis(F.col("ts").cast("timestamp")) + F.col("latency_ms"))
+    d = A.with_telemetry(
+        d, "retrieve", "event_id", "run", F.col("status") == "ok", corr="correlation_id", started=F.col("ts").cast("timestamp"),
+        ended=end, facets={"filter": F.col("retrieval_filter"), "top_k": F.col("retrieval_top_k")})
+    t = [F.col(f"telemetry.{c}").alias(c) for c in ("http_status", "message", "duration_ms", "correlation_id")]
+    return d.select("event_id", "status", *t, F.try_element_at("telemetry.facets", F.lit("filter")).alias("filter"))

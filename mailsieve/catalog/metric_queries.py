@@ -256,7 +256,7 @@ def _(v):
     )
 
 
-@query("f53_ensure_correlation_id", "L")
+@query("f53_ensure_correlation_id", "L", sql="SELECT event_id, true AS present FROM L")
 def _(v):
     from mailsieve.functions.ids import ensure_correlation_id
 

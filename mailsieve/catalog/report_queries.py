@@ -140,6 +140,11 @@ def _(v):
     return CR.engagement_health(metrics(v))
 
 
+@query("a39_client_health", "CONTR INTER", sql=METR + " " + ROLL.format(k="client"))
+def _(v):
+    return CR.client_health(metrics(v))
+
+
 @query("a39_manager_coverage", "CONTR INTER", sql=METR + " " + ROLL.format(k="manager_id"))
 def _(v):
     return CR.manager_coverage(metrics(v))
@@ -174,11 +179,23 @@ def _(v):
     return a.unionByName(b)
 
 
-@query("a40_graph_stats", "G", sql="SELECT kind, count(*) AS edges, count(DISTINCT src) AS callers, count(DISTINCT dst) AS callees FROM G GROUP BY 1")
+@query("a40_graph_stats", "G", sql="""
+SELECT kind, count(*) AS edges, count(DISTINCT src) AS callers, count(DISTINCT dst) AS callees,
+  (SELECT count(DISTINCT x) FROM (SELECT src AS x, kind AS k FROM G UNION ALL SELECT dst, kind FROM G) n WHERE n.k = G.kind) AS nodes FROM G GROUP BY 1""")
 def _(v):
     return G.graph_stats(v.G)
 
 
+@query("a40_owner_surface", "L", sql="SELECT job_id, count(DISTINCT action) AS endpoints, count(DISTINCT event_type) AS verbs, count(*) AS calls FROM L GROUP BY 1")
+def _(v):
+    return G.owner_surface(v.L, "job_id", "action", "event_type")
+
+
+@query("a40_issue_counts", "L", sql="SELECT severity, http_status, count(*) AS issues, count(DISTINCT job_id) AS owners FROM L WHERE severity <> 'INFO' GROUP BY 1, 2")
+def _(v):
+    return G.issue_counts(v.L.where("severity != 'INFO'"), "severity", "http_status", "job_id")
+
+
 @query("a41_call_cycles", "G", sql="""--recursive
 p(src, dst) AS (SELECT src, dst FROM G UNION SELECT p.src, g.dst FROM p JOIN G g ON p.dst = g.src),
 c AS (SELECT a.src AS node, min(a.dst) AS component, count(DISTINCT a.dst) AS size FROM p a JOIN p b ON a.src = b.dst AND a.dst = b.src GROUP BY 1)

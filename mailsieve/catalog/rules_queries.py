@@ -137,6 +137,14 @@ def _(v):
     return T.normalize_email(v.E).select("email_id", "email_text")
 
 
+@query("p1_blank_messages", "E", sql=f"""
+SELECT email_id, 'blank_message' AS reason FROM (SELECT email_id, '' AS subject, CASE WHEN email_id % 3 = 0 THEN ' ' ELSE body END AS body FROM E) x
+WHERE {strip('subject')} = '' AND {strip('body')} = ''""")
+def _(v):
+    d = v.E.withColumn("subject", F.lit("")).withColumn("body", F.when(F.col("email_id") % 3 == 0, " ").otherwise(F.col("body")))
+    return T.blank_messages(d).select("email_id", "reason")
+
+
 @query("p2_quick_rules", "E", sql=f"""
 SELECT coalesce({first_sql(R.quick_rules(QUICK), lambda r: r.action)}, 'none') AS action, count(*) AS n FROM E GROUP BY 1""")
 def _(v):
@@ -220,6 +228,15 @@ def _(v):
     return d.select("email_id", F.array_join("m.rule_id", "; ").alias("rules"), F.array_join("m.sample", "; ").alias("samples"))
 
 
+@query("p9_signal_flags", "E", sql=f"""
+SELECT email_id, array_to_string(list_transform(list_filter({STD_IDS}, x -> x LIKE 'std:sender:%'), x -> substr(x, 12)), '; ') AS sender,
+  array_to_string(list_transform(list_filter({STD_IDS}, x -> x LIKE 'std:subject:%'), x -> substr(x, 13)), '; ') AS subject,
+  array_to_string(list_transform(list_filter({STD_IDS}, x -> x LIKE 'std:body:%'), x -> substr(x, 10)), '; ') AS body FROM E""")
+def _(v):
+    d = v.E.withColumn("f", R.signal_flags(R.standard_signals()))
+    return d.select("email_id", *[F.array_join(f"f.{n}_flags", "; ").alias(n) for n in ("sender", "subject", "body")])
+
+
 LIVE = [dict(zip(("rule_id", "rule_type", "rule_pattern", "action", "priority", "active"), r)) for r in RULE_ROWS]
 LIVE = sorted((r | {"priority": 1000 if r["priority"] is None else r["priority"]} for r in LIVE if r["active"]),
               key=lambda r: (r["priority"], r["rule_id"]))

@@ -56,3 +56,7 @@ def engagement_health(metrics: DataFrame) -> DataFrame:
 
 def manager_coverage(metrics: DataFrame) -> DataFrame:
     return rollup(metrics, "manager_id")
+
+
+def client_health(metrics: DataFrame) -> DataFrame:
+    return rollup(metrics, "client")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mailsieve.session import cut_lineage
+from mailsieve.session import cut_lineage, release
 
 
 def undefined_calls(edges: DataFrame, defined: DataFrame) -> DataFrame:
@@ -19,12 +19,28 @@ def unused(defined: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def graph_stats(edges: DataFrame) -> DataFrame:
-    """Calls, callers and callees per kind."""
-    return edges.groupBy("kind").agg(
-        F.count("*").alias("edges"), F.countDistinct("src").alias("callers"), F.countDistinct("dst").alias("callees")
+    """Calls, callers, callees and nodes per kind."""
+    ends = F.explode(F.array(F.struct(F.col("src").alias("node"), F.lit(1).alias("calls")),
+                             F.struct(F.col("dst").alias("node"), F.lit(0).alias("calls")))).alias("end")
+    d = edges.select("kind", ends).groupBy("kind", "end.node").agg(
+        F.sum("end.calls").alias("calls"), F.count_if(F.col("end.calls") == 0).alias("called"))
+    return d.groupBy("kind").agg(
+        F.sum("calls").alias("edges"), F.count_if(F.col("calls") > 0).alias("callers"),
+        F.count_if(F.col("called") > 0).alias("callees"), F.count("*").alias("nodes"),
     )
 
 
+def owner_surface(calls: DataFrame, owner: str, endpoint: str, verb: str) -> DataFrame:
+    """Endpoints, verbs and calls of each owner."""
+    return calls.groupBy(owner).agg(
+        F.countDistinct(endpoint).alias("endpoints"), F.countDistinct(verb).alias("verbs"), F.count("*").alias("calls"))
+
+
+def issue_counts(issues: DataFrame, severity: str, code: str, owner: str) -> DataFrame:
+    """Issues and owners by severity and code."""
+    return issues.groupBy(severity, code).agg(F.count("*").alias("issues"), F.countDistinct(owner).alias("owners"))
+
+
 def call_cycles(edges: DataFrame) -> DataFrame:
     """(node, component) of every node on a cycle; a component is named by its smallest node.
 
@@ -64,10 +80,11 @@ def _trim(e: DataFrame) -> DataFrame:
     """Drop edges whose ends cannot lie on a cycle until nothing changes."""
     before = e.count()
     while before:
-        e = cut_lineage(
+        last, e = e, cut_lineage(
             e.join(e.select(F.col("dst").alias("src")).distinct(), "src", "left_semi")
             .join(e.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst")
         )
+        release(last)
         after = e.count()
         if after == before:
             break
@@ -85,7 +102,8 @@ def _min_label(nodes: DataFrame, e: DataFrame) -> DataFrame:
                 F.col("dst").alias("node"), "label", F.lit(None).cast(new.schema["old"].dataType).alias("old")
             )
             new = new.unionByName(sent).groupBy("node").agg(F.min("label").alias("label"), F.max("old").alias("old"))
-        labels = cut_lineage(new.select("node", "label", (F.col("label") < F.col("old")).alias("moved")))
+        last, labels = labels, cut_lineage(new.select("node", "label", (F.col("label") < F.col("old")).alias("moved")))
+        release(last)
     return labels.select("node", "label")
 
 
@@ -99,10 +117,12 @@ def _same_label_reach(fwd: DataFrame, e: DataFrame) -> DataFrame:
     reached = cut_lineage(f.where(F.col("node") == F.col("component")))
     size = reached.count()
     while True:
+        last = reached
         for _ in range(STEPS):
             step = reached.join(inner, reached["node"] == inner["dst"]).select(F.col("src").alias("node"), "component")
             reached = reached.unionByName(step).distinct()
         reached = cut_lineage(reached)
+        release(last)
         grown = reached.count()
         if grown == size:
             return reached

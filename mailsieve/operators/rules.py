@@ -410,6 +410,15 @@ def standard_signals() -> Column:
     ]))
 
 
+def signal_flags(signals: Column) -> Column:
+    """Patterns that matched, by field, of ``standard_signals``."""
+    def of(name: str) -> Column:
+        own = F.filter(signals, lambda m: m["rule_type"] == name)
+        return F.transform(own, lambda m: m["rule_pattern"]).alias(f"{name}_flags")
+
+    return F.struct(*[of(name) for name in STANDARD_PATTERNS])
+
+
 def rule_regex(pattern: str) -> str:
     """``/re/`` and ``re:`` are expressions, anything else is literal; always case-insensitive."""
     p = pattern.strip()

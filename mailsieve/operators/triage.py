@@ -41,7 +41,8 @@ INTENT_THRESHOLD = 0.70
 
 
 def normalize_email(df: DataFrame) -> DataFrame:
-    """Null-free envelope with the combined text; messages with neither subject nor body leave."""
+    """Null-free envelope with the combined text; messages with neither subject nor body leave (see
+    ``blank_messages``)."""
     s, b = blank(F.col("subject")), blank(F.col("body"))
     parts = F.array_compact(
         F.array(
@@ -53,6 +54,12 @@ def normalize_email(df: DataFrame) -> DataFrame:
     return d.where((strip(s) != "") | (strip(b) != "")).withColumn("email_text", F.array_join(parts, "\n\n"))
 
 
+def blank_messages(df: DataFrame) -> DataFrame:
+    """The reject lane of ``normalize_email``: messages with neither subject nor body."""
+    s, b = blank(F.col("subject")), blank(F.col("body"))
+    return df.where((strip(s) == "") & (strip(b) == "")).withColumn("reason", F.lit("blank_message"))
+
+
 def deterministic_filter(
     emails: DataFrame, pack: R.RulePack | None = None, thresholds: Mapping[str, int] | str = "balanced",
     type_mapping: Mapping[str, str] | None = None, labels: Mapping[str, str] | None = None,

@@ -12,7 +12,6 @@ from pyspark.sql import types as T
 from mailsieve import scale
 from mailsieve.functions import jsonx as J
 from mailsieve.functions import models
-from mailsieve.functions.ids import ensure_correlation_id
 from mailsieve.functions.text import blank, sanitize_pdf, strip
 from mailsieve.operators import contexts as C
 from mailsieve.operators import distribution as D
@@ -177,14 +176,27 @@ def run_funnel(
     return one.select(F.expr(f"stack({len(stages)}, {pairs}) AS (step, stage, n)"))
 
 
-def with_telemetry(df: DataFrame, stage: str, ok: Column | None = None, message: Column | None = None, corr: str | None = None) -> DataFrame:
-    """Envelope columns on every row, and row counts as observed metrics of the run (no extra job)."""
+def with_telemetry(
+    df: DataFrame, stage: str, key: str, run_id: str, ok: Column | None = None, message: Column | None = None,
+    corr: str | None = None, started: Column | None = None, ended: Column | None = None,
+    facets: dict[str, Column] | None = None,
+) -> DataFrame:
+    """Envelope columns on every row, and row counts as observed metrics of the run (no extra job).
+
+    Without an id of its own a row gets one that follows from run, stage and ``key``, so a repeated task gives
+    it again.  ``facets`` go into a map of strings; without start and end the duration is null.
+    """
     good = F.lit(True) if ok is None else ok
-    cid = ensure_correlation_id(F.col(corr)) if corr else F.uuid()
+    own = F.md5(F.concat_ws("|", F.lit(run_id), F.lit(stage), F.col(key).cast("string")))
+    cid = own if corr is None else F.coalesce(F.nullif(strip(F.col(corr)), F.lit("")), own)
+    took = F.lit(None).cast("long") if started is None or ended is None else F.unix_millis(ended) - F.unix_millis(started)
+    pairs = [x for n, c in (facets or {}).items() for x in (F.lit(n), c.cast("string"))]
+    facet_map = F.create_map(*pairs) if pairs else F.create_map().cast("map<string,string>")
     tele = F.struct(
         F.when(good, 200).otherwise(500).alias("http_status"),
         F.coalesce(F.lit(None).cast("string") if message is None else message, F.when(good, "OK").otherwise("error")).alias("message"),
-        F.lit(stage).alias("stage"), cid.alias("correlation_id"),
+        F.lit(stage).alias("stage"), cid.alias("correlation_id"), took.alias("duration_ms"),
+        F.map_filter(facet_map, lambda k, v: v.isNotNull()).alias("facets"),
     )
     d = df.withColumn("ok", good).withColumn("telemetry", tele)
     return d.observe(f"stage_{stage}", F.count(F.lit(1)).alias("rows"), F.count_if(~F.col("ok")).alias("failed"))

@@ -56,11 +56,24 @@ def scratch_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared scratch folder and read it back, so a lost executor loses nothing."""
+    """Write ``df`` to the shared scratch folder and read it back, so a lost executor loses nothing.
+
+    The folder stays until ``release`` or whoever owns the scratch folder deletes it.
+    """
     spark = df.sparkSession
     path = f"{scratch_dir(spark).rstrip('/')}/cut-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def release(df: DataFrame) -> None:
+    """Delete what ``cut_lineage`` wrote for ``df``; nothing may read it any more."""
+    path = getattr(df, "_cut_path", None)
+    if path:
+        place = df.sparkSession._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def ship_package(spark: SparkSession) -> None:
