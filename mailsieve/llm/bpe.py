@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -12,29 +13,89 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from mailsieve.llm.shingles import mix, powers
 from mailsieve.llm.streams import slices
 
 #: Code points of a chunk, and how far a chunk reads into the next one.
 CHUNK, OVERLAP = 1 << 14, 256
-#: Pieces kept with their ids by a Python worker, none longer than so many characters.
-KEPT_PIECES, KEPT_CHARS = 100_000, 48
-#: Pieces over so many bytes are merged with a heap instead of by repeated search.
+#: Bytes of text, or of ids, worked on together.
+SLICE = 2 << 20
+#: A boundary is decided by at most so many characters after it.
+MARGIN = 4
+#: Pieces kept with their ids by a Python worker, none longer than so many bytes.
+KEPT_PIECES, KEPT_BYTES = 150_000, 48
+#: Pieces over so many bytes are merged with a heap, one by one.
 LONG_PIECE = 128
+_NEVER = np.int64(1 << 40)
 
+# Fixed value: the pattern whose pieces follow from classes of neighbouring characters.
+CLASS_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_OTHER, _LETTER, _NUMBER, _BLANK = range(4)
+_SHORT_ENDINGS, _LONG_ENDINGS = "stmd", ("re", "ve", "ll")
 
-class _Pieces(dict):
-    """Ids of pieces as bytes, made when first asked for."""
 
-    def __init__(self, encode: Callable[[bytes], list[int]]) -> None:
-        self.encode = encode
+@cache
+def _classes() -> np.ndarray:
+    """Class of every code point."""
+    every = "".join(chr(i) if not 0xD800 <= i < 0xE000 else " " for i in range(0x110000))
+    out = np.zeros(0x110000, np.uint8)
+    for kind, pattern in ((_LETTER, r"\p{L}+"), (_NUMBER, r"\p{N}+"), (_BLANK, r"\p{White_Space}+")):
+        for m in regex.finditer(pattern, every):
+            out[m.start() : m.end()] = kind
+    out[0xD800:0xE000] = _OTHER
+    return out
 
-    def __missing__(self, piece: str) -> bytes:
-        ids = np.array(self.encode(piece.encode()), "<u4").tobytes()
-        if len(piece) <= KEPT_CHARS:
-            if len(self) >= KEPT_PIECES:
-                self.clear()
-            self[piece] = ids
-        return ids
+
+def code_points(text: str) -> np.ndarray:
+    return np.frombuffer(text.encode("utf-32-le"), np.uint32)
+
+
+def class_starts(points: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Where the pieces of CLASS_PATTERN start, for texts that lie end to end from ``rows`` on.
+
+    A run of one class is a piece.  A blank before a run belongs to it if it is a space; the blanks before
+    that one are a piece.  An apostrophe that starts a piece takes the short endings.
+    """
+    n = len(points)
+    kind = _classes()[points]
+    first = np.zeros(n + 1, bool)
+    first[rows] = True
+    first = first[:n]
+    turn = first.copy()
+    turn[1:] |= kind[1:] != kind[:-1]
+    blank = kind == _BLANK
+    spaced = np.zeros(n, bool)
+    spaced[1:] = (points[:-1] == 32) & ~first[1:]
+    starts = turn & (blank | ~spaced)
+    starts[:-1] |= blank[:-1] & ~blank[1:] & ~first[1:]
+    marks = np.flatnonzero(starts & (points == 39))
+    if len(marks):
+        ends = rows[np.searchsorted(rows, marks, side="right")]
+        ahead = [np.where(marks + k < ends, points[np.minimum(marks + k, n - 1)], 0) for k in (1, 2)]
+        size = np.zeros(len(marks), np.int64)
+        for ending in _LONG_ENDINGS:
+            size[(ahead[0] == ord(ending[0])) & (ahead[1] == ord(ending[1]))] = 2
+        size[np.isin(ahead[0], [ord(c) for c in _SHORT_ENDINGS])] = 1
+        marks, ends, size = marks[size > 0], ends[size > 0], size[size > 0]
+        starts[marks + 1] = False
+        after = marks + 1 + size
+        starts[after[after < ends]] = True
+    return starts
+
+
+_BYTE_MARKS = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _by_content(raw: bytes, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An example of each distinct piece and which each piece is, should two have had one hash."""
+    seen: dict[bytes, int] = {}
+    one: list[int] = []
+    which = np.empty(len(starts), np.int64)
+    for i, (a, n) in enumerate(zip(starts.tolist(), sizes.tolist(), strict=True)):
+        which[i] = seen.setdefault(raw[a : a + n], len(one))
+        if which[i] == len(one):
+            one.append(i)
+    return np.array(one), which
 
 
 class Coder:
@@ -46,66 +107,116 @@ class Coder:
         self.tokens = [b""] * (max(self.ranks.values()) + 1)
         for token, rank in self.ranks.items():
             self.tokens[rank] = token
-        self.split = regex.compile(pattern).findall
+        self.split = None if pattern == CLASS_PATTERN else regex.compile(pattern).findall
         self.chunk, self.overlap = chunk, overlap
-        self.pieces = _Pieces(self.merge)
-
-    def pre_tokens(self, text: str) -> list[str]:
-        """Matches of the pattern over the whole text, from chunks that are matched independently.
-
-        Matching looks ahead only, so two runs that share a boundary agree from there on.  A chunk's run is
-        right up to its last piece, which may have been cut; it goes on into the next chunk until both have a
-        boundary in common.  If the overlap has none, the next chunk is matched again from the last sure one.
+        self.kept: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
+        self.byte_pairs = np.array(
+            [self.ranks.get(bytes([a, b]), _NEVER) for a in range(256) for b in range(256)], np.int64)
+        pairs = {
+            (self.ranks[t[:k]] << 32) + self.ranks[t[k:]]: rank for t, rank in self.ranks.items()
+            for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks}
+        self.pairs = np.sort(np.fromiter(pairs, np.int64, len(pairs)))
+        self.pair_ranks = np.array([pairs[x] for x in self.pairs.tolist()], np.int64)
+
+    def _runs(self, parts: list[str]) -> list[np.ndarray]:
+        """For each text by itself, where its pieces start, and its length."""
+        if self.split is not None:
+            return [np.cumsum([0, *map(len, self.split(part))]) for part in parts]
+        sizes = [len(p) for p in parts]
+        rows = np.concatenate([[0], np.cumsum(sizes)])
+        starts = np.flatnonzero(class_starts(code_points("".join(parts)), rows)) if rows[-1] else np.empty(0, np.int64)
+        own = np.split(starts, np.searchsorted(starts, rows[1:-1]))
+        return [np.append(x - a, n) for x, a, n in zip(own, rows[:-1], sizes, strict=True)]
+
+    def bounds(self, texts: list[str]) -> list[np.ndarray]:
+        """For each text, where the matches of the pattern start, and its length.
+
+        Texts are cut into chunks that reach into the next one, and all chunks are matched independently.
+        Matching looks ahead only, so two runs that share a boundary agree from there on; a run is sure up to
+        MARGIN characters before its end, where the cut may tell.  A chunk's run is left for the next one's at
+        the first sure boundary both have; if the overlap has none, the next chunk is matched again from the
+        last sure one (a piece over many chunks, whenever what is left has doubled).
         """
+        step = self.chunk + self.overlap
+        starts = [range(0, max(len(t) - self.overlap, 1), self.chunk) for t in texts]
+        runs = iter(self._runs([t[a : a + step] for t, own in zip(texts, starts, strict=True) for a in own]))
+        return [
+            self._stitch(text, list(own), [next(runs) + a for a in own]) for text, own in zip(texts, starts, strict=True)]
+
+    def _stitch(self, text: str, starts: list[int], runs: list[np.ndarray]) -> np.ndarray:
         n, step = len(text), self.chunk + self.overlap
-        if n <= step:
-            return self.split(text)
-        starts = list(range(0, n - self.overlap, self.chunk))
-        runs = [self.split(text[a : a + step]) for a in starts]
-        out: list[str] = []
-        base, run, first = 0, runs[0], 0
-        stop = step
+        kept, at, run, stop = [], 0, runs[0], min(step, n)
         for a, later in zip(starts[1:], runs[1:], strict=True):
-            bounds, place = {}, a
-            for k, piece in enumerate(later):
-                bounds[place] = k
-                place += len(piece)
-                if place > stop:
-                    break
-            at, k = base, first
-            while not (at >= a and at in bounds) and k < len(run) and at + len(run[k]) < stop:
-                out.append(run[k])
-                at += len(run[k])
-                k += 1
-            stop = min(a + step, n)
-            if at >= a and at in bounds:
-                base, run, first = at, later, bounds[at]
-            else:
-                base, run, first = at, self.split(text[at:stop]), 0
-        out.extend(run[first:])
+            sure = run[(run >= at) & (run < stop - MARGIN)]
+            met = sure[(sure >= a) & np.isin(sure, later)]
+            end = min(a + step, n)
+            if len(met):
+                kept.append(run[(run >= at) & (run < met[0])])
+                at, run, stop = int(met[0]), later, end
+            elif len(sure) > 1 or end == n or end - at > 2 * (stop - at):
+                last = int(sure[-1]) if len(sure) else at
+                kept.append(run[(run >= at) & (run < last)])
+                at, run, stop = last, self._runs([text[last:end]])[0] + last, end
+        return np.concatenate([*kept, run[run >= at]])
+
+    def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """Rank of each pair of ids, which is the id of what it merges to."""
+        wanted = (left << 32) + right
+        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
+        return np.where(self.pairs[at] == wanted, self.pair_ranks[at], _NEVER)
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece: its adjacent pair of least rank is merged, leftmost first, while there is one.
+
+        All pieces are worked on together, one merge of each in a round; the heap takes long ones.
+        """
+        out = [b"" if p not in self.ranks else self.ranks[p].to_bytes(4, "little") for p in pieces]
+        short = []
+        for i, piece in enumerate(pieces):
+            if not out[i] and piece:
+                if len(piece) > LONG_PIECE:
+                    out[i] = np.array(self._merge_long(piece), "<u4").tobytes()
+                else:
+                    short.append(i)
+        own = [pieces[i] for i in short]
+        ids, ends = self._rounds(
+            np.frombuffer(b"".join(own), np.uint8), np.repeat(np.arange(len(own)), [len(p) for p in own]))
+        data, at = ids.astype("<u4").tobytes(), 0
+        for i, end in zip(short, (4 * ends).tolist(), strict=True):
+            out[i] = data[at:end]
+            at = end
         return out
 
-    def merge(self, piece: bytes) -> list[int]:
-        """Ids of one piece: the adjacent pair of least rank is merged, leftmost first, while there is one."""
-        ranks = self.ranks
-        if (whole := ranks.get(piece)) is not None:
-            return [whole]
-        if len(piece) > LONG_PIECE:
-            return self._merge_long(piece)
-        parts = [piece[i : i + 1] for i in range(len(piece))]
-        pairs = [ranks.get(a + b, 1 << 40) for a, b in zip(parts, parts[1:], strict=False)]
-        while pairs:
-            least = min(pairs)
-            if least == 1 << 40:
-                break
-            i = pairs.index(least)
-            parts[i : i + 2] = [parts[i] + parts[i + 1]]
-            del pairs[i]
-            if i < len(pairs):
-                pairs[i] = ranks.get(parts[i] + parts[i + 1], 1 << 40)
-            if i:
-                pairs[i - 1] = ranks.get(parts[i - 1] + parts[i], 1 << 40)
-        return [ranks[p] for p in parts]
+    def _rounds(self, data: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Merged ids of pieces whose bytes lie end to end, and where each piece's end."""
+        if not len(data):
+            return np.empty(0, np.int64), np.empty(0, np.int64)
+        ids, rank = self.bytes[data], np.full(len(data), _NEVER)
+        rank[:-1] = np.where(owner[1:] == owner[:-1], self.byte_pairs[data[:-1] * np.int64(256) + data[1:]], _NEVER)
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(ids):
+            starts = np.flatnonzero(np.concatenate([[True], owner[1:] != owner[:-1]]))
+            least = np.repeat(np.minimum.reduceat(rank, starts), np.diff(np.append(starts, len(ids))))
+            over = least == _NEVER
+            if over.any():
+                done.append((owner[over], ids[over]))
+                ids, owner, rank, least = ids[~over], owner[~over], rank[~over], least[~over]
+            hit = np.flatnonzero(rank == least)
+            hit = hit[np.concatenate([[True], owner[hit[1:]] != owner[hit[:-1]]])] if len(hit) else hit
+            ids[hit] = rank[hit]
+            stay = np.ones(len(ids), bool)
+            stay[hit + 1] = False
+            ids, owner, rank = ids[stay], owner[stay], rank[stay]
+            new = hit - np.arange(len(hit))
+            rank[new] = _NEVER
+            for left in (new[new + 1 < len(ids)], new[new > 0] - 1):
+                left = left[owner[left] == owner[left + 1]]
+                rank[left] = self._pair_ranks(ids[left], ids[left + 1])
+        owner, ids = (np.concatenate(x) for x in zip(*done, strict=True))
+        order = np.argsort(owner, kind="stable")
+        return ids[order], np.cumsum(np.bincount(owner))
 
     def _merge_long(self, piece: bytes) -> list[int]:
         ranks, n = self.ranks, len(piece)
@@ -134,13 +245,62 @@ class Coder:
             i = after[i]
         return out
 
+    def _coded(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of each piece, those of short ones kept for later; of two generations the older one goes."""
+        if len(self.kept) > KEPT_PIECES:
+            self.old, self.kept = self.kept, {}
+        kept, old = self.kept, self.old
+        out = [kept.get(p) or old.get(p) for p in pieces]
+        fresh = [i for i, ids in enumerate(out) if ids is None]
+        for i, ids in zip(fresh, self.merge([pieces[i] for i in fresh]), strict=True):
+            out[i] = ids
+            if len(pieces[i]) <= KEPT_BYTES:
+                self.kept[pieces[i]] = ids
+        return out
+
+    def encode_all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers.
+
+        Pieces of all texts are told apart by a hash (checked byte by byte), and only distinct ones are merged.
+        """
+        whole = "".join(texts)
+        if not whole:
+            return [b""] * len(texts)
+        bounds = self.bounds(texts)
+        begins = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        starts = np.concatenate([b[:-1] + a for b, a in zip(bounds, begins[:-1], strict=True)])
+        raw = whole.encode()
+        if len(raw) > len(whole):
+            points = code_points(whole)
+            widths = 1 + (points > 0x7F).astype(np.int64) + (points > 0x7FF) + (points > 0xFFFF)
+            starts = np.concatenate([[0], np.cumsum(widths)])[starts]
+        data = np.frombuffer(raw, np.uint8)
+        sizes = np.diff(np.append(starts, len(data)))
+        place = np.arange(len(data), dtype=np.int32) - np.repeat(starts.astype(np.int32), sizes)
+        marks = np.add.reduceat(_BYTE_MARKS[data] * powers(int(sizes.max()))[place], starts)
+        _, one, which = np.unique(mix(marks ^ sizes.astype(np.uint64)), return_index=True, return_inverse=True)
+        like = starts[one][which]
+        same = np.minimum(np.repeat(like.astype(np.int32), sizes) + place, len(data) - 1)
+        if (sizes != sizes[one][which]).any() or (data != data[same]).any():
+            one, which = _by_content(raw, starts, sizes)
+        coded = self._coded([raw[a : a + n] for a, n in zip(starts[one].tolist(), sizes[one].tolist(), strict=True)])
+        counts = np.array([len(x) // 4 for x in coded])
+        flat, own = np.frombuffer(b"".join(coded), "<u4"), counts[which]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        first = np.concatenate([[0], np.cumsum(counts)[:-1]])[which]
+        ids = flat[np.arange(ends[-1]) + np.repeat(first - ends[:-1], own)].tobytes()
+        cuts = 4 * ends[np.concatenate([[0], np.cumsum([len(b) - 1 for b in bounds])])]
+        return [ids[a:b] for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+
     def encode(self, text: str) -> bytes:
-        """Ids as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.pieces.__getitem__, self.pre_tokens(text)))
+        return self.encode_all([text])[0]
 
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
+    def decode_all(self, rows: list[bytes]) -> list[bytes]:
+        return [self.decode(ids) for ids in rows]
+
 
 _CODERS: dict[tuple[int, str], Coder] = {}
 
@@ -161,10 +321,12 @@ def _map_column(df: DataFrame, source: str, target: str, kind: str, ranks: str,
     at = names.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one = getattr(coder_for(shared.value, pattern), work)
+        every = getattr(coder_for(shared.value, pattern), work)
         for batch in batches:
-            for part in slices(batch, names[at]):
-                made = [None if x is None else one(x) for x in part.column(at).to_pylist()]
+            for part in slices(batch, names[at], SLICE):
+                given = part.column(at).to_pylist()
+                found = iter(every([x for x in given if x is not None]))
+                made = [None if x is None else next(found) for x in given]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.binary())], [*names, target])
 
     schema = df.select(names).schema.add(target, kind)
@@ -178,12 +340,12 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str
     empty is empty; other columns stay (one called ``ids`` is replaced).  Rows never move: each is encoded
     where it is read, in chunks, so that only the text and its ids are held; a lost task is simply repeated.
     """
-    return _map_column(df, text, ids, "binary", ranks, pattern, "encode")
+    return _map_column(df, text, ids, "binary", ranks, pattern, "encode_all")
 
 
 def decode(df: DataFrame, ranks: str, pattern: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
     """``df`` with column ``data``: the tokens' raw bytes, end to end; null stays null."""
-    return _map_column(df, ids, data, "binary", ranks, pattern, "decode")
+    return _map_column(df, ids, data, "binary", ranks, pattern, "decode_all")
 
 
 def round_trip_digest(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

@@ -18,7 +18,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _powers(n: int) -> np.ndarray:
+def powers(n: int) -> np.ndarray:
     out = np.full(n, _ODD, np.uint64)
     out[:1] = 1
     return np.multiply.accumulate(out)
@@ -45,8 +45,8 @@ def word_hashes(data: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndar
     first = np.searchsorted(at, starts)
     lengths = np.diff(np.append(first, len(at)))
     place = np.arange(len(at)) - np.repeat(first, lengths)
-    powers = _powers(int(lengths.max()))
-    words = np.add.reduceat(_CODES[data[at]] * powers[place], first)
+    weights = powers(int(lengths.max()))
+    words = np.add.reduceat(_CODES[data[at]] * weights[place], first)
     return mix(words ^ lengths.astype(np.uint64)), np.searchsorted(starts, rows)
 
 
@@ -57,7 +57,7 @@ def shingle_sets(data: np.ndarray, rows: np.ndarray, width: int) -> tuple[np.nda
     """
     words, at = word_hashes(data, rows)
     counts = np.diff(at)
-    factors = mix(_powers(width + 1) + np.uint64(width))
+    factors = mix(powers(width + 1) + np.uint64(width))
     if len(words) >= width:
         whole = np.zeros(len(words) - width + 1, np.uint64)
         for j in range(width):

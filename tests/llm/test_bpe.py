@@ -13,6 +13,7 @@ from conftest import SF
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+from mailsieve.llm import bpe
 from mailsieve.llm.bpe import Coder, decode, encode, round_trip_digest
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
@@ -31,6 +32,14 @@ def coder(chunk=1 << 14, overlap=256):
         return Coder(file.read(), PATTERN, chunk, overlap)
 
 
+@cache
+def plain(chunk=9, overlap=6):
+    """The same pattern, matched by a regular expression engine."""
+    with open(RANKS, "rb") as file:
+        return Coder(file.read(), PATTERN.replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}")
+                     .replace(r"[^\p{White_Space}", r"[^\p{White_Space}"), chunk, overlap)
+
+
 def same(text, own):
     ids = own.encode(text)
     assert np.frombuffer(ids, "<u4").tolist() == reference().encode_ordinary(text)
@@ -38,15 +47,18 @@ def same(text, own):
 
 
 @settings(max_examples=300, deadline=None)
-@given(st.lists(st.sampled_from(["a", "'s", "'", " ", "  ", "\n", "7", "é", "漢", "!", " ", "s", "😀"]), max_size=60))
+@given(st.lists(st.sampled_from(["a", "'s", "'ll", "'r", "e", "l", "\x1c", "\u00b2", "\u0301", "'", " ", "  ", "\n", "7", "é", "漢", "!", " ", "s", "😀"]), max_size=60))
 def test_small_chunks_are_stitched(parts):
-    same("".join(parts), coder(5, 3))
+    same("".join(parts), coder(9, 6))
+    same("".join(parts), coder(4, 3))
+    assert plain().bounds(["".join(parts)])[0].tolist() == coder().bounds(["".join(parts)])[0].tolist()
 
 
 @settings(max_examples=100, deadline=None)
 @given(st.text(max_size=200))
 def test_any_text(text):
-    same(text, coder(16, 4))
+    same(text, coder(16, 5))
+    same(text, plain())
 
 
 def test_long_runs():
@@ -56,6 +68,11 @@ def test_long_runs():
         same(text, coder())
 
 
+def test_pieces_with_equal_hashes_are_told_apart(monkeypatch):
+    monkeypatch.setattr(bpe, "mix", lambda x: x & np.uint64(3))
+    same("some words and some more words, again words", coder())
+
+
 def test_whole_table(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     got = sorted(tuple(r) for r in round_trip_digest(docs, RANKS, PATTERN).collect())
