@@ -10,7 +10,7 @@ WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
 i AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
 v AS (
   SELECT DISTINCT item_id, least(len(w), 10) AS size,
-    unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), p -> array_to_string(w[p:p + 9], ' '))) AS g
+    unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda p: array_to_string(w[p:p + 9], ' '))) AS g
   FROM i WHERE len(w) > 0
 ),
 s AS (SELECT DISTINCT size FROM v),
@@ -53,7 +53,7 @@ WITH r AS (
   SELECT *, regexp_replace(regexp_replace(trim(url), '#.*$', ''), '^[A-Za-z][A-Za-z0-9+.-]*://', '') AS rest FROM pages
 ),
 q AS (
-  SELECT *, array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*\?(.*)$', 1), '&'), x -> x <> '')), '&')
+  SELECT *, array_to_string(list_sort(list_filter(string_split(regexp_extract(rest, '^[^?]*\?(.*)$', 1), '&'), lambda x: x <> '')), '&')
     AS query,
     regexp_replace(regexp_replace(regexp_replace(lower(regexp_extract(rest, '^[^/?]*')), '^.*@', ''), ':(80|443)$', ''),
       '^www[0-9]*\.', '') AS host
@@ -99,7 +99,7 @@ WITH RECURSIVE w AS (
 ),
 s AS (
   SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-    ELSE list_transform(range(1, len(w) - 3), p -> array_to_string(w[p:p + 4], ' ')) END) AS g
+    ELSE list_transform(range(1, len(w) - 3), lambda p: array_to_string(w[p:p + 4], ' ')) END) AS g
   FROM w WHERE len(w) > 0
 ),
 n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
