@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailsieve.session import cut_lineage
+from mailsieve.session import cut_lineage, release
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -34,7 +34,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
     now = cut_lineage(tidy.where("s is not null and u < v").select("u", "v").distinct())
     mark = _fingerprint(now)
     while mark[0]:
-        now = cut_lineage(_small_star(_large_star(now)))
+        last, now = now, cut_lineage(_small_star(_large_star(now)))
+        release(last)
         before, mark = mark, _fingerprint(now)
         if mark == before:
             break
