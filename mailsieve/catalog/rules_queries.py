@@ -229,9 +229,9 @@ def _(v):
 
 
 @query("p9_signal_flags", "E", sql=f"""
-SELECT email_id, array_to_string(list_transform(list_filter({STD_IDS}, x -> x LIKE 'std:sender:%'), x -> substr(x, 12)), '; ') AS sender,
-  array_to_string(list_transform(list_filter({STD_IDS}, x -> x LIKE 'std:subject:%'), x -> substr(x, 13)), '; ') AS subject,
-  array_to_string(list_transform(list_filter({STD_IDS}, x -> x LIKE 'std:body:%'), x -> substr(x, 10)), '; ') AS body FROM E""")
+SELECT email_id, array_to_string(list_transform(list_filter({STD_IDS}, lambda x: x LIKE 'std:sender:%'), lambda x: substr(x, 12)), '; ') AS sender,
+  array_to_string(list_transform(list_filter({STD_IDS}, lambda x: x LIKE 'std:subject:%'), lambda x: substr(x, 13)), '; ') AS subject,
+  array_to_string(list_transform(list_filter({STD_IDS}, lambda x: x LIKE 'std:body:%'), lambda x: substr(x, 10)), '; ') AS body FROM E""")
 def _(v):
     d = v.E.withColumn("f", R.signal_flags(R.standard_signals()))
     return d.select("email_id", *[F.array_join(f"f.{n}_flags", "; ").alias(n) for n in ("sender", "subject", "body")])
