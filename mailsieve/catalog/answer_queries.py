@@ -124,6 +124,35 @@ def _(v):
     return A.run_funnel(v.E, v.PRED, rules.quick_rules(QUICK), I.actionable_intents("hr_intents"))
 
 
+@query("q8_run_pipeline", "E PRED VQ O", sql=filter_sql(rules.quick_rules(QUICK)) + f""",
+j AS (SELECT f.email_id, NOT hard_block AS passed, ((p.decision = 'KEEP' AND confidence >= 0.6) OR p.decision = 'HUMAN') AS go,
+  CASE WHEN confidence < 0.7 THEN 'unknown' ELSE intent END IN ('information_request', 'action_request', 'status_inquiry') AS act,
+  (p.email_type = 'direct_request' AND intent = 'information_request' AND confidence >= 0.6 AND NOT safety_blocked) AS gen FROM f JOIN PRED p ON f.email_id = p.doc_id),
+l AS (SELECT j.email_id, e.embedding FROM j JOIN embeddings e ON e.vec_id = j.email_id WHERE passed AND go AND act AND gen),
+cs AS (SELECT e.email_id, q.query_id AS category, {COS} AS cosine FROM VQ q, l e),
+cr AS (SELECT *, round((cosine + 1) / 2, 6) AS score, row_number() OVER (PARTITION BY email_id ORDER BY cosine DESC, category) AS rk FROM cs),
+ca AS (SELECT *, greatest(round(score / sum(score) OVER (PARTITION BY email_id), 6), 0.01) AS p FROM cr WHERE rk <= 3),
+cp AS (SELECT email_id, round(p / sum(p) OVER (PARTITION BY email_id), 6) AS p FROM ca), cg AS (SELECT email_id FROM cp GROUP BY 1 HAVING max(p) >= 0.34),
+rs AS (SELECT l.email_id, e.vec_id, list_cosine_similarity(l.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS c FROM l JOIN cg USING (email_id), embeddings e WHERE e.vec_id % 2 = 1),
+rk AS (SELECT *, row_number() OVER (PARTITION BY email_id ORDER BY c DESC, vec_id) AS k FROM rs),
+rt AS (SELECT DISTINCT email_id FROM rk JOIN documents d ON d.doc_id = rk.vec_id WHERE k <= 20 AND round(c, 6) >= 0.3 AND trim(d.text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''),
+oc AS (SELECT rt.email_id, CASE WHEN blocked THEN 'blocked' WHEN rating >= 4 THEN 'accepted' WHEN rating = 3 THEN 'edited' ELSE 'rejected' END AS o FROM rt JOIN O ON O.doc_id = rt.email_id)
+SELECT 0 AS step, 'inbound' AS stage, count(*) AS n FROM j UNION ALL SELECT 1, 'passed_filter', count(*) FILTER (passed) FROM j
+UNION ALL SELECT 2, 'continued', count(*) FILTER (passed AND go) FROM j UNION ALL SELECT 3, 'actionable', count(*) FILTER (passed AND go AND act) FROM j
+UNION ALL SELECT 4, 'eligible', count(*) FILTER (passed AND go AND act AND gen) FROM j UNION ALL SELECT 5, 'categorized', count(*) FROM cg
+UNION ALL SELECT 6, 'retrieved', count(*) FROM rt UNION ALL SELECT 7, 'ranked', count(*) FROM rt UNION ALL SELECT 8, 'requested', count(*) FROM rt
+UNION ALL SELECT 9, 'blocked', count(*) FILTER (o = 'blocked') FROM oc UNION ALL SELECT 10, 'accepted', count(*) FILTER (o = 'accepted') FROM oc
+UNION ALL SELECT 11, 'edited', count(*) FILTER (o = 'edited') FROM oc UNION ALL SELECT 12, 'rejected', count(*) FILTER (o = 'rejected') FROM oc""")
+def _(v):
+    emb = v.t("embeddings")
+    corpus = emb.where("vec_id % 2 = 1").select(
+        "vec_id", F.col("vec_id").alias("doc_id"), F.concat(F.lit("gs://b/"), F.col("vec_id").cast("string"), F.lit(".txt")).alias("uri"), "embedding")
+    return A.run_pipeline(
+        v.E, v.PRED, rules.quick_rules(QUICK), I.actionable_intents("hr_intents"), emb.select(F.col("vec_id").alias("email_id"), "embedding"),
+        v.VQ.select(F.col("query_id").alias("category"), "embedding"), corpus, v.raw("documents").select("doc_id", "text"),
+        v.O.select(F.col("doc_id").alias("email_id"), "rating", "blocked"), preset=0.34, min_similarity=0.3)
+
+
 @query("q9_with_telemetry", "L", sql="""
 SELECT event_id, status, CASE WHEN status = 'ok' THEN 200 ELSE 500 END AS http_status, CASE WHEN status = 'ok' THEN 'OK' ELSE 'error' END AS message,
   latency_ms AS duration_ms, retrieval_filter AS filter, CASE WHEN status = 'ok' THEN correlation_id ELSE md5('run|retrieve|' || event_id) END AS correlation_id FROM L""")

@@ -18,6 +18,7 @@ from mailsieve.operators import distribution as D
 from mailsieve.operators import triage as TR
 from mailsieve.operators import vectors as V
 from mailsieve.operators.chunking import split_valid
+from mailsieve.operators.quality import with_outcome
 from mailsieve.operators.rules import RulePack
 from mailsieve.session import cut_lineage
 
@@ -159,10 +160,10 @@ def parse_answers(df: DataFrame, key: str, reply: str) -> DataFrame:
     )
 
 
-def run_funnel(
-    emails: DataFrame, predictions: DataFrame, pack: RulePack, actionable: Sequence[str], key: str = "email_id",
+def _routed(
+    emails: DataFrame, predictions: DataFrame, pack: RulePack, actionable: Sequence[str], key: str,
 ) -> DataFrame:
-    """How many e-mails reach each stage: filter, triage, intent, generator."""
+    """(key, and for each routing stage whether the e-mail reaches it)."""
     f = TR.deterministic_filter(emails, pack).select(key, F.col("decision").alias("filter_decision"), "passed")
     d = f.join(predictions.withColumnRenamed("doc_id", key), key)
     d = TR.route_triage(d)
@@ -171,11 +172,66 @@ def run_funnel(
     a = F.col("passed") & F.col("should_continue")
     b = a & F.col("is_actionable")
     stages = {"inbound": F.lit(True), "passed_filter": F.col("passed"), "continued": a, "actionable": b, "eligible": b & F.col("pass_to_responder")}
-    one = d.agg(*[F.count_if(c).alias(n) for n, c in stages.items()])
+    return d.select(key, *[F.coalesce(c, F.lit(False)).alias(n) for n, c in stages.items()])
+
+
+def _counts(flags: DataFrame, key: str) -> DataFrame:
+    """(step, stage, n) of a table with one flag column a stage."""
+    stages = [c for c in flags.columns if c != key]
+    one = flags.agg(*[F.count_if(F.col(n)).alias(n) for n in stages])
     pairs = ", ".join(f"{i}, '{n}', {n}" for i, n in enumerate(stages))
     return one.select(F.expr(f"stack({len(stages)}, {pairs}) AS (step, stage, n)"))
 
 
+def run_funnel(
+    emails: DataFrame, predictions: DataFrame, pack: RulePack, actionable: Sequence[str], key: str = "email_id",
+) -> DataFrame:
+    """How many e-mails reach each routing stage: filter, triage, intent, generator."""
+    return _counts(_routed(emails, predictions, pack, actionable, key), key)
+
+
+def run_pipeline(
+    emails: DataFrame, predictions: DataFrame, pack: RulePack, actionable: Sequence[str], vectors: DataFrame,
+    categories: DataFrame, corpus: DataFrame, texts: DataFrame, outcomes: DataFrame, key: str = "email_id",
+    preset: str | float = "balanced", min_similarity: float = 0.5, top_k: int = 20, request: str = "conservative",
+) -> DataFrame:
+    """How many e-mails reach each stage from the filter to the outcome.
+
+    Routing, categories with the referee, retrieval, ranking, the request, then what became of the answers
+    (``outcomes``: key, rating, blocked).  ``vectors`` are (key, embedding), ``categories`` (category,
+    embedding), ``corpus`` (vec_id, doc_id, uri, embedding), ``texts`` (doc_id, text).  Every stage works on
+    those that reached it, and its keys are written once for the stages that follow.
+    """
+    flags = cut_lineage(_routed(emails, predictions, pack, actionable, key))
+    asked = vectors.join(flags.where("eligible").select(key), key, "left_semi")
+    sure = categorize(asked, categories, key, preset=preset).where("pass_to_responder")
+    go = cut_lineage(asked.join(sure.select(key, "chosen"), key))
+    queries = go.select(F.col(key).cast("string").alias("query_id"), "embedding", "chosen")
+    found = retrieve_contexts(
+        queries, corpus, texts, "doc_id", F.create_map().cast("map<string,string>"), "broad", extra=["uri"],
+        min_similarity=min_similarity, top_k=top_k).contexts
+    records = cut_lineage(found.join(queries.select("query_id", "chosen"), "query_id").withColumns({
+        "id": F.concat(F.lit("v"), F.col("vec_id").cast("string")), "rnk": F.col("rank"), "source": F.lit(None).cast("string"),
+        "question": F.concat(F.lit("About "), "chosen")}).drop("rank"))
+    ranked = rank_contexts(records, "query_id", "question", "chosen").records
+    best = cut_lineage(ranked.select("query_id", "id", "text", "source", "uri", "score", F.col("rank").alias("rnk")))
+    ask = queries.select("query_id", F.concat(F.lit("About "), "chosen").alias("question"), F.lit("Be brief.").alias("system"))
+    made = build_requests(ask, best, "query_id", "question", "system", request).where("n_contexts > 0")
+    reached = {
+        "categorized": go.select(F.col(key)), "retrieved": records.select(F.col("query_id").cast("long").alias(key)),
+        "ranked": best.select(F.col("query_id").cast("long").alias(key)),
+        "requested": made.select(F.col("query_id").cast("long").alias(key)),
+    }
+    for name, d in reached.items():
+        flags = flags.join(d.distinct().withColumn(name, F.lit(True)), key, "left").withColumn(
+            name, F.coalesce(name, F.lit(False)))
+    ended = with_outcome(outcomes.withColumn("confidence", F.lit(None).cast("double"))).select(key, "outcome")
+    flags = flags.join(ended, key, "left")
+    for name in ("blocked", "accepted", "edited", "rejected"):
+        flags = flags.withColumn(name, F.col("requested") & F.coalesce(F.col("outcome") == name, F.lit(False)))
+    return _counts(flags.drop("outcome"), key)
+
+
 def with_telemetry(
     df: DataFrame, stage: str, key: str, run_id: str, ok: Column | None = None, message: Column | None = None,
     corr: str | None = None, started: Column | None = None, ended: Column | None = None,
