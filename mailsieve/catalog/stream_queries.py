@@ -26,6 +26,18 @@ def staged(v, df):
     return flows.stream_source(v.spark, path, df.schema)
 
 
+def closed(v, df, key):
+    """``df`` as a stream that ends with one row far ahead of all others, so that every window closes."""
+    last = df.agg(F.max_by(F.struct(*df.columns), "ts").alias("r")).select("r.*")
+    end = last.withColumns({"ts": F.col("ts") + F.expr("INTERVAL 30 DAYS"), key: F.lit("end")})
+    return staged(v, df.union(end.select(df.columns)))
+
+
+def all_events(v):
+    d = v.t("events").withColumn("ts", F.col("ts").cast("timestamp"))
+    return closed(v, d, "event_type")
+
+
 STAMP = "yyyy-MM-dd HH:mm:ss"
 
 
@@ -35,24 +47,19 @@ def _(v):
     return flows.run_available(out)
 
 
-LATE = "(SELECT max(ts) - INTERVAL 10 MINUTE FROM events)"
-
-
-@query("r2_stream_volume", sql=f"""
-SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events
-WHERE date_trunc('minute', ts) + INTERVAL 1 MINUTE <= {LATE} GROUP BY 1, 2""")
+@query("r2_stream_volume", sql="""
+SELECT strftime(date_trunc('minute', ts), '%Y-%m-%d %H:%M:%S') AS start, event_type, count(*) AS n FROM events GROUP BY 1, 2""")
 def _(v):
-    d = flows.run_available(flows.stream_volume(events(v)))
+    d = flows.run_available(flows.stream_volume(all_events(v)))
     return d.withColumn("start", F.date_format("start", STAMP))
 
 
-@query("r3_stream_sliding_avg", sql=f"""
+@query("r3_stream_sliding_avg", sql="""
 w AS (SELECT event_type, value, unnest([0, 15, 30, 45]) AS back, ts FROM events),
 s AS (SELECT event_type, value, time_bucket(INTERVAL 15 MINUTE, ts) - to_minutes(back) AS start FROM w)
-SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, event_type, round(avg(value), 5) AS average, count(*) AS n FROM s
-WHERE start + INTERVAL 1 HOUR <= {LATE} GROUP BY s.start, event_type""".replace("\nw AS", "WITH w AS", 1))
+SELECT strftime(start, '%Y-%m-%d %H:%M:%S') AS start, event_type, round(avg(value), 5) AS average, count(*) AS n FROM s GROUP BY s.start, event_type""".replace("\nw AS", "WITH w AS", 1))
 def _(v):
-    d = flows.run_available(flows.stream_sliding_avg(events(v)))
+    d = flows.run_available(flows.stream_sliding_avg(all_events(v)))
     return d.withColumn("start", F.date_format("start", STAMP)).withColumn("average", F.round("average", 5))
 
 
@@ -76,11 +83,10 @@ def _(v):
 @query("r6_stream_traces", "L", sql="""
 a AS (SELECT correlation_id, ts, latency_ms, CASE WHEN ts - lag(ts) OVER w < INTERVAL 120 MINUTE THEN 0 ELSE 1 END AS fresh FROM L WINDOW w AS (PARTITION BY correlation_id ORDER BY ts, event_id)),
 s AS (SELECT *, sum(fresh) OVER (PARTITION BY correlation_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS sid FROM a)
-SELECT correlation_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS stages, sum(latency_ms)::BIGINT AS total_ms FROM s GROUP BY correlation_id, sid
-HAVING max(ts) + INTERVAL 120 MINUTE <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM L)""")
+SELECT correlation_id, strftime(min(ts), '%Y-%m-%d %H:%M:%S') AS start, count(*) AS stages, sum(latency_ms)::BIGINT AS total_ms FROM s GROUP BY correlation_id, sid""")
 def _(v):
     logs = v.L.select("correlation_id", F.col("ts").cast("timestamp").alias("ts"), "latency_ms")
-    d = flows.run_available(flows.stream_traces(staged(v, logs), "correlation_id", "120 minutes"))
+    d = flows.run_available(flows.stream_traces(closed(v, logs, "correlation_id"), "correlation_id", "120 minutes"))
     return d.select("correlation_id", F.date_format("start", STAMP).alias("start"), "stages", "total_ms")
 
 
@@ -93,12 +99,12 @@ def _(v):
 
 
 @query("r8_stream_spikes", sql="""WITH RECURSIVE
-c AS (SELECT event_type, date_trunc('hour', ts) AS b, count(*) AS n, row_number() OVER (PARTITION BY event_type ORDER BY date_trunc('hour', ts)) AS rn, count(*) OVER (PARTITION BY event_type) AS total FROM events GROUP BY 1, 2),
+c AS (SELECT event_type, date_trunc('hour', ts) AS b, count(*) AS n, row_number() OVER (PARTITION BY event_type ORDER BY date_trunc('hour', ts)) AS rn FROM events GROUP BY 1, 2),
 r AS (SELECT event_type, b, n, rn, n::DOUBLE AS ewma, false AS is_spike FROM c WHERE rn = 1
   UNION ALL SELECT c.event_type, c.b, c.n, c.rn, 0.3 * c.n + 0.7 * r.ewma, c.n > 3.0 * r.ewma FROM r JOIN c ON c.event_type = r.event_type AND c.rn = r.rn + 1)
-SELECT r.event_type, strftime(r.b, '%Y-%m-%d %H') AS bucket, r.n, round(ewma, 6) AS ewma, is_spike FROM r JOIN c ON c.event_type = r.event_type AND c.rn = r.rn WHERE r.rn < c.total""")
+SELECT r.event_type, strftime(r.b, '%Y-%m-%d %H') AS bucket, r.n, round(ewma, 6) AS ewma, is_spike FROM r""")
 def _(v):
-    d = flows.run_available(flows.stream_spikes(events(v), "event_type"))
+    d = flows.run_available(flows.stream_spikes(all_events(v), "event_type"))
     return d.select("event_type", F.date_format(F.timestamp_micros("bucket"), "yyyy-MM-dd HH").alias("bucket"), "n", F.round("ewma", 6).alias("ewma"), "is_spike")
 
 

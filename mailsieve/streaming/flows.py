@@ -112,35 +112,51 @@ def stream_debounce(runs: DataFrame, key: str, gap_seconds: int, ts: str = "ts",
     return stream_dedupe(runs, key, gap_seconds, ts, tie)
 
 
-def stream_spikes(events: DataFrame, key: str, unit: str = "hour", alpha: float = 0.3, k: float = 3.0) -> DataFrame:
-    """Closed time units with their weighted mean; the state holds the open unit and the mean so far."""
-    t = F.unix_micros(F.date_trunc(unit, "ts").cast("timestamp"))
-    thin = events.select(key, t.alias("t"), F.lit(0).cast("long").alias("tie"))
+def stream_spikes(
+    events: DataFrame, key: str, unit_seconds: int = 3600, alpha: float = 0.3, k: float = 3.0, watermark: str = "10 minutes",
+    idle_units: int = 24 * 30,
+) -> DataFrame:
+    """Closed time units with their weighted mean, and whether a unit has over ``k`` times the mean before it.
+
+    The state of a key is its mean and the counts of its open units.  A unit closes when the watermark passes
+    its end; rows for a closed unit are dropped.  The state goes after ``idle_units`` without events.
+    """
+    size = unit_seconds * 1_000_000
+    t = F.unix_micros(F.col("ts").cast("timestamp"))
+    thin = events.withWatermark("ts", watermark).select(key, "ts", (t - F.pmod(t, F.lit(size))).alias("t"))
     out = T.StructType([
         thin.schema[key], T.StructField("bucket", T.LongType()), T.StructField("n", T.LongType()),
         T.StructField("ewma", T.DoubleType()), T.StructField("is_spike", T.BooleanType()),
     ])
     state = T.StructType([
-        T.StructField("bucket", T.LongType()), T.StructField("n", T.LongType()), T.StructField("ewma", T.DoubleType()),
+        T.StructField("ewma", T.DoubleType()), T.StructField("starts", T.ArrayType(T.LongType())),
+        T.StructField("counts", T.ArrayType(T.LongType())),
     ])
 
     def run(key_, parts: Iterator[pd.DataFrame], held: GroupState) -> Iterator[pd.DataFrame]:
-        bucket, n, mean = held.get if held.exists else (None, 0, None)
-        closed = []
-        for t_, c in _rows(parts).groupby("t").size().items():
-            if bucket is not None and t_ > bucket:
-                new = float(n) if mean is None else alpha * n + (1 - alpha) * mean
-                closed.append((bucket, n, new, mean is not None and n > k * mean))
-                bucket, n, mean = int(t_), int(c), new
-            elif bucket is None:
-                bucket, n = int(t_), int(c)
-            else:
-                n += int(c)
-        held.update((bucket, n, mean))
-        rows = pd.DataFrame(closed, columns=["bucket", "n", "ewma", "is_spike"])
-        yield rows.assign(**{key: key_[0]})[out.names]
-
-    return thin.groupBy(key).applyInPandasWithState(run, out, state, "append", GroupStateTimeout.NoTimeout)
+        mean, starts, counts = held.get if held.exists else (None, [], [])
+        units, now = dict(zip(starts, counts, strict=True)), held.getCurrentWatermarkMs() * 1000
+        if held.hasTimedOut and not units:
+            held.remove()
+            return
+        if not held.hasTimedOut:
+            for part in parts:
+                for start, n in part["t"].value_counts().items():
+                    if start + size > now:
+                        units[int(start)] = units.get(int(start), 0) + int(n)
+        rows = []
+        for start in sorted(s for s in units if s + size <= now):
+            n = units.pop(start)
+            new = float(n) if mean is None else alpha * n + (1 - alpha) * mean
+            rows.append((start, n, new, mean is not None and n > k * mean))
+            mean = new
+        held.update((mean, list(units), list(units.values())))
+        due = min(units) + size if units else now + idle_units * size
+        held.setTimeoutTimestamp(max(due // 1000, held.getCurrentWatermarkMs() + 1))
+        made = pd.DataFrame(rows, columns=["bucket", "n", "ewma", "is_spike"])
+        yield made.assign(**{key: key_[0]})[out.names]
+
+    return thin.groupBy(key).applyInPandasWithState(run, out, state, "append", GroupStateTimeout.EventTimeTimeout)
 
 
 def stream_reindex(snapshots: DataFrame, store: str, out: str, key: str = "doc_id") -> DataFrame:
