@@ -17,7 +17,7 @@ from mailsieve.session import cut_lineage
 
 #: Labelled rows that a model is fitted on: all, or about so many chosen by a hash of the id.
 SAMPLE_ROWS = 20_000
-TREES, DEPTH, SEED = 16, 3, 7
+TREES, DEPTH, SEED = 10, 3, 7
 LASSO = 0.001
 
 Condition = tuple[str, str, float]
@@ -47,12 +47,12 @@ def statistics() -> dict[str, Column]:
     }
 
 
-def with_statistics(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` of ``docs`` and the statistics of its text."""
+def with_statistics(docs: DataFrame, keep: list[str], *more: Column) -> DataFrame:
+    """Columns ``keep`` of ``docs`` and the statistics of its text, and ``more`` beside them."""
     base = docs.select(*keep, F.coalesce("text", F.lit("")).alias("__text"))
     split = base.withColumns({
         "__words": F.array_remove(F.split("__text", r"\s+"), ""), "__lines": F.split("__text", "\n")})
-    return split.select(*keep, *[c.cast("double").alias(n) for n, c in statistics().items()])
+    return split.select(*keep, *[c.cast("double").alias(n) for n, c in statistics().items()], *more)
 
 
 STATISTICS = (
@@ -118,7 +118,8 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS) -> Qual
     share = min(1.0, max_rows / max(total, 1))
     sample = usable.where(F.pmod(F.xxhash64("__id"), F.lit(1_000_000)) < int(share * 1_000_000))
     chosen = docs.join(F.broadcast(sample), F.col("doc_id") == F.col("__id")).select("text", "__label")
-    table = cut_lineage(with_statistics(chosen, ["__label"]))
+    # at most about max_rows rows of numbers: one partition makes the many small jobs of a fit short
+    table = cut_lineage(with_statistics(chosen, ["__label"])).coalesce(1)
     vectors = table.select(
         F.col("__label").alias("label"), *STATISTICS, array_to_vector(F.array(*STATISTICS)).alias("features"))
     counts = {r.label: r["count"] for r in vectors.groupBy("label").count().collect()}
@@ -131,7 +132,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = SAMPLE_ROWS) -> Qual
     rules = sorted(set().union(*[tree_rules(t.toDebugString, STATISTICS) for t in forest.trees]))
     met = vectors.select("label", array_to_vector(F.array(*[rule_column(r).cast("double") for r in rules]))
                          .alias("features"))
-    lasso = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=60).fit(met)
+    lasso = LogisticRegression(elasticNetParam=1.0, regParam=LASSO, maxIter=30).fit(met)
     weights = [float(w) for w in lasso.coefficients]
     return QualityModel(
         tuple((r, w) for r, w in zip(rules, weights, strict=True) if w), float(lasso.intercept))
@@ -154,7 +155,11 @@ def quality_scores(docs: DataFrame, model: QualityModel, threshold: float = THRE
 
 
 def keep_good(docs: DataFrame, model: QualityModel, threshold: float = THRESHOLD) -> DataFrame:
-    """Rows of ``docs`` that score at least ``threshold``, with their columns."""
+    """Rows of ``docs`` that score at least ``threshold``, with their columns.
+
+    The condition names a column that is numbered per row, or the optimizer would move it below the
+    statistics and work out each of them again for every rule that names it.
+    """
     packed = docs.select(F.struct(*docs.columns).alias("__row"), "text")
-    scored = with_statistics(packed, ["__row"]).where(model.score() >= threshold)
-    return scored.select("__row.*")
+    scored = with_statistics(packed, ["__row"], F.monotonically_increasing_id().alias("__at"))
+    return scored.where((F.col("__at") >= 0) & (model.score() >= threshold)).select("__row.*")
