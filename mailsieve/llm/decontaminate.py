@@ -103,16 +103,15 @@ def _matches(docs: DataFrame, items: DataFrame, window: int, gram: int) -> tuple
         rows.select("key", F.explode("prints").alias("hash")).join(wanted, "hash")
         .groupBy("key").agg(F.collect_set("hash").alias("met")))
     opened = text.join(cut_lineage(met), "key").select("key", "met", words_of(F.col("text")).alias("words"))
-    sizes = {gram: gram, **{n: -n for n in short}}
     found = None
-    for size, salt in sizes.items():
+    for size, salt in [(gram, gram), *((n, -n) for n in short)]:  # a short item can be as long as a gram
         hashed = opened.withColumn("hashes", _gram_hashes(words, size, salt))
         at = F.filter(
             F.transform("hashes", lambda h, i: F.when(F.array_contains("met", h), i)), lambda i: i.isNotNull())
         placed = hashed.select("key", "words", "hashes", F.explode(at).alias("at"))
         part = placed.select(
             "key", "at", F.get("hashes", F.col("at")).alias("hash"),
-            *_around(words, F.col("at"), size, reach if size == gram and salt > 0 else 0))
+            *_around(words, F.col("at"), size, reach if salt > 0 else 0))
         found = part if found is None else found.union(part)
     a, b = found.distinct().alias("a"), anchors.alias("b")
     met_words = a.join(b, (F.col("a.hash") == F.col("b.hash")) & (F.col("a.gram") == F.col("b.gram")))

@@ -70,6 +70,19 @@ def test_odd_rows(spark):
     assert sorted(str(r.doc_id) for r in left.collect()) == sorted(str(r[0]) for r in docs if r[0] not in dirty)
 
 
+def test_short_item_as_long_as_a_gram(spark):
+    passage = " ".join(f"w{i}" for i in range(30))
+    items = [(1, passage), (2, "g0 g1 g2 g3 g4 g5"), (3, "w3 w4 w5 w6 w7 w8"), (4, "five words are not six")]
+    docs = [
+        (1, "x " + passage + " y"), (2, "see g0 g1 g2 g3 g4 g5 here"), (3, "a w10 w11 w12 w13 w14 w15 w16 w17 w18 w19 b"),
+        (4, "a w10 w11 w12 w13 w14 w15 w16 w17 w18 b"), (5, "w3 w4 w5 w6 w7 w8"), (6, "g1 g2 g3 g4 g5 g0"),
+    ]
+    d = spark.createDataFrame(docs, "doc_id long, text string")
+    i = spark.createDataFrame(items, "item_id long, text string")
+    assert run(d, i) == brute(docs, items)
+    assert sorted(r.doc_id for r in decontaminate(d, i).collect()) == [4, 6]
+
+
 def test_empty_tables(spark):
     d = spark.createDataFrame([], "doc_id long, text string")
     i = spark.createDataFrame([], "item_id long, text string")
