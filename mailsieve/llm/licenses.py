@@ -90,7 +90,8 @@ _NAMES = (
     ("artistic-1.0", "artistic", r"artistic license(?: version)? ?1(?: 0)?"),
     ("artistic-2.0", "artistic", r"artistic license(?: version)? ?2(?: 0)?"),
     ("perl", "perl", r"same terms as perl(?: itself)?"),
-    ("python-2.0", "python", r"(?:python software foundation|psf) license(?: version 2)?"),
+    ("python-2.0", "python", r"python software foundation license(?: version 2)?"),
+    ("python-2.0", "psf", r"psf license(?: version 2)?"),
     ("ruby", "ruby", r"ruby s? ?license"),
     ("php-3.01", "php", r"php license(?: version)? ?3(?: 01)?"),
     ("postgresql", "postgresql", r"postgresql license"),
@@ -164,7 +165,8 @@ _TEXTS = (
     ("ofl-1.1", "font software", r"font software is licensed under the sil open font license", 93),
     ("proprietary", "all rights", r"all rights reserved", 40),
     ("proprietary", "confidential", r"confidential and proprietary", 60),
-    ("proprietary", "unauthorized", r"unauthori[sz]ed (?:copying|use|distribution) of this (?:file|work|software)", 65),
+    ("proprietary", "unauthorized", r"unauthorized (?:copying|use|distribution) of this (?:file|work|software)", 65),
+    ("proprietary", "unauthorised", r"unauthorised (?:copying|use|distribution) of this (?:file|work|software)", 65),
     ("copyright", "copyright", r"copyright (?:c )?(?:19|20)[0-9]{2}", 30),
 )
 

@@ -1,10 +1,11 @@
 from __future__ import annotations
 
 import re
+from itertools import product
 
 from conftest import SF
 
-from mailsieve.llm.licenses import BASE, detections, find_licenses, rules, scan
+from mailsieve.llm.licenses import _NAMES, _TEXTS, BASE, detections, find_licenses, rules, scan
 
 
 def brute(text):
@@ -33,6 +34,43 @@ def test_hundreds_of_rules_each_behind_its_keyword():
     assert sum(map(len, rules().values())) > 250
 
 
+def spelled(parsed):
+    """Strings of a parsed pattern: every branch and letter of a class, optional parts left out and taken once."""
+    ways = []
+    for op, arg in parsed:
+        kind = str(op)
+        if kind == "LITERAL":
+            ways.append([chr(arg)])
+        elif kind == "ANY":
+            ways.append(["x"])
+        elif kind == "IN":
+            ways.append([chr(c) for o, a in arg for c in ([a] if str(o) == "LITERAL" else a)])
+        elif kind == "BRANCH":
+            ways.append([s for branch in arg[1] for s in spelled(branch)])
+        elif kind == "SUBPATTERN":
+            ways.append(spelled(arg[-1]))
+        elif kind in ("MAX_REPEAT", "MIN_REPEAT"):
+            least, most, part = arg
+            ways.append([s * n for n in sorted({least, min(most, least + 1)}) for s in spelled(part)])
+        else:
+            raise ValueError(kind)
+    return ["".join(w) for w in product(*ways)]
+
+
+def test_every_rule_implies_its_keyword():
+    for label, keyword, pattern, *_ in (*_NAMES, *_TEXTS):
+        for text in spelled(re._parser.parse(pattern)):
+            assert re.fullmatch(pattern, text), (pattern, text)
+            assert keyword in text, (label, keyword, text)
+
+
+def test_alternative_spellings_have_their_own_keyword():
+    assert labels("Released under the PSF License, version 2.") == ["python-2.0"]
+    assert labels("SPDX license identifier: PSF license") == ["python-2.0"]
+    assert labels("the PSF license") == ["python-2.0"]
+    assert labels("Unauthorised use of this software is forbidden.") == ["proprietary"]
+
+
 def labels(text):
     return scan(text)["labels"].split(",")
 
