@@ -13,12 +13,14 @@ from pyspark.sql import functions as F
 
 from mailsieve.llm.streams import slices, utf8
 from mailsieve.scale import top_per_key
+from mailsieve.session import cut_lineage, release
 
 #: Longest context in bytes; a gram (context and next byte) fits 32 bits.
 ORDER = 3
 #: Labelled texts learned from, about so many a language, chosen by a hash of the id.
 SAMPLE_ROWS = 2_000
 #: Grams kept a language and order (the most frequent), and the least count of a gram longer than two bytes.
+#: As many contexts are kept; their counts are of all grams.
 GRAMS, LEAST = 1 << 16, 2
 UNKNOWN = "und"
 _BLOCK = 1 << 17
@@ -114,8 +116,11 @@ def _shorter(grams: np.ndarray, order: int) -> np.ndarray:
     return grams & np.uint32((1 << 8 * order) - 1)
 
 
-def build_model(counts: list[tuple[int, str, int, int]]) -> LanguageModel:
-    """``counts``: (order, lang, gram, n).  Escapes by method C: distinct next bytes against all counts."""
+def build_model(
+    counts: list[tuple[int, str, int, int]], known: list[tuple[int, str, int, int, int]] | None = None
+) -> LanguageModel:
+    """``counts``: (order, lang, gram, n); ``known``: (order, lang, context, total, distinct), by default those of
+    ``counts``, else with at least its contexts.  Escapes by method C: distinct next bytes against all counts."""
     langs = tuple(sorted({c[1] for c in counts}))
     place = {lang: j for j, lang in enumerate(langs)}
     codes: list[_Table] = []
@@ -125,10 +130,18 @@ def build_model(counts: list[tuple[int, str, int, int]]) -> LanguageModel:
         grams, row = np.unique(np.array([c[2] for c in own], np.uint32), return_inverse=True)
         n = np.zeros((len(grams), len(langs)))
         np.add.at(n, (row, [place[c[1]] for c in own]), [c[3] for c in own])
-        contexts, of = np.unique(grams >> np.uint32(8), return_inverse=True)
-        total, distinct = np.zeros((len(contexts), len(langs))), np.zeros((len(contexts), len(langs)))
-        np.add.at(total, of, n)
-        np.add.at(distinct, of, (n > 0).astype(float))
+        if known is None:
+            contexts, of = np.unique(grams >> np.uint32(8), return_inverse=True)
+            total, distinct = np.zeros((len(contexts), len(langs))), np.zeros((len(contexts), len(langs)))
+            np.add.at(total, of, n)
+            np.add.at(distinct, of, (n > 0).astype(float))
+        else:
+            met = [c for c in known if c[0] == order]
+            contexts, row = np.unique(np.array([c[2] for c in met], np.uint32), return_inverse=True)
+            total, distinct = np.zeros((len(contexts), len(langs))), np.zeros((len(contexts), len(langs)))
+            at = (row, [place[c[1]] for c in met])
+            total[at], distinct[at] = [c[3] for c in met], [c[4] for c in met]
+            of = np.searchsorted(contexts, grams >> np.uint32(8))
         seen = np.maximum(total + distinct, 1)
         escape = np.where(distinct > 0, -np.log2(np.maximum(distinct, 1) / seen), 0)
         escapes.append(_Table(contexts, escape))
@@ -147,8 +160,9 @@ def fit(docs: DataFrame, max_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """Model from the whole texts of learnable rows with a language.
 
     About ``max_rows`` a language (a fixed share by hash of the id) are counted, by task and then by gram;
-    the GRAMS most frequent grams of each order come to the driver and go out as a broadcast, so both are
-    bounded whatever the corpus.
+    the GRAMS most frequent grams of each order come to the driver and go out as a broadcast, and so do the
+    GRAMS contexts with the most frequent grams, so both are bounded whatever the corpus.  A context's total
+    and distinct next bytes are those of all grams, kept or not.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     shares = usable.groupBy(F.col("lang").alias("__lang")).agg((max_rows * 1_000_000 / F.count("*")).alias("__share"))
@@ -160,11 +174,22 @@ def fit(docs: DataFrame, max_rows: int = SAMPLE_ROWS) -> LanguageModel:
     orders = F.explode(F.array(*[
         F.struct(F.lit(k).alias("order"), F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram"))
         for k in range(ORDER + 1)])).alias("o")
-    summed = longest.select("lang", "n", orders).groupBy("o.order", "lang", "o.gram").agg(F.sum("n").alias("n"))
+    summed = cut_lineage(
+        longest.select("lang", "n", orders).groupBy("o.order", "lang", "o.gram").agg(F.sum("n").alias("n")))
     kept = top_per_key(
         summed.where((F.col("order") < 2) | (F.col("n") >= LEAST)), ["order", "lang"], [F.desc("n"), F.col("gram")],
         GRAMS)
-    return build_model([(r.order, r.lang, r.gram, r.n) for r in kept.collect()])
+    # by their first gram in the order of ``kept``: the context of every kept gram is among them
+    known = top_per_key(
+        summed.groupBy("order", "lang", F.shiftright("gram", 8).alias("context")).agg(
+            F.sum("n").alias("total"), F.count("*").alias("distinct"), F.min(F.struct(-F.col("n"), "gram")).alias("first")),
+        ["order", "lang"], [F.col("first")], GRAMS)
+    model = build_model(
+        [(r.order, r.lang, r.gram, r.n) for r in kept.collect()],
+        [(r.order, r.lang, r.context, r.total, r.distinct)
+         for r in known.select("order", "lang", "context", "total", "distinct").collect()])
+    release(summed)
+    return model
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

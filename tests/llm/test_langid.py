@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import math
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -63,6 +64,48 @@ def test_code_lengths_match_a_walk(least):
         assert got == pytest.approx([brute(rows, x, text) for x in model.langs], rel=1e-5)
 
 
+def walk(rows, kept, lang, text):
+    """As ``brute``, with contexts counted on all ``rows`` and codes for ``kept`` (order, lang, gram) only."""
+    seen = defaultdict(Counter)
+    for order, own, gram, n in rows:
+        if own == lang:
+            data = gram.to_bytes(order + 1, "big")
+            seen[data[:-1]][data[-1]] += n
+    bits = 0.0
+    for g in grams(text):
+        for order in range(3, -1, -1):
+            own = seen.get(g[3 - order : 3])
+            if not own:
+                continue
+            whole = sum(own.values()) + len(own)
+            if (order, lang, int.from_bytes(g[3 - order :], "big")) in kept:
+                bits -= math.log2(own[g[3]] / whole)
+                break
+            bits -= math.log2(len(own) / whole)
+        else:
+            bits += 8
+    return bits
+
+
+@pytest.mark.parametrize("most", [1 << 16, 12])
+def test_contexts_are_counted_before_grams_are_dropped(spark, monkeypatch, most):
+    monkeypatch.setattr(langid, "GRAMS", most)
+    ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in zip(ids, TEXTS)], "doc_id long, text string, lang string")
+    model, rows = langid.fit(df), counts(TEXTS)
+    kept, known = set(), []
+    for order in range(4):
+        for lang in model.langs:
+            own = sorted((-n, g) for o, x, g, n in rows if (o, x) == (order, lang))
+            kept |= {(order, lang, g) for _, g in [x for x in own if order < 2 or -x[0] >= langid.LEAST][:most]}
+            first = list(dict.fromkeys(g >> 8 for _, g in own))[:most]
+            known += [r for r in rows if (r[0], r[1]) == (order, lang) and r[2] >> 8 in first]
+    for text in ("the chose", "then le", "zzz", "théthé"):
+        data = np.frombuffer(text.encode(), np.uint8)
+        got = model.totals(data, np.array([0, len(data)]))[0]
+        assert got == pytest.approx([walk(known, kept, x, text) for x in model.langs], rel=1e-5)
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet")
     got = langid.identify(docs, langid.fit(docs)).join(docs.select("doc_id", "lang"), "doc_id").where("held_out")
