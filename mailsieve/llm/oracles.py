@@ -115,3 +115,41 @@ k AS (SELECT doc_id, min(x) AS component_id FROM r GROUP BY 1)
 SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, k.component_id, w.doc_id = k.component_id AS kept
 FROM w LEFT JOIN n USING (doc_id) JOIN k USING (doc_id)
 """
+
+OP11 = f"""
+WITH t AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, 'und') AS lang,
+    unnest(string_split_regex({_LOW.format('text')}, '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents
+),
+p AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM t),
+g AS (
+  SELECT lang, len(w) AS total, unnest(list_concat(
+    w, list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' ')),
+    list_transform(range(1, len(w) - 1), lambda i: array_to_string(w[i:i + 2], ' ')),
+    list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')))) AS g
+  FROM p
+),
+f AS (SELECT lang, g, string_split(g, ' ') AS w, count(*)::HUGEINT AS f FROM g GROUP BY lang, g HAVING count(*) >= 30),
+c AS (SELECT lang, g, w, f AS a, unnest(range(1, len(w))) AS k FROM f WHERE len(w) > 1),
+s AS (
+  SELECT c.lang, c.g, c.w, c.a, c.k, x.f AS l, y.f AS r, 2000000 * c.a // (x.f + y.f) AS score
+  FROM c JOIN f x ON x.lang = c.lang AND x.g = array_to_string(c.w[1:c.k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.g = array_to_string(c.w[c.k + 1:], ' ')
+),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, k) = 1),
+v AS (
+  SELECT lang, unnest(list_concat(
+    list_transform(range(1, len(w)), lambda i: array_to_string(w[i:i + 1], ' ')),
+    CASE WHEN len(w) = 4 THEN [array_to_string(w[1:3], ' '), array_to_string(w[2:4], ' ')] ELSE [] END)) AS g, f
+  FROM f WHERE len(w) > 2
+),
+m AS (SELECT lang, g, max(f) AS f FROM v GROUP BY 1, 2),
+k AS (
+  SELECT b.* FROM b LEFT JOIN m ON m.lang = b.lang AND m.g = b.g WHERE m.f IS NULL OR 100 * m.f < 80 * b.a
+),
+n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM p GROUP BY 1),
+o AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank FROM k)
+SELECT o.lang, o.rank::BIGINT AS rank, o.g AS phrase, o.a::BIGINT AS a, o.l::BIGINT AS l, o.r::BIGINT AS r, n.n, o.score::BIGINT AS score
+FROM o JOIN n USING (lang) WHERE o.rank <= 2000
+"""

@@ -10,6 +10,9 @@ from mailsieve.llm import bpe, chat, langid, licenses, oracles, quality, secrets
 from mailsieve.llm.ann import nearest_neighbours
 from mailsieve.llm.decontaminate import contamination
 from mailsieve.llm.near_dup import near_duplicates
+from mailsieve.llm.phrases import collocations
+from mailsieve.llm.runs import run_digest
+from mailsieve.llm.simhash import near_fingerprints
 
 RANKS, PATTERN = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
 
@@ -63,12 +66,25 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(_table(spark, sf_dir, "documents"), top=2000)
+
+
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_fingerprints(_table(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_random_projection_forest, op2_ppm_language_id, op3_license_scan, op4_byte_bpe, op5_secret_scan,
     op6_decontamination, op7_quality_rules, op8_chat_format, op9_warc_revisits, op10_minhash_near_dedup,
+    op11_phrase_collocations, op12_simhash_near_dedup, op13_periodic_runs,
 )}
 
 ORACLES = {
     "op6_decontamination": oracles.OP6, "op8_chat_format": oracles.OP8, "op9_warc_revisits": oracles.OP9,
-    "op10_minhash_near_dedup": oracles.OP10,
+    "op10_minhash_near_dedup": oracles.OP10, "op11_phrase_collocations": oracles.OP11,
 }
