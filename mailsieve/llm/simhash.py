@@ -131,19 +131,20 @@ def shard_prints(prints: DataFrame, shard: int = SHARD) -> DataFrame:
     A shard holds the fingerprints that agree under a mask.  Four masks of 16 bits come first; the members of a
     shard over ``shard`` members go on to four finer masks each, until a mask leaves OPEN_BITS or fewer open.
     """
-    level = {0: None}
+    spark = prints.sparkSession
+    level = [0]
     placed = prints.select("print", F.lit(0).cast("long").alias("mask"))
     out: DataFrame | None = None
     while True:
-        finer = {m: [_signed(x) for x in finer_masks(m & (2**64 - 1))] for m in level}
-        lists = F.create_map(*[F.lit(x) if not isinstance(x, list) else F.array(*[F.lit(y).cast("long") for y in x])
-                               for m in finer for x in (m, finer[m])])
-        placed = placed.select("print", F.explode(F.element_at(lists, F.col("mask"))).alias("mask")).withColumn(
+        # four rows for each mask of a level, 4 ** 6 at most
+        finer = spark.createDataFrame(
+            [(m, _signed(x)) for m in level for x in finer_masks(m & (2**64 - 1))], "mask long, finer long")
+        placed = placed.join(F.broadcast(finer), "mask").select("print", F.col("finer").alias("mask")).withColumn(
             "value", F.col("print").bitwiseAND(F.col("mask")))
         open_bits = 64 - F.bit_count("mask")
         wide = cut_lineage(placed.groupBy("mask", "value").agg(F.count("*").alias("n"))
                            .where((F.col("n") > shard) & (open_bits > OPEN_BITS)).select("mask", "value"))
-        level = {r.mask: None for r in wide.select("mask").distinct().collect()}
+        level = [r.mask for r in wide.select("mask").distinct().collect()]
         fine = placed.join(wide, ["mask", "value"], "left_anti") if level else placed
         fine = fine.select(F.xxhash64("mask", "value").alias("shard"), "print")
         out = fine if out is None else out.union(fine)
