@@ -30,8 +30,9 @@ def connected_components(edges: DataFrame) -> DataFrame:
     node, so a hub is split by skew joins.  Rounds go on until the edges stay as they are; each is written
     to the shared folder, so a lost executor repeats one round at most.
     """
-    tidy = edges.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"), F.expr("u + v").alias("s"))
-    now = cut_lineage(tidy.where("s is not null and u < v").select("u", "v").distinct())
+    tidy = edges.where("u is not null and v is not null").select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v"))
+    now = cut_lineage(tidy.where("u < v").distinct())
     mark = _fingerprint(now)
     while mark[0]:
         last, now = now, cut_lineage(_small_star(_large_star(now)))

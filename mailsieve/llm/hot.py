@@ -9,15 +9,22 @@ from pyspark.sql import functions as F
 SHARES = 1024
 
 
-def join_counted(rows: DataFrame, table: DataFrame, key: str, count: str = "n", how: str = "inner") -> DataFrame:
-    """``rows`` joined with ``table``, which has a row for each ``key`` and the ``count`` of its rows.
+def join_spread(rows: DataFrame, table: DataFrame, key: str, counts: DataFrame | None = None) -> DataFrame:
+    """``rows`` left-joined with ``table``, which has at most one row for each ``key``.
 
     Rows of a hot key stay in their tasks: at most SHARES rows of ``table`` are sent to them.  The other rows meet
-    ``table`` by a shuffle in which no key holds more than one of SHARES shares.  ``rows`` is read twice, so
-    it should be a written table.  Rows with a null key match nothing; ``how`` is inner or left.
+    ``table`` by a shuffle in which no key holds more than one of SHARES shares; rows with a null key match nothing
+    and are not shuffled.  ``counts`` (key, n) is counted from ``rows`` if not given.  ``rows`` is read
+    several times, so it should be a written table or cheap.
     """
-    total = table.agg(F.sum(count)).first()[0] or 0
-    hot = table.where(F.col(count) > total / SHARES)
-    few = F.broadcast(hot)
-    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(table, key, how)
-    return rows.join(few, key).unionByName(rest)
+    if counts is None:
+        counts = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.count("*").alias("n"))
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    hot = counts.where((F.col("n") > total / SHARES) & F.col(key).isNotNull()).select(key)
+    known = F.broadcast(hot.join(table, key, "left"))
+    rest = rows.join(F.broadcast(hot), key, "left_anti")
+    more = [c for c in table.columns if c != key]
+    none = rest.where(F.col(key).isNull()).select(
+        *rows.columns, *[F.lit(None).cast(table.schema[c].dataType).alias(c) for c in more])
+    met = rest.where(F.col(key).isNotNull()).join(table, key, "left")
+    return rows.join(known, key).unionByName(met).unionByName(none)

@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve.llm.components import connected_components
-from mailsieve.llm.hot import join_counted
-from mailsieve.llm.streams import slices, whole_groups
+from mailsieve.llm.hot import join_spread
+from mailsieve.llm.streams import bounded_batches, slices, whole_groups
 from mailsieve.session import cut_lineage
 
 WIDTH, SEED, RADIUS = 3, 42, 3
@@ -132,15 +132,11 @@ def shard_prints(prints: DataFrame, shard: int = SHARD) -> DataFrame:
     shard over ``shard`` members go on to four finer masks each, until a mask leaves OPEN_BITS or fewer open.
     """
     spark = prints.sparkSession
-    level = [0]
-    placed = prints.select("print", F.lit(0).cast("long").alias("mask"))
+    first = F.array(*[F.lit(_signed(m)).cast("long") for m in finer_masks(0)])
+    placed = prints.select("print", F.explode(first).alias("mask"))
     out: DataFrame | None = None
     while True:
-        # four rows for each mask of a level, 4 ** 6 at most
-        finer = spark.createDataFrame(
-            [(m, _signed(x)) for m in level for x in finer_masks(m & (2**64 - 1))], "mask long, finer long")
-        placed = placed.join(F.broadcast(finer), "mask").select("print", F.col("finer").alias("mask")).withColumn(
-            "value", F.col("print").bitwiseAND(F.col("mask")))
+        placed = placed.withColumn("value", F.col("print").bitwiseAND(F.col("mask")))
         open_bits = 64 - F.bit_count("mask")
         wide = cut_lineage(placed.groupBy("mask", "value").agg(F.count("*").alias("n"))
                            .where((F.col("n") > shard) & (open_bits > OPEN_BITS)).select("mask", "value"))
@@ -150,7 +146,11 @@ def shard_prints(prints: DataFrame, shard: int = SHARD) -> DataFrame:
         out = fine if out is None else out.union(fine)
         if not level:
             return out
-        placed = cut_lineage(placed.join(wide, ["mask", "value"], "left_semi").select("print", "mask"))
+        # four rows for each mask of a level, 4 ** 6 at most
+        finer = spark.createDataFrame(
+            [(m, _signed(x)) for m in level for x in finer_masks(m & (2**64 - 1))], "mask long, finer long")
+        placed = cut_lineage(placed.join(wide, ["mask", "value"], "left_semi").join(F.broadcast(finer), "mask")
+                             .select("print", F.col("finer").alias("mask")))
 
 
 def near_fingerprints(docs: DataFrame, shard: int = SHARD) -> DataFrame:
@@ -172,7 +172,7 @@ def near_fingerprints(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     of their own.  Extra columns are ignored.  No rows give no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marked = cut_lineage(rows.mapInArrow(_fingerprints, "doc_id long, print long"))
+    marked = cut_lineage(bounded_batches(rows).mapInArrow(_fingerprints, "doc_id long, print long"))
     classes = cut_lineage(marked.groupBy("print").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")))
     sharded = shard_prints(classes.select("print"), shard).repartition("shard").sortWithinPartitions("shard", "print")
     groups = cut_lineage(connected_components(sharded.mapInArrow(_links, "u long, v long")))
@@ -182,5 +182,5 @@ def near_fingerprints(docs: DataFrame, shard: int = SHARD) -> DataFrame:
     named = cut_lineage(classes.join(reached, "print", "left").select(
         "print", "n", F.when(F.col("component_id").isNull(), F.col("least")).otherwise(F.col("component_id"))
         .alias("component_id")))
-    return join_counted(marked, named, "print").select(
+    return join_spread(marked, named.drop("n"), "print", classes.select("print", "n")).select(
         "doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")

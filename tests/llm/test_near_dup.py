@@ -101,6 +101,10 @@ def test_components_of_paths_and_hubs(spark):
     got = {tuple(r) for r in connected_components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {(i, 0) for i in range(31)} | {(i, 100) for i in range(100, 160)}
     assert connected_components(spark.createDataFrame([], "u long, v long")).count() == 0
+    top = 2**63 - 1
+    far = spark.createDataFrame([(top, top - 1), (-top, -5), (top, None)], "u long, v long")
+    assert {tuple(r) for r in connected_components(far).collect()} == {
+        (top, top - 1), (top - 1, top - 1), (-top, -top), (-5, -top)}
 
 
 def test_least_agreement_is_a_tail():
