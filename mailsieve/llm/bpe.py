@@ -5,7 +5,7 @@ from __future__ import annotations
 import base64
 import heapq
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -14,12 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve.llm.shingles import mix, powers
-from mailsieve.llm.streams import slices
+from mailsieve.llm.streams import bounded_batches, slices
 
 #: Code points of a chunk, and how far a chunk reads into the next one.
 CHUNK, OVERLAP = 1 << 14, 256
 #: Bytes of text, or of ids, worked on together.
-SLICE = 2 << 20
+SLICE = 1 << 19
 #: A boundary is decided by at most so many characters after it.
 MARGIN = 4
 #: Pieces kept with their ids by a Python worker, none longer than so many bytes.
@@ -114,11 +114,15 @@ class Coder:
         self.bytes = np.array([self.ranks[bytes([b])] for b in range(256)], np.int64)
         self.byte_pairs = np.array(
             [self.ranks.get(bytes([a, b]), _NEVER) for a in range(256) for b in range(256)], np.int64)
+
+    @cached_property
+    def merges(self) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of ids that merge, sorted, and the id each merges to; only encoding needs them."""
         pairs = {
             (self.ranks[t[:k]] << 32) + self.ranks[t[k:]]: rank for t, rank in self.ranks.items()
             for k in range(1, len(t)) if t[:k] in self.ranks and t[k:] in self.ranks}
-        self.pairs = np.sort(np.fromiter(pairs, np.int64, len(pairs)))
-        self.pair_ranks = np.array([pairs[x] for x in self.pairs.tolist()], np.int64)
+        keys = np.sort(np.fromiter(pairs, np.int64, len(pairs)))
+        return keys, np.array([pairs[x] for x in keys.tolist()], np.int64)
 
     def _runs(self, parts: list[str]) -> list[np.ndarray]:
         """For each text by itself, where its pieces start, and its length."""
@@ -163,9 +167,10 @@ class Coder:
 
     def _pair_ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         """Rank of each pair of ids, which is the id of what it merges to."""
+        keys, merged = self.merges
         wanted = (left << 32) + right
-        at = np.minimum(np.searchsorted(self.pairs, wanted), len(self.pairs) - 1)
-        return np.where(self.pairs[at] == wanted, self.pair_ranks[at], _NEVER)
+        at = np.minimum(np.searchsorted(keys, wanted), len(keys) - 1)
+        return np.where(keys[at] == wanted, merged[at], _NEVER)
 
     def merge(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of each piece: its adjacent pair of least rank is merged, leftmost first, while there is one.
@@ -295,6 +300,21 @@ class Coder:
     def encode(self, text: str) -> bytes:
         return self.encode_all([text])[0]
 
+    @cached_property
+    def token_bytes(self) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of all tokens end to end, and where each starts; the ids after the last token have none."""
+        starts = np.cumsum([0, *map(len, self.tokens)])
+        return np.frombuffer(b"".join(self.tokens), np.uint8), starts
+
+    def decode_flat(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Bytes of a run of ids, reserved ones empty, and where the bytes of each id start."""
+        data, starts = self.token_bytes
+        known = np.minimum(ids, len(self.tokens))
+        sizes = np.append(np.diff(starts), 0)[known]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        at = np.arange(ends[-1]) + np.repeat(starts[known] - ends[:-1], sizes)
+        return data[at], ends
+
     def decode(self, ids: bytes) -> bytes:
         return b"".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
@@ -330,7 +350,7 @@ def _map_column(df: DataFrame, source: str, target: str, kind: str, ranks: str,
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.binary())], [*names, target])
 
     schema = df.select(names).schema.add(target, kind)
-    return df.select(names).mapInArrow(run, schema)
+    return bounded_batches(df.select(names)).mapInArrow(run, schema)
 
 
 def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from mailsieve.llm.components import connected_components
 from mailsieve.llm.shingles import mix, shingle_sets
-from mailsieve.llm.streams import slices, utf8, whole_groups
+from mailsieve.llm.streams import bounded_batches, slices, utf8, whole_groups
 from mailsieve.session import cut_lineage
 
 WIDTH = 5
@@ -143,13 +143,23 @@ class _Overlaps:
         return 100 * shared >= self.percent * (self.sizes[i] + self.sizes[rest] - shared)
 
 
+def _group_sets(group: pa.Table, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingle sets of a group's texts, worked out slice by slice, and their offsets."""
+    flat, sizes = [], [np.zeros(1, np.int64)]
+    for batch in group.to_batches():
+        for part in slices(batch, "text"):
+            sets, at = shingle_sets(*utf8(part.column("text")), width)
+            flat.append(sets)
+            sizes.append(np.diff(at))
+    return np.concatenate(flat), np.cumsum(np.concatenate(sizes))
+
+
 def _exact_links(percent: int, width: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in whole_groups(batches, "task"):
             for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-                part = table.slice(a, b - a).combine_chunks()
-                sets, at = shingle_sets(*utf8(part.column("text").chunk(0)), width)
-                nodes = np.asarray(part.column("node"))
+                sets, at = _group_sets(table.slice(a, b - a), width)
+                nodes = np.asarray(table.column("node").slice(a, b - a))
                 full = np.flatnonzero(np.diff(at))
                 nodes, at = nodes[full], np.append(at[full], at[-1])
                 if len(nodes) > 1:
@@ -183,7 +193,7 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> D
         F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_hash"),
         F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("octets"),
     )
-    sketches = cut_lineage(rows.mapInArrow(
+    sketches = cut_lineage(bounded_batches(rows).mapInArrow(
         _sketch(percent, width),
         "doc_id long, text_hash long, octets long, n_shingles long, key binary, signature binary, buckets array<long>",
     ))

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve.llm.shingles import mix, powers
-from mailsieve.llm.streams import slices, utf8, whole_groups
+from mailsieve.llm.streams import bounded_batches, slices, utf8, whole_groups
 from mailsieve.scale import top_per_key
 from mailsieve.session import cut_lineage, release
 
@@ -22,7 +22,7 @@ BUDGET, CELLS = 1 << 16, 1 << 16
 #: Bits of the two maps that say which words and pairs are frequent; they are as large for any corpus.
 WORD_BITS, PAIR_BITS = 24, 25
 #: Bytes of text whose suffixes are put together before they leave a task.
-SLICE = 4 << 20
+SLICE = 2 << 20
 #: Words longer than this are hashed one by one.
 LONG = 64
 
@@ -293,7 +293,7 @@ def collocations(docs: DataFrame, top: int | None = 2000, least: int = LEAST, bu
     decimals.  A null language is ``und``, null and empty texts have no words, repeated rows count again, extra
     columns are ignored, no rows give no rows.
     """
-    words, phrases = phrase_counts(docs.select("text", "lang"), least, budget)
+    words, phrases = phrase_counts(bounded_batches(docs.select("text", "lang")), least, budget)
     longer = phrases.where(F.size("keys") > 1)
     cuts = longer.select("keys", F.col("f").alias("a"), F.explode(F.expr("sequence(1, size(keys) - 1)")).alias("k")).select(
         "keys", "a", "k", F.expr("slice(keys, 1, k)").alias("left"), F.expr("slice(keys, k + 1, size(keys) - k)").alias("right"))

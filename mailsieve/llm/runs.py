@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailsieve.llm.streams import slices
+from mailsieve.llm.streams import bounded_batches, slices
 
 #: A prime with roots of unity of order 2**20; 128 products of its residues add up exactly in a double.
 PRIME, GENERATOR, RADIX = 7 * 2**20 + 1, 3, 128
@@ -239,7 +239,7 @@ def periodic_runs(docs: DataFrame, plant: bool = False, digest: bool = False) ->
     planted; repeated rows each give their row; extra columns are ignored.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(
+    return bounded_batches(rows).mapInArrow(
         lambda batches: _run_rows(plant, digest, batches),
         "doc_id long, n_runs long, start long, length long, period long, exponent_milli long, runs string, collapsed binary")
 
