@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mailsieve.llm.hot import join_spread
 from mailsieve.session import cut_lineage
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -150,13 +151,18 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram:
     """
     rows, hits = _matches(docs, items, window, gram)
     n_hit, ids = F.coalesce("n_hit", F.lit(0).cast("long")), F.coalesce("items", F.array().cast("array<string>"))
-    return rows.select("doc_id", "n_words", "key").join(hits, "key", "left").select(
+    return join_spread(rows.select("doc_id", "n_words", "key"), cut_lineage(hits), "key").select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size(ids).cast("long").alias("n_items"),
         F.sha2(F.array_join(ids, ","), 256).alias("items_sha256"), (n_hit > 0).alias("contaminated"))
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
-    """Rows of ``docs`` without those that hold a window of ``items``."""
-    _, hits = _matches(docs, items, window, gram)
+    """Rows of ``docs`` without those that hold a window of ``items``; repeated rows all stay or all go.
+
+    The rows of one text may be any share of all: they are told by their digest, hot ones where they are.
+    """
+    rows, hits = _matches(docs, items, window, gram)
     keyed = docs.withColumn("__key", F.coalesce(F.unhex(F.md5("text")), F.lit(b"")))
-    return keyed.join(hits.select(F.col("key").alias("__key")), "__key", "left_anti").select(docs.columns)
+    counts = rows.groupBy(F.coalesce("key", F.lit(b"")).alias("__key")).agg(F.count("*").alias("n"))
+    found = cut_lineage(hits.select(F.col("key").alias("__key"), F.lit(True).alias("__hit")))
+    return join_spread(keyed, found, "__key", counts).where(F.col("__hit").isNull()).select(docs.columns)
