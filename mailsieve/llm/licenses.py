@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from bisect import bisect_left, bisect_right
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import cache
+from itertools import accumulate
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from mailsieve.llm.streams import slices
+from mailsieve.llm.streams import bounded_batches, slices
 
 # Words and base phrases.
 _WORD = re.compile(rb"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -201,15 +204,41 @@ def _base() -> list[tuple[bytes, re.Pattern, str]]:
 def detections(line: bytes) -> list[tuple[int, int, str, int]]:
     """(start, stop, label, priority) in a line of words: by priority, then length, then place, without those
     that lie inside one before them."""
-    found = []
+    found: set[tuple[int, int, str, int]] = set()
     for keyword, own in rules().items():
         if keyword in line:
             for rule in own:
-                found += [(m.start(), m.end(), rule.label, rule.priority) for m in rule.pattern.finditer(line)]
-    kept: list[tuple[int, int, str, int]] = []
-    for d in sorted(set(found), key=lambda d: (-d[3], d[0] - d[1], d[0], d[2])):
-        if not any(k[0] <= d[0] and d[1] <= k[1] for k in kept):
-            kept.append(d)
+                found |= {(m.start(), m.end(), rule.label, rule.priority) for m in rule.pattern.finditer(line)}
+    return uncontained(found)
+
+
+def _furthest(spans: Iterable[tuple[int, int]]) -> tuple[list[int], list[int]]:
+    """Starts in order and, for each, the furthest end of a span that starts there or before."""
+    ordered = sorted(spans)
+    return [s for s, _ in ordered], list(accumulate((e for _, e in ordered), max))
+
+
+def uncontained(found: set[tuple[int, int, str, int]]) -> list[tuple[int, int, str, int]]:
+    """``found`` by priority, then length, then place and label, without those inside one before them.
+
+    What lies inside a dropped one lies inside that one's own container too, so it is enough to look at all before:
+    by the furthest end of spans of higher priority, and of longer ones of the same.  Sorting is all it costs.
+    """
+    kept, above = [], []
+    for priority in sorted({d[3] for d in found}, reverse=True):
+        own = sorted((d for d in found if d[3] == priority), key=lambda d: (d[0] - d[1], d[0], d[2]))
+        spans = {d[:2] for d in own}
+        high, high_ends = _furthest(above)
+        same, same_ends = _furthest(spans)
+        longest = {s: e for s, e in sorted(spans)}
+        seen: set[tuple[int, int]] = set()
+        for d in own:
+            i, j = bisect_right(high, d[0]), bisect_left(same, d[0])
+            inside = i and high_ends[i - 1] >= d[1] or j and same_ends[j - 1] >= d[1] or longest[d[0]] > d[1]
+            if not inside and d[:2] not in seen:
+                kept.append(d)
+            seen.add(d[:2])
+        above += spans
     return kept
 
 
@@ -217,10 +246,11 @@ def scan(text: str | None) -> dict:
     """What the operator says of one text."""
     words = _WORD.findall((text or "").encode().lower())
     line = b" ".join(words)
+    blanks = np.flatnonzero(np.frombuffer(line, np.uint8) == 32)
     places, base = [], set()
     for phrase, pattern, label in _base():
         if phrase in line:
-            own = [line.count(b" ", 0, m.start()) for m in pattern.finditer(line)]
+            own = np.searchsorted(blanks, [m.start() for m in pattern.finditer(line)]).tolist()
             places += own
             base |= {label} if own else set()
     kept = detections(line)
@@ -260,4 +290,4 @@ def find_licenses(docs: DataFrame) -> DataFrame:
     schema = rows.select("doc_id").schema
     for field in _SCHEMA.split(", "):
         schema = schema.add(*field.split(" "))
-    return rows.mapInArrow(_scan_batches, schema)
+    return bounded_batches(rows).mapInArrow(_scan_batches, schema)

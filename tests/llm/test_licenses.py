@@ -1,11 +1,13 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 from itertools import product
 
 from conftest import SF
 
-from mailsieve.llm.licenses import _NAMES, _TEXTS, BASE, detections, find_licenses, rules, scan
+from mailsieve.llm.licenses import _NAMES, _TEXTS, BASE, detections, find_licenses, rules, scan, uncontained
 
 
 def brute(text):
@@ -30,6 +32,47 @@ def test_whole_table_matches_brute_force(spark):
         assert 0 <= r.score <= 1 and bool(r.labels) == (r.score > 0)
 
 
+def plainly(found):
+    kept = []
+    for d in sorted(found, key=lambda d: (-d[3], d[0] - d[1], d[0], d[2])):
+        if not any(k[0] <= d[0] and d[1] <= k[1] for k in kept):
+            kept.append(d)
+    return kept
+
+
+def test_uncontained_matches_a_look_at_every_pair():
+    rnd = random.Random(7)
+    for _ in range(400):
+        found = set()
+        for _ in range(rnd.randint(0, 40)):
+            start = rnd.randrange(30)
+            found.add((start, start + rnd.randint(1, 12), rnd.choice("abc"), rnd.choice([40, 60, 90])))
+        assert uncontained(found) == plainly(found)
+
+
+def test_added_labels_match_all_rules_without_gates(spark):
+    docs = spark.read.parquet(SF + "/documents.parquet")
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    every = [rule for own in rules().values() for rule in own]
+    seen = set()
+    for r in find_licenses(docs).collect():
+        line = " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), texts[r.doc_id] or "")))
+        line = line.encode()
+        found = {(m.start(), m.end(), x.label, x.priority) for x in every for m in x.pattern.finditer(line)}
+        base = set(filter(None, brute(texts[r.doc_id])[4].split(",")))
+        labels = base | {d[2] for d in plainly(found)}
+        assert r.labels == ",".join(sorted(labels))
+        seen |= labels - base
+    assert seen
+
+
+def test_repeated_lines_take_linear_time():
+    began = time.time()
+    found = scan("MIT license " * 80_000)
+    assert (found["n_words"], found["n_base"], found["last_word"]) == (160_000, 80_000, 159_998)
+    assert time.time() - began < 4
+
+
 def test_hundreds_of_rules_each_behind_its_keyword():
     assert sum(map(len, rules().values())) > 250
 
