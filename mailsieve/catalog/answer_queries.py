@@ -50,13 +50,16 @@ def _(v):
 @query("q5_retrieve_contexts", "VQ", sql=f"""
 s AS (SELECT q.query_id, e.vec_id, round({COS}, 6) AS score FROM VQ q, embeddings e),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rk FROM s),
-h AS (SELECT r.query_id, r.vec_id, r.score, d.lang FROM r JOIN documents d ON d.doc_id = r.vec_id % (SELECT count(*) FROM documents) WHERE rk <= 50 AND score >= 0.1)
-SELECT query_id, count(*) AS contexts_count, count(*) FILTER (lang <> 'de') AS success_count, count(*) FILTER (lang = 'de') AS error_count,
-  count(*) FILTER (lang <> 'de' AND vec_id % 3 = 0) AS pdf_contexts_count, count(*) FILTER (lang = 'de') > 0 AS partial_failure, count(*) FILTER (lang <> 'de') AS kept FROM h GROUP BY 1""")
+h AS (SELECT r.query_id, r.vec_id, r.score, vec_id % 5 <> 4 AS ok FROM r WHERE rk <= 50 AND score >= 0.1)
+SELECT query_id, count(*) AS contexts_count, count(*) FILTER (ok) AS success_count, count(*) FILTER (NOT ok) AS error_count,
+  count(*) FILTER (ok AND vec_id % 3 = 0) AS pdf_contexts_count, count(*) FILTER (NOT ok) > 0 AS partial_failure, count(*) FILTER (ok) AS kept FROM h GROUP BY 1""")
 def _(v):
     docs = v.raw("documents")
-    corpus = v.t("embeddings").withColumn("doc_id", F.col("vec_id") % docs.agg(F.count("*")).scalar())
-    texts = docs.select("doc_id", F.when(F.col("lang") != "de", F.col("text")).alias("text"))
+    # every fifth vector is of a document that is gone
+    known = F.col("vec_id") % docs.agg(F.count("*")).scalar()
+    corpus = v.t("embeddings").withColumn("doc_id", F.when(F.col("vec_id") % 5 == 4, -1 - F.col("vec_id")).otherwise(known))
+    gone = corpus.where("doc_id < 0").select("doc_id", F.lit(None).cast("string").alias("text"))
+    texts = docs.select("doc_id", "text").unionByName(gone)
     uri = F.concat(F.lit("gs://b/"), F.col("vec_id").cast("string"), F.when(F.col("vec_id") % 3 == 0, ".pdf").otherwise(".txt"))
     r = A.retrieve_contexts(
         v.VQ, corpus.withColumn("uri", uri), texts, "doc_id",
@@ -124,7 +127,7 @@ def _(v):
     return A.run_funnel(v.E, v.PRED, rules.quick_rules(QUICK), I.actionable_intents("hr_intents"))
 
 
-@query("q8_run_pipeline", "E PRED VQ O", sql=filter_sql(rules.quick_rules(QUICK)) + f""",
+@query("q8_run_all", "E PRED VQ O", sql=filter_sql(rules.quick_rules(QUICK)) + f""",
 j AS (SELECT f.email_id, NOT hard_block AS passed, ((p.decision = 'KEEP' AND confidence >= 0.6) OR p.decision = 'HUMAN') AS go,
   CASE WHEN confidence < 0.7 THEN 'unknown' ELSE intent END IN ('information_request', 'action_request', 'status_inquiry') AS act,
   (p.email_type = 'direct_request' AND intent = 'information_request' AND confidence >= 0.6 AND NOT safety_blocked) AS gen FROM f JOIN PRED p ON f.email_id = p.doc_id),
@@ -133,7 +136,7 @@ cs AS (SELECT e.email_id, q.query_id AS category, {COS} AS cosine FROM VQ q, l e
 cr AS (SELECT *, round((cosine + 1) / 2, 6) AS score, row_number() OVER (PARTITION BY email_id ORDER BY cosine DESC, category) AS rk FROM cs),
 ca AS (SELECT *, greatest(round(score / sum(score) OVER (PARTITION BY email_id), 6), 0.01) AS p FROM cr WHERE rk <= 3),
 cp AS (SELECT email_id, round(p / sum(p) OVER (PARTITION BY email_id), 6) AS p FROM ca), cg AS (SELECT email_id FROM cp GROUP BY 1 HAVING max(p) >= 0.34),
-rs AS (SELECT l.email_id, e.vec_id, list_cosine_similarity(l.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS c FROM l JOIN cg USING (email_id), embeddings e WHERE e.vec_id % 2 = 1),
+rs AS (SELECT l.email_id, e.vec_id, list_cosine_similarity(l.embedding::DOUBLE[], e.embedding::DOUBLE[]) AS c FROM l JOIN cg USING (email_id), embeddings e),
 rk AS (SELECT *, row_number() OVER (PARTITION BY email_id ORDER BY c DESC, vec_id) AS k FROM rs),
 rt AS (SELECT DISTINCT email_id FROM rk JOIN documents d ON d.doc_id = rk.vec_id WHERE k <= 20 AND round(c, 6) >= 0.3 AND trim(d.text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) <> ''),
 oc AS (SELECT rt.email_id, CASE WHEN blocked THEN 'blocked' WHEN rating >= 4 THEN 'accepted' WHEN rating = 3 THEN 'edited' ELSE 'rejected' END AS o FROM rt JOIN O ON O.doc_id = rt.email_id)
@@ -145,9 +148,9 @@ UNION ALL SELECT 9, 'blocked', count(*) FILTER (o = 'blocked') FROM oc UNION ALL
 UNION ALL SELECT 11, 'edited', count(*) FILTER (o = 'edited') FROM oc UNION ALL SELECT 12, 'rejected', count(*) FILTER (o = 'rejected') FROM oc""")
 def _(v):
     emb = v.t("embeddings")
-    corpus = emb.where("vec_id % 2 = 1").select(
+    corpus = emb.select(
         "vec_id", F.col("vec_id").alias("doc_id"), F.concat(F.lit("gs://b/"), F.col("vec_id").cast("string"), F.lit(".txt")).alias("uri"), "embedding")
-    return A.run_pipeline(
+    return A.run_all(
         v.E, v.PRED, rules.quick_rules(QUICK), I.actionable_intents("hr_intents"), emb.select(F.col("vec_id").alias("email_id"), "embedding"),
         v.VQ.select(F.col("query_id").alias("category"), "embedding"), corpus, v.raw("documents").select("doc_id", "text"),
         v.O.select(F.col("doc_id").alias("email_id"), "rating", "blocked"), preset=0.34, min_similarity=0.3)

@@ -140,11 +140,16 @@ def _(v):
     )
 
 
+def with_blanks(v):
+    """All documents, and a blank one more for every tenth."""
+    blank = v.DOCS.where("doc_id % 10 = 3").withColumns({"doc_id": F.col("doc_id") + 1_000_000_000, "text": F.lit(" \n ")})
+    return v.DOCS.unionByName(blank)
+
+
 @query("p24_split_valid", "DOCS", sql="""
-SELECT doc_id, CASE WHEN lang = 'de' THEN 'empty_text_content' ELSE 'valid' END AS lane FROM DOCS""")
+SELECT doc_id, 'valid' AS lane FROM DOCS UNION ALL SELECT doc_id + 1000000000, 'empty_text_content' FROM DOCS WHERE doc_id % 10 = 3""")
 def _(v):
-    d = v.DOCS.withColumn("text", F.when(F.col("lang") == "de", F.lit(" \n ")).otherwise(F.col("text")))
-    good, bad = K.split_valid(d, ["text", "file_path"])
+    good, bad = K.split_valid(with_blanks(v), ["text", "file_path"])
     return good.select("doc_id", F.lit("valid").alias("lane")).unionByName(bad.select("doc_id", F.col("reason").alias("lane")))
 
 
@@ -205,13 +210,33 @@ def _(v):
     return changes.line_diff(p, "doc_id").select("doc_id", F.col("line_change_percentage").alias("pct"), F.size("sections").alias("sections"))
 
 
+_SETS = """
+t AS (SELECT doc_id, list_distinct(regexp_extract_all(lower(coalesce(text, '')), '[a-z0-9]+')) AS w FROM DOCS),
+s AS (SELECT doc_id, CASE WHEN len(w) > 0 THEN min(doc_id) OVER (PARTITION BY list_sort(w)) ELSE doc_id END AS class_id, w, len(w) AS n FROM t),
+k AS (SELECT class_id, w, n FROM s WHERE doc_id = class_id AND n > 0),
+p AS (SELECT a.class_id AS u, b.class_id AS v FROM k a JOIN k b ON a.class_id < b.class_id AND 100 * a.n >= 90 * b.n AND 100 * b.n >= 90 * a.n
+  WHERE 100 * len(list_intersect(a.w, b.w)) >= 90 * (a.n + b.n - len(list_intersect(a.w, b.w)))),
+m AS (SELECT v, list(u) AS us, row_number() OVER (ORDER BY v) AS i FROM p GROUP BY v),
+g AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS gone UNION ALL
+  SELECT m.i, CASE WHEN len(list_filter(m.us, lambda x: NOT list_contains(g.gone, x))) > 0 THEN list_append(g.gone, m.v) ELSE g.gone END FROM g JOIN m ON m.i = g.i + 1),
+z AS (SELECT gone FROM g ORDER BY i DESC LIMIT 1)"""
+
+
+@query("f27_corpus_near_duplicates", "DOCS", sql=f"""--recursive{_SETS}
+SELECT s.doc_id, s.class_id, (SELECT count(*) FROM p WHERE p.u = s.class_id OR p.v = s.class_id) AS n_links,
+  s.doc_id = s.class_id AND NOT list_contains(z.gone, s.doc_id) AS kept FROM s, z""")
+def _(v):
+    from mailsieve.operators.similarity import corpus_near_duplicates
+
+    return corpus_near_duplicates(v.DOCS.select("doc_id", "text"))
+
+
 @query("s7_to_jsonl", "C", sql="""
-SELECT '{"id":"' || doc_id || '_' || chunk_index || '","n":"' || token_count || '"}' AS line, doc_id FROM C""")
+SELECT '{"id":"' || doc_id || '_' || chunk_index || '","n":' || to_json(text) || '}' AS line, doc_id FROM C""")
 def _(v):
     from mailsieve.sources.sinks import to_jsonl
 
-    c = v.C.withColumn("text", F.col("token_count").cast("string"))
-    return to_jsonl(c, id_strategy="docid_index", text_field="n", include_metadata=False, keep=["doc_id"])
+    return to_jsonl(v.C, id_strategy="docid_index", text_field="n", include_metadata=False, keep=["doc_id"])
 
 
 @query("u5_chunk_udtf", "DOCS", sql="""
@@ -236,7 +261,7 @@ def _(v):
 
 
 @query("q1_prepare_document_batch", "DOCS", sql="""
-d AS (SELECT doc_id, CASE WHEN lang = 'de' THEN '' ELSE text END AS text, file_path, checksum FROM DOCS),
+d AS (SELECT doc_id, text FROM DOCS UNION ALL SELECT doc_id + 1000000000, '' FROM DOCS WHERE doc_id % 10 = 3),
 g AS (SELECT doc_id, length(text) AS len FROM d WHERE text <> ''),
 c AS (SELECT doc_id, unnest(range(0, CASE WHEN len <= 1000 THEN 1 ELSE cast(ceil((len - 1000) / 900.0) AS BIGINT) + 1 END)) AS i FROM g),
 b AS (SELECT doc_id, i, cast(floor((row_number() OVER (ORDER BY doc_id, i) - 1) / 40) AS BIGINT) AS n FROM c)
@@ -245,20 +270,20 @@ SELECT (SELECT count(*) FROM d) AS total_documents, (SELECT count(*) FROM c) AS
 def _(v):
     from mailsieve.plans.documents import prepare_document_batch
 
-    d = v.DOCS.withColumn("text", F.when(F.col("lang") == "de", "").otherwise(F.col("text")))
-    return prepare_document_batch(d, batch_size=40).summary
+    return prepare_document_batch(with_blanks(v), batch_size=40).summary
 
 
-@query("q2_chunk_objects", "DOCS", sql="""
-SELECT batch_number, count(*) AS n, min(doc_id) AS first_doc, count(DISTINCT doc_id) AS docs FROM (
-SELECT doc_id, cast(floor((row_number() OVER (ORDER BY doc_id, i) - 1) / 25) AS BIGINT) AS batch_number FROM (
-  SELECT doc_id, unnest(range(0, CASE WHEN len <= 400 THEN 1 ELSE cast(ceil((len - 400) / 360.0) AS BIGINT) + 1 END)) AS i
-  FROM (SELECT doc_id, length(text) AS len FROM DOCS WHERE lang <> 'de') a) b) c GROUP BY 1""")
+@query("q2_chunk_objects", "DOCS", sql=f"""--recursive
+d AS (SELECT doc_id, text, length(text) AS len FROM DOCS WHERE length(text) > 0),
+r AS (SELECT doc_id, text, len, 0::BIGINT AS i, 0::BIGINT AS p, ({smart_end('0')})::BIGINT AS e FROM d
+  UNION ALL SELECT doc_id, text, len, i + 1, np, ({smart_end('np')})::BIGINT
+  FROM (SELECT doc_id, text, len, i, CASE WHEN e - 40 > p THEN e - 40 ELSE e END AS np FROM r WHERE e < len) n),
+b AS (SELECT doc_id, e - p AS chars, cast(floor((row_number() OVER (ORDER BY doc_id, i) - 1) / 25) AS BIGINT) AS batch_number FROM r)
+SELECT batch_number, count(*) AS n, min(doc_id) AS first_doc, count(DISTINCT doc_id) AS docs FROM b GROUP BY 1""")
 def _(v):
     from mailsieve.plans.documents import chunk_objects
 
-    d = v.DOCS.withColumn("text", F.when(F.col("lang") == "de", "").otherwise(F.col("text")))
-    r = chunk_objects(d, size=100, overlap=10, smart=False, run_id="r")
+    r = chunk_objects(with_blanks(v), size=100, overlap=10, run_id="r")
     return r.requests.groupBy("batch_number").agg(
         F.count("*").alias("n"), F.min("doc_id").alias("first_doc"), F.countDistinct("doc_id").alias("docs")
     )

@@ -26,8 +26,7 @@ def inventory(v):
 
 
 @query("s1_list_files", "FILES", sql="""
-SELECT page_id AS id, path, modified_s AS modified FROM FILES WHERE modified_s >= 36000 AND mime IN ('text/html', 'application/pdf') AND mime <> 'application/vnd.google-apps.folder'
-ORDER BY modified_s DESC, page_id LIMIT 1000""")
+SELECT page_id AS id, path, modified_s AS modified FROM FILES WHERE modified_s >= 36000 AND mime IN ('text/html', 'application/pdf') AND mime <> 'application/vnd.google-apps.folder'""")
 def _(v):
     return S.list_files(inventory(v), modified_after=36000, mime_types="text/html, application/pdf", exclude_folders=True).select("id", "path", "modified")
 
@@ -41,13 +40,13 @@ def _(v):
 
 
 @query("s4_read_content", "DOCS", sql="""
-x AS (SELECT doc_id, text, mime IN ('text/plain', 'text/csv') AS ok, strlen(text) > 1000 AS cut, unhex(substr(hex(encode(text)), 1, 2000)) AS b FROM DOCS)
-SELECT doc_id, CASE WHEN ok THEN 200 ELSE 415 END AS status, ok AND cut AS content_truncated, CASE WHEN ok THEN md5(b) END AS checksum_md5, CASE WHEN ok THEN sha256(b) END AS checksum_sha256,
-  CASE WHEN ok THEN octet_length(b) END AS fetched_bytes, CASE WHEN ok AND NOT cut THEN text END AS whole_text FROM x""")
+x AS (SELECT doc_id, text, mime IN ('text/plain', 'text/csv') AS ok, encode(text) AS b FROM DOCS)
+SELECT doc_id, CASE WHEN ok THEN 200 ELSE 415 END AS status, false AS content_truncated, CASE WHEN ok THEN md5(b) END AS checksum_md5, CASE WHEN ok THEN sha256(b) END AS checksum_sha256,
+  CASE WHEN ok THEN octet_length(b) END AS fetched_bytes, CASE WHEN ok THEN text END AS whole_text FROM x""")
 def _(v):
-    d = S.read_content(v.DOCS.withColumn("bytes", F.encode("text", "UTF-8")), max_bytes=1000)
+    d = S.read_content(v.DOCS.withColumn("bytes", F.encode("text", "UTF-8")))
     return d.select("doc_id", "status", "content_truncated", "checksum_md5", "checksum_sha256", F.col("fetched_bytes").cast("long").alias("fetched_bytes"),
-                    F.when(~F.col("content_truncated"), F.col("text_content")).alias("whole_text"))
+                    F.col("text_content").alias("whole_text"))
 
 
 @query("s5_write_objects", "DOCS", sql="SELECT file_path AS name, strlen(text) AS bytes_uploaded FROM DOCS")
@@ -207,23 +206,32 @@ SPEC = {
 }
 
 
+def wrapped_replies(v):
+    """Replies, some inside one or two wrapper objects, some with a lone value where a list is declared."""
+    text, n = F.col("json_text"), F.col("doc_id")
+    return v.RESP.withColumn("json_text", (
+        F.when(n % 12 == 0, F.concat(F.lit('{"data":{"result":'), text, F.lit('},"status":"ok"}')))
+        .when(n % 12 == 3, F.concat(F.lit('{"items":'), text, F.lit("}")))
+        .when(n % 6 == 1, F.replace(text, F.lit('["x"]'), F.lit('"x"'))).otherwise(text)))
+
+
 @query("f38_parse_model_json", "RESP", sql="""
 SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'cat_' || doc_id % 5 WHEN 1 THEN 'cat_1' WHEN 2 THEN 'cat_2' WHEN 3 THEN 'bogus' END AS category,
   CASE doc_id % 6 WHEN 0 THEN (doc_id % 9 + 1) / 10.0 WHEN 1 THEN 0.5 WHEN 2 THEN 0.25 WHEN 3 THEN 1.7 END::DOUBLE AS confidence,
-  CASE WHEN doc_id % 6 = 5 THEN 'invalid_json' END AS error FROM RESP""")
+  CASE doc_id % 6 WHEN 4 THEN 'no_known_field' WHEN 5 THEN 'invalid_json' END AS error FROM RESP""")
 def _(v):
-    d = v.RESP.withColumn("r", J.parse_model_json(F.col("json_text"), MODEL_REPLY))
+    d = wrapped_replies(v).withColumn("r", J.parse_model_json(F.col("json_text"), MODEL_REPLY))
     return d.select("doc_id", "r.value.category", "r.value.confidence", "r.error")
 
 
 @query("p22_repair", "RESP", sql="""
 SELECT doc_id, CASE doc_id % 6 WHEN 0 THEN 'cat_' || doc_id % 5 WHEN 1 THEN 'cat_1' WHEN 2 THEN 'cat_2' ELSE 'cat_0' END AS category,
   CASE doc_id % 6 WHEN 0 THEN (doc_id % 9 + 1) / 10.0 WHEN 1 THEN 0.5 WHEN 2 THEN 0.25 WHEN 3 THEN 1.0 ELSE 0.0 END::DOUBLE AS confidence,
-  CASE doc_id % 6 WHEN 0 THEN 'a,b' WHEN 1 THEN 'x' WHEN 3 THEN 'a,b,c' ELSE '' END AS reasons, doc_id % 6 = 5 AS is_fallback,
+  CASE doc_id % 6 WHEN 0 THEN 'a,b' WHEN 1 THEN 'x' WHEN 3 THEN 'a,b,c' ELSE '' END AS reasons, doc_id % 6 >= 4 AS is_fallback,
   CASE doc_id % 6 WHEN 3 THEN 'Invalid enum value for category, using default' WHEN 4 THEN 'Missing required field: category; Missing required field: confidence; Missing required field: reasons; Missing required field: note'
     WHEN 5 THEN 'Missing required field: category; Missing required field: confidence; Missing required field: reasons; Missing required field: note' ELSE '' END AS errors FROM RESP""")
 def _(v):
-    d = v.RESP.withColumn("value", J.parse_model_json(F.col("json_text"), MODEL_REPLY)["value"])
+    d = wrapped_replies(v).withColumn("value", J.parse_model_json(F.col("json_text"), MODEL_REPLY)["value"])
     d = d.withColumn("r", J.repair(F.col("value"), SPEC)).withColumn("e", J.repair_errors(F.col("value"), SPEC))
     return d.select("doc_id", "r.category", "r.confidence", F.array_join("r.reasons", ",").alias("reasons"), "r.is_fallback", F.array_join("e", "; ").alias("errors"))
 

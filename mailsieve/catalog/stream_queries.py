@@ -94,7 +94,7 @@ def _(v):
 SELECT c.doc_id, CASE WHEN p.doc_id IS NULL THEN 'added' ELSE 'kept' END AS status FROM CUR c LEFT JOIN PREV p ON c.doc_id = p.doc_id WHERE p.doc_id IS NULL OR p.text <> c.text""")
 def _(v):
     base = f"{scratch_dir(v.spark)}/reindex-{uuid.uuid4().hex}"
-    v.PREV.write.parquet(base + "/store")
+    flows.create_store(v.PREV, base + "/store")
     return flows.stream_reindex(staged(v, v.CUR), base + "/store", base + "/out").select("doc_id", "status")
 
 

@@ -29,11 +29,49 @@ def model_json_text(c: Column) -> Column:
 
 
 def parse_model_json(c: Column, schema: T.StructType) -> Column:
-    """Struct (value, error)."""
-    text = model_json_text(c)
-    ok = F.try_parse_json(text).isNotNull()
-    value = F.when(ok, F.from_json(text, schema))
-    return F.struct(value.alias("value"), F.when(~F.coalesce(ok, F.lit(False)), "invalid_json").alias("error"))
+    """Struct (value, error): the declared fields of a reply.
+
+    The reply is parsed once; an object inside wrappers is taken out.  ``invalid_json`` is no JSON object at all,
+    ``no_known_field`` one without any declared field; both have no value.
+    """
+    parsed = F.try_parse_json(model_json_text(c))
+    inner = _unwrapped(parsed, schema.names)
+    typed = F.transform(F.array(inner), lambda v: F.when(_known(v, schema.names), F.struct(*[
+        _typed(v, f).alias(f.name) for f in schema.fields])))
+    value = F.get(typed, F.lit(0))
+    error = F.when(parsed.isNull(), "invalid_json").when(value.isNull(), "no_known_field")
+    return F.struct(value.alias("value"), error.alias("error"))
+
+
+# fixed values: objects around a reply
+WRAPPERS = ("data", "result", "results", "items", "categories")
+
+
+def _known(v: Column, names: Sequence[str]) -> Column:
+    """Whether an object has any of the fields."""
+    return F.exists(F.array(*[F.try_variant_get(v, f"$.{n}", "variant") for n in names]), lambda x: x.isNotNull())
+
+
+def _unwrapped(v: Column, names: Sequence[str], depth: int = 3) -> Column:
+    """The object inside up to ``depth`` wrappers that has any of the fields; ``v`` is named once a level."""
+
+    def inner(x: Column) -> Column:
+        parts = [F.when(F.try_variant_get(x, f"$.{w}", ANY_MAP).isNotNull(), F.try_variant_get(x, f"$.{w}", "variant"))
+                 for w in WRAPPERS]
+        return F.when(_known(x, names), x).otherwise(F.coalesce(*parts, x))
+
+    for _ in range(depth):
+        v = F.get(F.transform(F.array(v), inner), F.lit(0))
+    return v
+
+
+def _typed(v: Column, field: T.StructField) -> Column:
+    """A field in its declared type; one value where a list is declared becomes a list of it."""
+    path, kind = f"$.{field.name}", field.dataType.simpleString()
+    if not isinstance(field.dataType, T.ArrayType):
+        return F.try_variant_get(v, path, kind)
+    one = F.try_variant_get(v, path, field.dataType.elementType.simpleString())
+    return F.coalesce(F.try_variant_get(v, path, kind), F.when(one.isNotNull(), F.array(one)))
 
 
 def redact_json(c: Column) -> Column:

@@ -190,7 +190,7 @@ def run_funnel(
     return _counts(_routed(emails, predictions, pack, actionable, key), key)
 
 
-def run_pipeline(
+def run_all(
     emails: DataFrame, predictions: DataFrame, pack: RulePack, actionable: Sequence[str], vectors: DataFrame,
     categories: DataFrame, corpus: DataFrame, texts: DataFrame, outcomes: DataFrame, key: str = "email_id",
     preset: str | float = "balanced", min_similarity: float = 0.5, top_k: int = 20, request: str = "conservative",

@@ -16,9 +16,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from mailsieve.operators import triage
-from mailsieve.operators.changes import detect_changes
 from mailsieve.operators.rules import RulePack
-from mailsieve.session import scratch_dir
+from mailsieve.session import cut_lineage, release, scratch_dir
 
 
 def stream_source(spark: SparkSession, path: str, schema: T.StructType, glob: str = "*.parquet", files_per_trigger: int = 64) -> DataFrame:
@@ -159,20 +158,83 @@ def stream_spikes(
     return thin.groupBy(key).applyInPandasWithState(run, out, state, "append", GroupStateTimeout.EventTimeTimeout)
 
 
-def stream_reindex(snapshots: DataFrame, store: str, out: str, key: str = "doc_id") -> DataFrame:
-    """Changed documents only: each batch is compared with the stored hashes and written under its batch id,
-    so a repeated batch overwrites itself."""
-    spark = snapshots.sparkSession
+#: Buckets of keys in a hash store; a batch reads and rewrites only those it touches.
+STORE_BUCKETS = 64
+#: Version of the store before any batch.
+FIRST_VERSION = -1
+
+
+def _hashed(snapshot: DataFrame, key: str) -> DataFrame:
+    """(key, hash, bucket), one row a key: of several texts of a key the one of largest hash, so that replays agree."""
+    digest = F.sha2(F.coalesce(F.col("text"), F.lit("")), 256)
+    return (
+        snapshot.where(F.col(key).isNotNull()).select(key, digest.alias("hash")).groupBy(key).agg(F.max("hash").alias("hash"))
+        .withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(STORE_BUCKETS)).cast("int")))
+
+
+def _store_versions(spark: SparkSession, store: str, batch_id: int) -> dict[int, int]:
+    """Version that each bucket had before batch ``batch_id``: at most STORE_BUCKETS rows."""
+    manifest = spark.read.schema("bucket int, version long, batch long").parquet(f"{store}/manifest")
+    earlier = manifest.where(F.col("batch") < batch_id)
+    last = earlier.agg(F.max("batch")).first()[0]
+    return {r.bucket: r.version for r in earlier.where(F.col("batch") == last).collect()} if last is not None else {}
+
 
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        known = spark.read.parquet(store)
-        changed = detect_changes(batch, known.join(batch.select(key), key, "left_semi"), key)
-        changed = changed.where(F.col("has_changed") & (F.col("status") != "removed")).select(key, "status")
-        changed.write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+def _write_version(hashes: DataFrame, versions: dict[int, int], touched: list[int], store: str, batch_id: int) -> None:
+    """Hashes of the touched buckets as version ``batch_id``, then the manifest that names it."""
+    spark = hashes.sparkSession
+    hashes.repartition("bucket").write.mode("overwrite").partitionBy("bucket").parquet(f"{store}/version={batch_id}")
+    rows = sorted({**versions, **dict.fromkeys(touched, batch_id)}.items())
+    listed = spark.createDataFrame(rows, "bucket int, version long")
+    listed.coalesce(1).write.mode("overwrite").parquet(f"{store}/manifest/batch={batch_id}")
 
+
+def create_store(snapshot: DataFrame, store: str, key: str = "doc_id") -> None:
+    """A hash store of ``snapshot`` (key, text): no text is kept, only a hash for each key."""
+    hashes = _hashed(snapshot, key)
+    touched = [r.bucket for r in hashes.select("bucket").distinct().collect()]
+    _write_version(hashes, {}, touched, store, FIRST_VERSION)
+
+
+def reindex_batch(batch: DataFrame, batch_id: int, store: str, out: str, key: str = "doc_id") -> None:
+    """Compare one batch with the store as it was before, write what changed and the store's next version.
+
+    Everything is written under ``batch_id``, and only versions of earlier batches are read, so a repeated batch
+    writes the same again.  Of the store only the buckets that the batch touches are read and rewritten;
+    earlier versions stay until they are cleared away.
+    """
+    spark = batch.sparkSession
+    now = cut_lineage(_hashed(batch, key))
+    touched = sorted(r.bucket for r in now.select("bucket").distinct().collect())
+    versions = _store_versions(spark, store, batch_id)
+    paths = [f"{store}/version={versions[b]}/bucket={b}" for b in touched if b in versions]
+    schema = now.select(key, "hash").schema
+    known = spark.read.schema(schema).parquet(*paths) if paths else spark.createDataFrame([], schema)
+    known = known.withColumnRenamed("hash", "old")
+    both = cut_lineage(now.select(key, "hash").join(known, key, "full"))
+    changed = both.where(F.col("hash").isNotNull() & ~F.col("hash").eqNullSafe(F.col("old")))
+    changed.select(key, F.when(F.col("old").isNull(), "added").otherwise("kept").alias("status")).write.mode(
+        "overwrite").parquet(f"{out}/batch={batch_id}")
+    merged = both.select(key, F.coalesce("hash", "old").alias("hash")).withColumn(
+        "bucket", F.pmod(F.xxhash64(key), F.lit(STORE_BUCKETS)).cast("int"))
+    _write_version(merged, versions, touched, store, batch_id)
+    release(now)
+    release(both)
+
+
+def stream_reindex(snapshots: DataFrame, store: str, out: str, key: str = "doc_id", checkpoint: str | None = None) -> DataFrame:
+    """Changed documents only, of snapshots (key, text): (key, status, batch).
+
+    ``store`` is made by ``create_store``; every batch brings it up to date, so a document that changes twice is
+    reported twice and one that stays as it was never.  With the same ``checkpoint`` a later run goes on where
+    this one ended.
+    """
+    spark = snapshots.sparkSession
+    place = checkpoint or f"{scratch_dir(spark).rstrip('/')}/cp-{uuid.uuid4().hex}"
     q = (
-        snapshots.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", f"{scratch_dir(spark).rstrip('/')}/cp-{uuid.uuid4().hex}").trigger(availableNow=True).start()
+        snapshots.writeStream.foreachBatch(lambda batch, batch_id: reindex_batch(batch, batch_id, store, out, key))
+        .option("checkpointLocation", place).trigger(availableNow=True).start()
     )
     q.awaitTermination()
-    return spark.read.parquet(out)
+    key_type = snapshots.schema[key].dataType.simpleString()
+    return spark.read.schema(f"{key} {key_type}, status string, batch long").parquet(out)
