@@ -9,9 +9,10 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mailsieve.llm.streams import bounded_batches
 from mailsieve.scale import top_per_key
 from mailsieve.session import cut_lineage
 
@@ -20,10 +21,12 @@ TREES = 12
 SAMPLE_ROWS = 20_000
 #: Rows meant for a leaf, and the fewest sampled vectors a leaf is cut from.
 LEAF_ROWS, LEAF_SAMPLE = 400, 8
-#: A query looks at leaves until it has met about this share of all rows, and so many rows at least.
-SHARE, LEAST_ROWS = 0.7, 2_000
-#: Rows of a leaf in one task; queries stream past them.
-BLOCK_ROWS = 4096
+#: A query looks at leaves until it has met this share of the sampled vectors, by one rule for all sizes.
+SHARE = 0.66
+#: Distinct vectors in one task; queries stream past them, so many at a time.
+BLOCK_ROWS, QUERY_ROWS = 4096, 64
+#: Scores by matrix product this far below the best ones are worked out again in the order of the dimensions.
+SLACK = 1e-9
 
 
 @dataclass(frozen=True)
@@ -70,32 +73,33 @@ class Forest:
             out[:, t] = node - (2**self.depth - 1)
         return out
 
-    def visit(self, margins: np.ndarray, sizes: np.ndarray, target: float) -> list[tuple[int, int]]:
-        """Leaves (tree, leaf) in the order of one queue shared by the trees, until they hold ``target`` rows.
+    def members(self, vectors: np.ndarray) -> list[list[np.ndarray]]:
+        """For each tree and leaf, which of ``vectors`` lie in it."""
+        leaves = self.leaves(vectors)
+        return [[np.flatnonzero(leaves[:, t] == x) for x in range(2**self.depth)] for t in range(len(self.planes))]
 
-        A branch waits at the worst distance by which the query lies on the wrong side of a plane above it.
-        Rows met are estimated as if trees were independent.
+    def visit(self, margins: np.ndarray, members: list[list[np.ndarray]], target: float) -> list[tuple[int, int]]:
+        """Leaves (tree, leaf) in the order of one queue shared by the trees, until ``target`` members are met.
+
+        A branch waits at the worst distance by which the query lies on the wrong side of a plane above it.  A
+        member met in several trees counts once.
         """
-        rows, first, out = float(sizes[0].sum()), 2**self.depth - 1, []
-        missed = [1.0] * len(sizes)
-        queue = [(-math.inf, t, 0) for t in range(len(sizes))]
-        while queue:
+        first, out = 2**self.depth - 1, []
+        met = np.zeros(sum(map(len, members[0])), bool)
+        queue = [(-math.inf, t, 0) for t in range(len(members))]
+        while queue and met.sum() < target:
             wait, t, node = heapq.heappop(queue)
             while node < first:
                 d = float(margins[t, node])
                 near, far = (2 * node + 2, 2 * node + 1) if d > 0 else (2 * node + 1, 2 * node + 2)
                 heapq.heappush(queue, (max(wait, abs(d)), t, far))
                 wait, node = max(wait, -abs(d)), near
-                if queue and queue[0][0] < wait:
+                if queue[0][0] < wait:
                     heapq.heappush(queue, (wait, t, node))
                     break
             else:
-                own = float(sizes[t, node - first])
-                if own:
-                    out.append((t, node - first))
-                    missed[t] -= own / rows
-                if rows * (1 - math.prod(max(m, 0.0) if m > 1e-9 else 0.0 for m in missed)) >= target - 1e-6:
-                    break
+                out.append((t, node - first))
+                met[members[t][node - first]] = True
         return out
 
 
@@ -119,46 +123,75 @@ def _squares(a: np.ndarray) -> np.ndarray:
     return out
 
 
-def _best(ids: np.ndarray, vectors: np.ndarray, query_ids: np.ndarray, queries: np.ndarray, k: int) -> pa.RecordBatch:
-    """The ``k`` nearest of ``vectors`` for each query, its own id left out, ties to the smaller id."""
-    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-    length = np.sqrt(_squares(vectors))
-    for a in range(0, len(queries), 128):
-        part = queries[a : a + 128]
-        score = _dots(part, vectors) / (np.sqrt(_squares(part))[:, None] * length[None, :])
-        for q, row in zip(query_ids[a : a + 128], score, strict=True):
-            row[ids == q] = -np.inf
-            if len(row) > k:
-                near = np.flatnonzero(row >= np.partition(row, len(row) - k)[len(row) - k])
-            else:
-                near = np.arange(len(row))
-            near = near[np.isfinite(row[near])]
-            near = near[np.lexsort((ids[near], -row[near]))[:k]]
-            found.append((np.full(len(near), q), ids[near], row[near]))
-    cols = [np.concatenate(c) for c in zip(*found, strict=True)] if found else [np.empty(0)] * 3
-    return pa.RecordBatch.from_arrays(
-        [pa.array(cols[0].astype(np.int64)), pa.array(cols[1].astype(np.int64)), pa.array(cols[2])],
-        ["query_id", "vec_id", "score"])
+def scaled(a: np.ndarray) -> np.ndarray:
+    """Vectors times powers of two that bring their largest component near one: squares neither overflow nor vanish."""
+    return np.ldexp(a, -np.frexp(np.abs(a).max(axis=1, initial=0.0))[1][:, None])
+
 
+class Block:
+    """Distinct vectors of a task, each with the least ids that have it and its leaf in every tree."""
+
+    def __init__(self, ids: list[list[int]], vectors: np.ndarray, leaves: np.ndarray) -> None:
+        self.ids, self.vectors, self.leaves = ids, scaled(vectors), leaves
+        self.lengths = np.sqrt(_squares(self.vectors))
+
+    def candidates(self, visited: np.ndarray) -> np.ndarray:
+        """Which vectors lie in a leaf that a query visits, whatever the number of trees: (queries, vectors)."""
+        out = visited[:, self.leaves[:, 0]]
+        for t in range(1, self.leaves.shape[1]):
+            out |= visited[:, self.leaves[:, t]]
+        return out
+
+    def nearest(self, query_ids: np.ndarray, queries: np.ndarray, visited: np.ndarray, k: int) -> list[tuple]:
+        """(query, id, score) of the ``k`` nearest candidates of each query, its own id left out, ties to the
+        smaller id.  Every candidate is scored once."""
+        queries, out = scaled(queries), []
+        sizes = np.sqrt(_squares(queries))
+        met = self.candidates(visited)
+        some = np.flatnonzero(met.any(axis=0))
+        rough = queries @ self.vectors[some].T / (sizes[:, None] * self.lengths[some][None, :])
+        rough[~met[:, some]] = -np.inf
+        for i, q in enumerate(query_ids.tolist()):
+            row = rough[i]
+            least = np.partition(row, len(row) - k - 1)[len(row) - k - 1] if len(row) > k + 1 else -np.inf
+            near = some[np.flatnonzero((row >= least - SLACK) & (row > -np.inf))]
+            score = _dots(queries[i : i + 1], self.vectors[near])[0] / (sizes[i] * self.lengths[near])
+            found = [(-s, x) for s, at in zip(score.tolist(), near.tolist(), strict=True) for x in self.ids[at] if x != q]
+            out += [(q, x, -s) for s, x in sorted(found)[:k]]
+        return out
+
+
+def _rerank(k: int, cells: int):
+    def scores(block: Block, batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        own, data = np.asarray(batch.column("id")), _matrix(batch.column("embedding"))
+        bits = np.frombuffer(b"".join(batch.column("visited").to_pylist()), np.uint8).reshape(len(own), -1)
+        for a in range(0, len(own), QUERY_ROWS):
+            visited = np.unpackbits(bits[a : a + QUERY_ROWS], axis=1, count=cells).astype(bool)
+            found = block.nearest(own[a : a + QUERY_ROWS], data[a : a + QUERY_ROWS], visited, k)
+            if found:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, t) for c, t in zip(zip(*found, strict=True), (pa.int64(), pa.int64(), pa.float64()), strict=True)],
+                    ["query_id", "vec_id", "score"])
 
-def _rerank(k: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task, ids, vectors = None, np.empty(0, np.int64), np.empty((0, 0))
+        task, held, block = None, [], None
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            tasks = np.asarray(batch.column("task"))
-            kinds, own = np.asarray(batch.column("is_query")), np.asarray(batch.column("id"))
-            data = _matrix(batch.column("embedding"))
+            tasks, kinds = np.asarray(batch.column("task")), np.asarray(batch.column("is_query"))
             cuts = np.flatnonzero((tasks[1:] != tasks[:-1]) | (kinds[1:] != kinds[:-1])) + 1
             for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(tasks)], strict=True):
-                if kinds[a]:
-                    if tasks[a] == task:
-                        yield _best(ids, vectors, own[a:b], data[a:b], k)
-                elif tasks[a] == task:
-                    ids, vectors = np.concatenate([ids, own[a:b]]), np.concatenate([vectors, data[a:b]])
-                else:
-                    task, ids, vectors = tasks[a], own[a:b], data[a:b]
+                if a == b:
+                    continue
+                if tasks[a] != task:
+                    task, held, block = tasks[a], [], None
+                if not kinds[a]:
+                    held.append(batch.slice(a, b - a))
+                elif held:
+                    if block is None:
+                        block = Block(
+                            [x for h in held for x in h.column("ids").to_pylist()],
+                            np.concatenate([_matrix(h.column("embedding")) for h in held]),
+                            np.concatenate([_matrix(h.column("leaves")) for h in held]).astype(np.int64))
+                    yield from scores(block, batch.slice(a, b - a))
 
     return run
 
@@ -175,75 +208,76 @@ def nearest_neighbours(
     """``table`` (vec_id, embedding, ...) -> (query_id, rank, vec_id, score): the ``k`` nearest by cosine that each
     query row (``is_query``, over vec_id) finds among all other rows.
 
-    Planes are fitted on about SAMPLE_ROWS vectors; every vector goes into one leaf of each tree, and a leaf is
-    dealt out in blocks of about BLOCK_ROWS.  A query takes leaves from one queue over all trees until it has
-    met about ``share`` of the rows (LEAST_ROWS at least, so small tables are searched whole); each block
-    sends back its ``k`` best exact scores for a query.  What reaches the driver, the sample and the sizes of
-    the leaves, is bounded by SAMPLE_ROWS.
-
-    Scores are in double precision on the original values; ties go to the smaller id, also among equal
-    vectors.  Rows with a null id take no part, nor do vectors that are null, zero, of another length than
-    most, or hold a null or non-finite component.  Rows that repeat an id count as one, with its best score.
-    Fewer than ``k`` others give as many rows.  Extra columns are ignored.
+    Equal vectors are one, with the ``k`` + 1 least of their ids.  Planes are fitted on about SAMPLE_ROWS distinct
+    vectors; every distinct vector has a leaf in each tree.  A query takes leaves from one queue over all trees until
+    it has met ``share`` of the sampled vectors, each counted once; its candidates are the vectors in any of those
+    leaves.  Vectors are dealt into blocks of about BLOCK_ROWS, the queries stream past each block with their
+    visited leaves, and a block scores each candidate of a query once and sends back its ``k`` best.  What reaches the
+    driver, the sample, is bounded by SAMPLE_ROWS.
+
+    Scores are in double precision on the original values (times a power of two that cancels out); ties go to the
+    smaller id, also among equal vectors.  Rows with a null id take no part, nor do vectors that are null, zero, of
+    another length than most, or hold a null or non-finite component.  Rows that repeat an id count as one, with its
+    best score.  Fewer than ``k`` others met give as many rows.  Extra columns are ignored.
     """
     spark = table.sparkSession
-    rows = table.select(
+    rows = bounded_batches(table).select(
         F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast("array<double>").alias("embedding"),
         is_query.alias("asks"),
     ).where(F.col("id").isNotNull() & _usable(F.col("embedding")))
     lengths = rows.groupBy(F.size("embedding").alias("dims")).count().orderBy(F.desc("count"), "dims").first()
     if lengths is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    dims, n = lengths["dims"], lengths["count"]
+    dims = lengths["dims"]
     rows = rows.where(F.size("embedding") == dims)
-    kept = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, SAMPLE_ROWS / n))
-    sample = np.array([r.embedding for r in rows.where(kept).orderBy("id").collect()]).reshape(-1, dims)
-    sample /= np.linalg.norm(sample, axis=1, keepdims=True) if len(sample) else 1
-    forest = spark.sparkContext.broadcast(Forest.fit(sample, n, trees))
-    per_tree = 2**forest.value.depth
+    by_vector = Window.partitionBy("embedding").orderBy("id")
+    few = rows.select("id", "embedding", F.dense_rank().over(by_vector).alias("place")).where(F.col("place") <= k + 1)
+    distinct = cut_lineage(few.groupBy("embedding").agg(F.array_sort(F.collect_set("id")).alias("ids")))
+    n = distinct.count()
+    kept = F.pmod(F.xxhash64("embedding"), F.lit(1_000_000)) < int(1_000_000 * min(1.0, SAMPLE_ROWS / n))
+    chosen = distinct.where(kept).orderBy(F.get("ids", F.lit(0))).select("embedding").toArrow()
+    sample = scaled(np.array(chosen.column("embedding").to_pylist(), float).reshape(-1, dims))
+    sample /= np.sqrt(_squares(sample))[:, None]
+    fitted = Forest.fit(sample, n, trees)
+    forest = spark.sparkContext.broadcast((fitted, sample))
+    per_tree = 2**fitted.depth
+    cells = trees * per_tree
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = forest.value
+        own, _ = forest.value
         for batch in batches:
-            data = _matrix(batch.column("embedding"))
+            data = scaled(_matrix(batch.column("embedding")))
             leaves = own.leaves(data / np.sqrt(_squares(data))[:, None]) + per_tree * np.arange(trees)
             lists = pa.ListArray.from_arrays(
                 pa.array(np.arange(0, leaves.size + 1, trees, dtype=np.int32)), pa.array(leaves.ravel()))
             yield pa.RecordBatch.from_arrays([*batch.columns, lists], [*batch.schema.names, "leaves"])
 
-    indexed = cut_lineage(rows.mapInArrow(place, "id long, embedding array<double>, asks boolean, leaves array<long>"))
-    entries = indexed.select("id", "embedding", F.explode("leaves").alias("leaf"))
-    sizes = np.zeros(trees * per_tree)
-    for r in entries.groupBy("leaf").count().collect():
-        sizes[r.leaf] = r["count"]
-    shared = spark.sparkContext.broadcast(sizes.reshape(trees, per_tree))
-    target = min(n, max(share * n, LEAST_ROWS))
-
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, held = forest.value, shared.value
+        own, members = forest.value[0], None
         for batch in batches:
+            members = own.members(forest.value[1]) if members is None else members
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                data = _matrix(part.column("embedding"))
+                data = scaled(_matrix(part.column("embedding")))
                 margins = own.margins(data / np.sqrt(_squares(data))[:, None])
-                lists = [[t * per_tree + leaf for t, leaf in own.visit(m, held, target)] for m in margins]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lists, pa.list_(pa.int64()))],
-                                                 [*part.schema.names, "leaves"])
-
-    asked = indexed.where("asks").select("id", "embedding").mapInArrow(
-        ask, "id long, embedding array<double>, leaves array<long>")
-    blocks = F.array(*[F.lit(int(max(1, -(-s // BLOCK_ROWS)))) for s in sizes]) if sizes.max() > BLOCK_ROWS else None
-    of = F.lit(1) if blocks is None else F.get(blocks, F.col("leaf").cast("int"))
-    dealt = entries.select(
-        (F.col("leaf") * 1_000_000 + F.pmod(F.xxhash64("id"), of)).alias("task"), F.lit(0).alias("is_query"), "id",
-        "embedding")
-    visits = asked.select("id", "embedding", F.explode("leaves").alias("leaf"))
-    asks = visits.select(
-        "id", "embedding", "leaf", F.explode(F.sequence(F.lit(0), of - 1)).alias("block"),
-    ).select((F.col("leaf") * 1_000_000 + F.col("block")).alias("task"), F.lit(1).alias("is_query"), "id", "embedding")
+                visited = np.zeros((part.num_rows, cells), bool)
+                for i, m in enumerate(margins):
+                    visited[i, [t * per_tree + x for t, x in own.visit(m, members, share * len(forest.value[1]))]] = True
+                packed = [row.tobytes() for row in np.packbits(visited, axis=1)]
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(packed, pa.binary())], [*part.schema.names, "visited"])
+
+    blocks = -(-n // BLOCK_ROWS)
+    indexed = distinct.mapInArrow(place, "embedding array<double>, ids array<long>, leaves array<long>")
+    dealt = indexed.select(
+        F.pmod(F.xxhash64("embedding"), F.lit(blocks)).alias("task"), F.lit(0).alias("is_query"), F.lit(None).cast("long").alias("id"),
+        "embedding", "ids", "leaves", F.lit(None).cast("binary").alias("visited"))
+    asked = rows.where("asks").select("id", "embedding").mapInArrow(ask, "id long, embedding array<double>, visited binary")
+    asks = asked.select(
+        F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("task"), F.lit(1).alias("is_query"), "id", "embedding",
+        F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<long>").alias("leaves"), "visited")
     scored = (
         dealt.union(asks).repartition("task").sortWithinPartitions("task", "is_query")
-        .mapInArrow(_rerank(k), "query_id long, vec_id long, score double"))
+        .mapInArrow(_rerank(k, cells), "query_id long, vec_id long, score double"))
     once = scored.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = top_per_key(once, ["query_id"], [F.desc("score"), F.col("vec_id")], k)
     return best.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
