@@ -90,20 +90,22 @@ def _matches(docs: DataFrame, items: DataFrame, window: int, gram: int) -> tuple
     """Per row of ``docs`` its words' count and a digest of its text; per digest with hits, the hits."""
     anchors, short = benchmark_anchors(items, window, gram)
     words, reach = F.col("words"), window - gram
-    text = docs.select("doc_id", "text").withColumn("key", F.unhex(F.md5("text")))
+    # of equal texts one is worked on; keyed by its id too, copies of a text are never dealt to one task
+    text = docs.select("doc_id", "text", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("one")).withColumn(
+        "key", F.unhex(F.md5("text")))
     prints = F.array_distinct(F.concat(
         _winnowed(F.col("hashes"), window - gram + 1),
         *[F.array_distinct(_gram_hashes(words, n, -n)) for n in short],
     ))
     rows = cut_lineage(
-        text.select("doc_id", "key", words_of(F.col("text")).alias("words"))
+        text.select("doc_id", "one", "key", words_of(F.col("text")).alias("words"))
         .withColumn("hashes", _gram_hashes(words, gram, gram))
-        .select("doc_id", "key", F.size("words").cast("long").alias("n_words"), prints.alias("prints")))
+        .select("doc_id", "one", "key", F.size("words").cast("long").alias("n_words"), prints.alias("prints")))
     wanted = cut_lineage(anchors.select("hash").distinct())
     met = (
-        rows.select("key", F.explode("prints").alias("hash")).join(wanted, "hash")
-        .groupBy("key").agg(F.collect_set("hash").alias("met")))
-    opened = text.join(cut_lineage(met), "key").select("key", "met", words_of(F.col("text")).alias("words"))
+        rows.select("one", "key", F.explode("prints").alias("hash")).join(wanted, "hash")
+        .groupBy("key").agg(F.collect_set("hash").alias("met"), F.min("one").alias("one")))
+    opened = text.join(cut_lineage(met), ["key", "one"]).select("key", "met", words_of(F.col("text")).alias("words"))
     found = None
     for size, salt in [(gram, gram), *((n, -n) for n in short)]:  # a short item can be as long as a gram
         hashed = opened.withColumn("hashes", _gram_hashes(words, size, salt))
