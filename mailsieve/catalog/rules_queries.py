@@ -268,6 +268,21 @@ def _(v):
     )
 
 
+@query("p10_rule_table", "E", sql=f"""
+SELECT email_id, array_to_string({ALL_HITS}, ',') AS all_hits, coalesce({ALL_HITS}[1], '') AS first_hit, {FIRST_POS} AS evaluated FROM E""")
+def _(v):
+    from mailsieve.operators.rulepacks import apply_rule_table
+
+    schema = "rule_id string, rule_type string, rule_pattern string, action string, priority int, active boolean"
+    table = R.load_rules(v.spark.createDataFrame([tuple(r.values()) for r in LIVE], schema))
+    d = apply_rule_table(v.E, table, stop_on_first=False, out="a")
+    d = apply_rule_table(d, table, stop_on_first=True, out="b")
+    return d.select(
+        "email_id", F.array_join("a.matches.rule_id", ",").alias("all_hits"),
+        F.array_join("b.matches.rule_id", ",").alias("first_hit"), F.col("b.evaluated_count").alias("evaluated"),
+    )
+
+
 ACTION_OF = "CASE " + " ".join(f"WHEN {rule_hit(r)} THEN {q(r['action'])}" for r in USABLE) + " END"
 
 
