@@ -147,7 +147,7 @@ def apply_rule_table(df: DataFrame, rules: DataFrame, stop_on_first: bool = True
         return F.struct(
             rule["priority"].alias("priority"), rule["rule_id"].alias("rule_id"), rule["rule_type"].alias("rule_type"),
             rule["rule_pattern"].alias("rule_pattern"), rule["action"].alias("action"),
-            F.regexp_substr(text(rule), rule["rx"]).alias("sample"))
+            F.coalesce(F.regexp_substr(text(rule), rule["rx"]), F.lit("")).alias("sample"))
 
     d = df.withColumn("__tried", _candidates(live))
     d = d.withColumn("__met", F.filter("__tried", lambda rule: F.rlike(text(rule), rule["rx"])))
