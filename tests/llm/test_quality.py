@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+import math
+import re
 import zlib
 
 import pytest
+import regex
 from conftest import SF
 from pyspark.sql import functions as F
 
@@ -65,3 +68,34 @@ def test_too_few_labels(spark):
     nulls = df.select("doc_id", F.lit(None).cast("int").alias("quality"))
     assert quality.fit(df, none) == quality.fit(df, nulls) == quality.fit(df.limit(0), ones) == QualityModel((), 0.0)
     assert quality.fit(df, ones).intercept > 1 and quality.fit(df, ones).rules == ()
+
+
+def plain_statistics(text):
+    words = [w for w in re.split(r"[ \t\n\x0b\f\r]+", text) if w]
+    lines, n = text.split("\n"), max(len(text), 1)
+
+    def share(pattern):
+        return len(regex.findall(pattern, text)) / n
+
+    return {
+        "chars": math.log1p(len(text)), "word_chars": len(text) / max(len(words), 1),
+        "distinct_words": len(set(words)) / max(len(words), 1), "distinct_lines": len(set(lines)) / max(len(lines), 1),
+        "line_words": len(words) / max(len(lines), 1), "upper_share": share(r"\p{Lu}"), "digit_share": share(r"\p{Nd}"),
+        "symbol_share": share(r"[^\p{L}\p{N} \t\n\x0b\f\r.,;:'\-]"), "stop_share": share(r"[.,;:]"),
+    }
+
+
+def test_every_score_matches_plain_python(spark):
+    docs = spark.read.parquet(SF.replace("0.001", "0.01") + "/documents.parquet")
+    model = quality.fit(docs, spark.read.parquet(SF.replace("0.001", "0.01") + "/labels.parquet"))
+    assert model.rules
+    texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
+    got = quality.quality_scores(docs, model).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        own = plain_statistics(texts[r.doc_id] or "")
+        total = model.intercept + sum(
+            weight for rule, weight in model.rules if all(own[n] <= b if s == "<=" else own[n] > b for n, s, b in rule))
+        score = 1 / (1 + math.exp(-total))
+        assert abs(r.score - score) < 1e-9 and r.predicted == int(r.score >= 0.3)
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
