@@ -14,6 +14,8 @@ _BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 WINDOW = 10
 GRAM = 6
+#: Cells that digests of texts with a fingerprint in common are marked in; the table of them has no more rows.
+CELLS = 1 << 18
 
 
 def lower_ascii(text: Column) -> Column:
@@ -105,7 +107,11 @@ def _matches(docs: DataFrame, items: DataFrame, window: int, gram: int) -> tuple
     met = (
         rows.select("one", "key", F.explode("prints").alias("hash")).join(wanted, "hash")
         .groupBy("key").agg(F.collect_set("hash").alias("met"), F.min("one").alias("one")))
-    opened = text.join(cut_lineage(met), ["key", "one"]).select("key", "met", words_of(F.col("text")).alias("words"))
+    met = cut_lineage(met)
+    # most texts are told from those that met something by the cell of their digest and never shuffled
+    cell = F.pmod(F.xxhash64("key"), F.lit(CELLS))
+    cells = F.broadcast(met.select(cell.alias("cell")).distinct())
+    opened = text.withColumn("cell", cell).join(cells, "cell", "left_semi").join(met, ["key", "one"]).select("key", "met", words_of(F.col("text")).alias("words"))
     found = None
     for size, salt in [(gram, gram), *((n, -n) for n in short)]:  # a short item can be as long as a gram
         hashed = opened.withColumn("hashes", _gram_hashes(words, size, salt))
