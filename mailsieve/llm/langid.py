@@ -12,16 +12,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve.llm.streams import slices, utf8
-from mailsieve.scale import top_per_key
-from mailsieve.session import cut_lineage, release
 
 #: Longest context in bytes; a gram (context and next byte) fits 32 bits.
 ORDER = 3
 #: Labelled texts learned from, about so many a language, chosen by a hash of the id.
 SAMPLE_ROWS = 2_000
-#: Grams kept a language and order (the most frequent), and the least count of a gram longer than two bytes.
-#: As many contexts are kept; their counts are of all grams.
-GRAMS, LEAST = 1 << 16, 2
+#: Most languages whose shares are broadcast; beyond them Spark joins as it sees fit.
+LANGUAGES = 1_000
 UNKNOWN = "und"
 _BLOCK = 1 << 17
 
@@ -42,113 +39,93 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             data, rows = utf8(part.column("text"))
-            grams, langs = _grams(data, rows), part.column("lang").to_pylist()
-            owner = np.repeat(np.arange(len(langs)), np.diff(rows))
-            for lang in sorted(set(langs)):
-                own = np.array([x == lang for x in langs])
-                found, n = np.unique(grams[own[owner]], return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([lang] * len(found), pa.string()), pa.array(found.astype(np.int64)), pa.array(n)],
-                    ["lang", "gram", "n"])
+            names = part.column("lang").cast(pa.string()).dictionary_encode()
+            own = np.repeat(np.asarray(names.indices).astype(np.uint64) << np.uint64(32), np.diff(rows))
+            found, n = np.unique(own | _grams(data, rows), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [names.dictionary.take(pa.array((found >> np.uint64(32)).astype(np.int64))),
+                 pa.array((found & np.uint64(0xFFFFFFFF)).astype(np.int64)), pa.array(n)],
+                ["lang", "gram", "n"])
 
 
-class _Table:
-    """Rows of numbers by a sorted integer key."""
+class _Sparse:
+    """Numbers by integer key and language, from rows in the order of their keys; a key holds few languages."""
 
-    def __init__(self, keys: np.ndarray, values: np.ndarray) -> None:
-        self.keys, self.values = keys, values.astype(np.float32)
+    def __init__(self, keys: np.ndarray, langs: np.ndarray, values: np.ndarray) -> None:
+        self.keys, first = np.unique(keys.astype(np.uint32), return_index=True)
+        self.at = np.append(first, len(keys))
+        self.langs, self.values = langs.astype(np.uint16), values.astype(np.float32)
 
-    def find(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def rows(self, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(place in ``wanted``, language, number) of all numbers that the wanted keys hold."""
         if not len(self.keys):
-            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), bool)
-        at = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
-        return at, self.keys[at] == wanted
+            return np.zeros(0, np.int64), self.langs, self.values
+        i = np.minimum(np.searchsorted(self.keys, wanted), len(self.keys) - 1)
+        place = np.flatnonzero(self.keys[i] == wanted)
+        i = i[place]
+        n = self.at[i + 1] - self.at[i]
+        flat = np.arange(n.sum()) + np.repeat(self.at[i] - (np.cumsum(n) - n), n)
+        return np.repeat(place, n), self.langs[flat], self.values[flat]
 
 
 @dataclass(frozen=True)
 class LanguageModel:
-    """Per order a table of code lengths in bits by gram, and one of escape lengths by context; a column a language."""
+    """Per order the code lengths in bits of grams, and the escape lengths of contexts, in the languages that hold them."""
 
     langs: tuple[str, ...]
-    codes: tuple[_Table, ...]
-    escapes: tuple[_Table, ...]
+    codes: tuple[_Sparse, ...]
+    escapes: tuple[_Sparse, ...]
 
-    def bits(self, grams: np.ndarray, order: int = ORDER) -> np.ndarray:
-        """Code length of each gram's last byte in every language.
+    def bits(self, grams: np.ndarray) -> np.ndarray:
+        """Code length of each gram's last byte in every language, built up from the shortest context.
 
-        A gram that no language holds costs each language its escape from the context, where it knows the
-        context, and what the gram without its first byte costs.  Below order 0 all 256 bytes are alike.
+        A language that holds the gram pays its code; one that does not pays its escape from the context, if it
+        knows the context, and what the gram without its first byte costs.  Below order 0 all 256 bytes are alike.
         """
-        if order < 0:
-            return np.full((len(grams), len(self.langs)), 8.0, np.float32)
-        table = self.codes[order]
-        at, known = table.find(grams)
-        if len(table.keys):
-            out = table.values[at]
-        else:
-            out = np.empty((len(grams), len(self.langs)), np.float32)
-        if not known.all():
-            rest = grams[~known]
-            out[~known] = self.escape(rest, order) + self.bits(_shorter(rest, order), order - 1)
-        return out
-
-    def escape(self, grams: np.ndarray, order: int) -> np.ndarray:
-        table = self.escapes[order]
-        at, known = table.find(grams >> np.uint32(8))
-        out = np.zeros((len(grams), len(self.langs)), np.float32)
-        if known.any():
-            out[known] = table.values[at[known]]
+        out = np.full((len(grams), len(self.langs)), 8.0, np.float32)
+        for order, (codes, escapes) in enumerate(zip(self.codes, self.escapes, strict=True)):
+            own = grams & np.uint32((1 << 8 * (order + 1)) - 1)
+            place, lang, value = escapes.rows(own >> np.uint32(8))
+            out[place, lang] += value
+            place, lang, value = codes.rows(own)
+            out[place, lang] = value
         return out
 
     def totals(self, data: np.ndarray, rows: np.ndarray) -> np.ndarray:
-        """Code length of each whole text in every language."""
+        """Code length of each whole text in every language; a gram is looked up once a block."""
         grams = _grams(data, rows)
         owner = np.repeat(np.arange(len(rows) - 1), np.diff(rows))
         out = np.zeros((len(rows) - 1, len(self.langs)))
         for a in range(0, len(grams), _BLOCK):
-            bits = self.bits(grams[a : a + _BLOCK])
+            distinct, of = np.unique(grams[a : a + _BLOCK], return_inverse=True)
+            bits, own = self.bits(distinct), owner[a : a + _BLOCK]
             for j in range(len(self.langs)):
-                out[:, j] += np.bincount(owner[a : a + _BLOCK], bits[:, j], len(rows) - 1)
+                out[:, j] += np.bincount(own, bits[of, j], len(rows) - 1)
         return out
 
 
-def _shorter(grams: np.ndarray, order: int) -> np.ndarray:
-    return grams & np.uint32((1 << 8 * order) - 1)
+def build_model(lang: pa.Array, grams: np.ndarray, n: np.ndarray) -> LanguageModel:
+    """Model from the counts ``n`` of longest grams in languages (each pair once).
 
-
-def build_model(
-    counts: list[tuple[int, str, int, int]], known: list[tuple[int, str, int, int, int]] | None = None
-) -> LanguageModel:
-    """``counts``: (order, lang, gram, n); ``known``: (order, lang, context, total, distinct), by default those of
-    ``counts``, else with at least its contexts.  Escapes by method C: distinct next bytes against all counts."""
-    langs = tuple(sorted({c[1] for c in counts}))
-    place = {lang: j for j, lang in enumerate(langs)}
-    codes: list[_Table] = []
-    escapes: list[_Table] = []
+    The counts of shorter grams follow from the longest, and nothing is dropped.  Escapes by method C: distinct
+    next bytes against all counts.
+    """
+    names = lang.cast(pa.string()).dictionary_encode()
+    langs = sorted(names.dictionary.to_pylist())
+    place = np.array([langs.index(x) for x in names.dictionary.to_pylist()], np.uint64)
+    own = place[np.asarray(names.indices)] if len(grams) else np.zeros(0, np.uint64)
+    low, codes, escapes = np.uint64(16), [], []
     for order in range(ORDER + 1):
-        own = [c for c in counts if c[0] == order]
-        grams, row = np.unique(np.array([c[2] for c in own], np.uint32), return_inverse=True)
-        n = np.zeros((len(grams), len(langs)))
-        np.add.at(n, (row, [place[c[1]] for c in own]), [c[3] for c in own])
-        if known is None:
-            contexts, of = np.unique(grams >> np.uint32(8), return_inverse=True)
-            total, distinct = np.zeros((len(contexts), len(langs))), np.zeros((len(contexts), len(langs)))
-            np.add.at(total, of, n)
-            np.add.at(distinct, of, (n > 0).astype(float))
-        else:
-            met = [c for c in known if c[0] == order]
-            contexts, row = np.unique(np.array([c[2] for c in met], np.uint32), return_inverse=True)
-            total, distinct = np.zeros((len(contexts), len(langs))), np.zeros((len(contexts), len(langs)))
-            at = (row, [place[c[1]] for c in met])
-            total[at], distinct[at] = [c[3] for c in met], [c[4] for c in met]
-            of = np.searchsorted(contexts, grams >> np.uint32(8))
-        seen = np.maximum(total + distinct, 1)
-        escape = np.where(distinct > 0, -np.log2(np.maximum(distinct, 1) / seen), 0)
-        escapes.append(_Table(contexts, escape))
-        below = LanguageModel(langs, tuple(codes), tuple(escapes)).bits(_shorter(grams, order), order - 1)
-        bits = np.where(n > 0, -np.log2(np.maximum(n, 1) / seen[of]), escape[of] + below)
-        codes.append(_Table(grams, bits))
-    return LanguageModel(langs, tuple(codes), tuple(escapes))
+        keys = (grams.astype(np.uint64) & np.uint64((1 << 8 * (order + 1)) - 1)) << low | own
+        found, of = np.unique(keys, return_inverse=True)
+        count = np.bincount(of, n, len(found))
+        who, gram = found & np.uint64(0xFFFF), found >> low
+        contexts, of = np.unique((gram >> np.uint64(8)) << low | who, return_inverse=True)
+        distinct = np.bincount(of, minlength=len(contexts))
+        seen = np.bincount(of, count, len(contexts)) + distinct
+        codes.append(_Sparse(gram, who, -np.log2(count / seen[of])))
+        escapes.append(_Sparse(contexts >> low, contexts & np.uint64(0xFFFF), -np.log2(distinct / seen)))
+    return LanguageModel(tuple(langs), tuple(codes), tuple(escapes))
 
 
 def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
@@ -159,37 +136,22 @@ def held_out(doc_id: Column, folds: int = 4, fold: int = 2) -> Column:
 def fit(docs: DataFrame, max_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """Model from the whole texts of learnable rows with a language.
 
-    About ``max_rows`` a language (a fixed share by hash of the id) are counted, by task and then by gram;
-    the GRAMS most frequent grams of each order come to the driver and go out as a broadcast, and so do the
-    GRAMS contexts with the most frequent grams, so both are bounded whatever the corpus.  A context's total
-    and distinct next bytes are those of all grams, kept or not.
+    About ``max_rows`` a language (a fixed share by hash of the id) are counted, by task and then by gram; all
+    grams of those texts come to the driver as Arrow columns and go out as a broadcast.  Both are bounded by
+    ``max_rows`` and the languages, whatever the corpus, and hold a number only where a language has the gram.
     """
     usable = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
     shares = usable.groupBy(F.col("lang").alias("__lang")).agg((max_rows * 1_000_000 / F.count("*")).alias("__share"))
-    sample = usable.select("doc_id", "text", "lang").join(F.broadcast(shares), F.col("lang") == F.col("__lang")).where(
+    if shares.count() <= LANGUAGES:
+        shares = F.broadcast(shares)
+    sample = usable.select("doc_id", "text", "lang").join(shares, F.col("lang") == F.col("__lang")).where(
         F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("__share"))
-    longest = (
+    counted = (
         sample.select("lang", "text").mapInArrow(_count, "lang string, gram long, n long")
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
-    orders = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("order"), F.col("gram").bitwiseAND((1 << 8 * (k + 1)) - 1).alias("gram"))
-        for k in range(ORDER + 1)])).alias("o")
-    summed = cut_lineage(
-        longest.select("lang", "n", orders).groupBy("o.order", "lang", "o.gram").agg(F.sum("n").alias("n")))
-    kept = top_per_key(
-        summed.where((F.col("order") < 2) | (F.col("n") >= LEAST)), ["order", "lang"], [F.desc("n"), F.col("gram")],
-        GRAMS)
-    # by their first gram in the order of ``kept``: the context of every kept gram is among them
-    known = top_per_key(
-        summed.groupBy("order", "lang", F.shiftright("gram", 8).alias("context")).agg(
-            F.sum("n").alias("total"), F.count("*").alias("distinct"), F.min(F.struct(-F.col("n"), "gram")).alias("first")),
-        ["order", "lang"], [F.col("first")], GRAMS)
-    model = build_model(
-        [(r.order, r.lang, r.gram, r.n) for r in kept.collect()],
-        [(r.order, r.lang, r.context, r.total, r.distinct)
-         for r in known.select("order", "lang", "context", "total", "distinct").collect()])
-    release(summed)
-    return model
+        .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow().combine_chunks())
+    return build_model(
+        pa.concat_arrays(counted.column("lang").chunks) if counted.num_rows else pa.array([], pa.string()),
+        counted.column("gram").to_numpy(), counted.column("n").to_numpy())
 
 
 def identify(docs: DataFrame, model: LanguageModel) -> DataFrame:

@@ -5,6 +5,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF
 
@@ -18,16 +19,26 @@ def grams(text):
     return [data[i : i + 4] for i in range(len(data) - 3)]
 
 
-def counts(texts, least=1):
-    out = []
-    for lang in {t[0] for t in texts}:
-        longest = Counter(g for own, t in texts if own == lang for g in grams(t))
-        for order in range(4):
-            n = Counter()
-            for g, k in longest.items():
-                n[g[3 - order :]] += k
-            out += [(order, lang, int.from_bytes(g, "big"), k) for g, k in n.items() if k >= least]
-    return out
+def longest(texts):
+    """(language, gram, count) of the longest grams."""
+    n = Counter((lang, int.from_bytes(g, "big")) for lang, t in texts for g in grams(t))
+    return [(lang, g, k) for (lang, g), k in n.items()]
+
+
+def counts(texts):
+    """(order, language, gram, count) of the grams of all orders."""
+    n = Counter()
+    for lang, t in texts:
+        for g in grams(t):
+            for order in range(4):
+                n[order, lang, int.from_bytes(g[3 - order :], "big")] += 1
+    return [(*k, v) for k, v in n.items()]
+
+
+def build(rows):
+    return langid.build_model(
+        pa.array([r[0] for r in rows], pa.string()), np.array([r[1] for r in rows], np.int64),
+        np.array([r[2] for r in rows], np.int64))
 
 
 def brute(rows, lang, text):
@@ -54,56 +65,43 @@ def brute(rows, lang, text):
     return bits
 
 
-@pytest.mark.parametrize("least", [1, 2])
-def test_code_lengths_match_a_walk(least):
-    rows = counts(TEXTS, least)
-    model = langid.build_model(rows)
-    for text in ("the chose", "zzz", "é", "", "théthé then le", "a\0b"):
-        data = np.frombuffer(text.encode(), np.uint8)
-        got = model.totals(data, np.array([0, len(data)]))[0]
-        assert got == pytest.approx([brute(rows, x, text) for x in model.langs], rel=1e-5)
+PROBES = ("the chose", "then le", "zzz", "é", "", "théthé then le", "a\0b")
 
 
-def walk(rows, kept, lang, text):
-    """As ``brute``, with contexts counted on all ``rows`` and codes for ``kept`` (order, lang, gram) only."""
-    seen = defaultdict(Counter)
-    for order, own, gram, n in rows:
-        if own == lang:
-            data = gram.to_bytes(order + 1, "big")
-            seen[data[:-1]][data[-1]] += n
-    bits = 0.0
-    for g in grams(text):
-        for order in range(3, -1, -1):
-            own = seen.get(g[3 - order : 3])
-            if not own:
-                continue
-            whole = sum(own.values()) + len(own)
-            if (order, lang, int.from_bytes(g[3 - order :], "big")) in kept:
-                bits -= math.log2(own[g[3]] / whole)
-                break
-            bits -= math.log2(len(own) / whole)
-        else:
-            bits += 8
-    return bits
+def lengths(model, text):
+    data = np.frombuffer(text.encode(), np.uint8)
+    return model.totals(data, np.array([0, len(data)]))[0]
+
+
+def test_code_lengths_match_a_walk():
+    model, rows = build(longest(TEXTS)), counts(TEXTS)
+    for text in PROBES:
+        assert lengths(model, text) == pytest.approx([brute(rows, x, text) for x in model.langs], rel=1e-5)
 
 
-@pytest.mark.parametrize("most", [1 << 16, 12])
-def test_contexts_are_counted_before_grams_are_dropped(spark, monkeypatch, most):
-    monkeypatch.setattr(langid, "GRAMS", most)
+def test_all_counts_of_the_learned_texts_are_held(spark):
     ids = [i for i in range(100) if zlib.crc32(str(i).encode()) % 4 != 2]
     df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in zip(ids, TEXTS)], "doc_id long, text string, lang string")
-    model, rows = langid.fit(df), counts(TEXTS)
-    kept, known = set(), []
-    for order in range(4):
-        for lang in model.langs:
-            own = sorted((-n, g) for o, x, g, n in rows if (o, x) == (order, lang))
-            kept |= {(order, lang, g) for _, g in [x for x in own if order < 2 or -x[0] >= langid.LEAST][:most]}
-            first = list(dict.fromkeys(g >> 8 for _, g in own))[:most]
-            known += [r for r in rows if (r[0], r[1]) == (order, lang) and r[2] >> 8 in first]
-    for text in ("the chose", "then le", "zzz", "théthé"):
-        data = np.frombuffer(text.encode(), np.uint8)
-        got = model.totals(data, np.array([0, len(data)]))[0]
-        assert got == pytest.approx([walk(known, kept, x, text) for x in model.langs], rel=1e-5)
+    for most in (langid.LANGUAGES, 0):
+        model, rows = langid.fit(df), counts(TEXTS)
+        langid.LANGUAGES, before = most, langid.LANGUAGES
+        try:
+            again = langid.fit(df)
+        finally:
+            langid.LANGUAGES = before
+        for text in PROBES:
+            want = pytest.approx([brute(rows, x, text) for x in model.langs], rel=1e-5)
+            assert lengths(model, text) == want and lengths(again, text) == want
+
+
+def test_many_languages_hold_only_their_own_grams():
+    texts = [(f"l{i:02d}", f"{chr(0x400 + 5 * i)}{chr(0x401 + 5 * i)} {chr(97 + i % 26)}{i} " * 20) for i in range(60)]
+    model, rows = build(longest(texts)), counts(texts)
+    assert sum(len(t.values) for t in model.codes) == len(rows)
+    for own, text in texts[::7]:
+        bits = lengths(model, text[:40])
+        assert bits == pytest.approx([brute(rows, x, text[:40]) for x in model.langs], rel=1e-5)
+        assert model.langs[bits.argmin()] == own
 
 
 def test_held_out_accuracy(spark):
