@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Headers that a not-modified answer may change in the stored response.
-PERMITTED = ("cache-control", "date", "etag", "expires", "last-modified", "server", "vary")
+PERMITTED = ("cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary")
 #: Captures of one page in so many seconds are ordered in one task.
 BUCKET_SECONDS = 86_400
 
@@ -73,22 +73,29 @@ def resolve_revisits(records: DataFrame, bucket_seconds: int = BUCKET_SECONDS) -
     Only resolved and unvalidated revisits get the payload, and the response's headers with the PERMITTED
     ones of the revisit put over them; names come out in lower case.
 
-    Records without an id, time, URL or kind take no part; records that repeat an id are one.  Null headers
-    are none.  No records give no rows.
+    Records without an id, time, URL or kind take no part.  Records that repeat an id are one: the earliest, then
+    the least page, kind and hash of headers and payload.  Null headers are none.  No records give no rows.
     """
     page = canonical_url(F.col("url"))
     sound = records.select(
         F.col("record_id").cast("long").alias("record_id"), "kind", "status", F.col("captured").cast("long")
         .alias("captured"), page.alias("page"), "headers", "payload",
     ).where("record_id is not null and captured is not null and page is not null and kind is not null")
+    entries = F.array_sort(F.map_entries("headers"))
+    sound = sound.withColumn("tie", F.struct("captured", "page", "kind", F.xxhash64(entries, F.col("payload")).alias("mark")))
     full = sound.where("kind = 'response' and status = 200 and payload is not null")
     revisits = sound.where("kind = 'revisit'")
-    names = ["record_id", "captured", "page", "kind"]
-    found = latest_full(full.select(names).union(revisits.select(names)).dropDuplicates(["record_id"]), bucket_seconds)
-    asked = revisits.select("record_id", F.col("headers").alias("new")).dropDuplicates(["record_id"])
-    stored = full.select(F.col("record_id").alias("full_id"), F.col("headers").alias("old"), "payload")
-    wanted = stored.join(found.select("full_id").distinct(), "full_id", "left_semi").dropDuplicates(["full_id"])
-    rows = found.join(asked, "record_id").join(wanted, "full_id", "left")
+    one = full.select("record_id", "tie").union(revisits.select("record_id", "tie")).groupBy("record_id").agg(
+        F.min("tie").alias("tie"))
+    found = latest_full(one.select("record_id", "tie.captured", "tie.page", "tie.kind"), bucket_seconds)
+    asked = revisits.groupBy("record_id").agg(F.min_by("headers", "tie").alias("new"))
+    stored = full.select(F.col("record_id").alias("full_id"), F.col("headers").alias("old"), "payload", "tie")
+    wanted = stored.join(found.select("full_id").distinct(), "full_id", "left_semi").groupBy("full_id").agg(
+        F.min_by("old", "tie").alias("old"), F.min_by("payload", "tie").alias("payload"))
+    # orphans have no full_id: their own ids keep them from meeting in one task
+    apart = F.when(F.col("full_id").isNull(), F.col("record_id")).otherwise(F.lit(0).cast("long"))
+    rows = found.join(asked, "record_id").withColumn("apart", apart).join(
+        wanted.withColumn("apart", F.lit(0).cast("long")), ["full_id", "apart"], "left")
 
     def same(name: str) -> Column:
         return _validator(F.col("old"), name) == _validator(F.col("new"), name)
