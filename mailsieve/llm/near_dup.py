@@ -20,8 +20,7 @@ WIDTH = 5
 ROWS = 5
 #: Chance that a pair exactly at the threshold shares no band, and that its signature looks too far apart.
 MISS = 1e-6
-#: Members of a band bucket compared by signature in one task; larger buckets are linked to their least
-#: member instead, which only widens the group that is then compared exactly.
+#: Members in a block of a band bucket; of a larger bucket two blocks meet in a task.
 BUCKET = 4096
 #: Bytes of text in a block of a candidate group; two blocks meet in a task.
 BLOCK = 4 << 20
@@ -109,7 +108,7 @@ def _edges(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def _signature_links(least: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table, bounds in whole_groups(batches, "bucket"):
+        for table, bounds in whole_groups(batches, "task"):
             nodes = np.asarray(table.column("node")).tolist()
             raw = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(len(nodes), -1)
             pairs: list[tuple[int, int]] = []
@@ -169,6 +168,19 @@ def _exact_links(percent: int, width: int) -> Callable[[Iterator[pa.RecordBatch]
     return run
 
 
+def _deal(members: DataFrame, group: str, blocks: str) -> DataFrame:
+    """(node, task, ...) for members (node, ``group``, ``blocks``, ...) of groups that are compared within.
+
+    A group of one block is one task.  Of more blocks every two meet in a task, so that no task holds over two.
+    """
+    n = F.col(blocks)
+    others = F.array_except(F.sequence(F.lit(0), n - 1), F.array("own"))
+    return (
+        members.withColumn("own", F.pmod(F.xxhash64("node"), n).cast("int"))
+        .withColumn("other", F.explode(F.when(n < 2, F.array("own")).otherwise(others)))
+        .withColumn("task", F.xxhash64(group, F.least("own", "other"), F.greatest("own", "other"))).drop("own", "other"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> DataFrame:
     """``docs`` (doc_id, text, ...) -> (doc_id, n_shingles, component_id, kept), one row for each row.
 
@@ -179,8 +191,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> D
     1. One pass over the texts gives every document a digest of its set, minima under many universal hash
        functions, one byte each as its signature, and the keys of its bands.
     2. Equal sets collapse to the least id by their digest; all later steps see distinct sets only.
-    3. Members of a band bucket are compared by signature in one task, which emits a spanning forest of the
-       pairs that may reach the threshold; a bucket over BUCKET members is linked to its least member.
+    3. Members of a band bucket are compared by signature, in blocks of at most about BUCKET, each task emitting a
+       spanning forest of the pairs that may reach the threshold.
     4. The components of those links are candidate groups.  Their texts are read again and compared exactly,
        in blocks of bounded size, each task emitting a spanning forest of true links, never pairs.
     5. Components of the true links.
@@ -203,25 +215,17 @@ def near_duplicates(docs: DataFrame, percent: int = 80, width: int = WIDTH) -> D
         .select("key", F.col("one.doc_id").alias("node"), "one.text_hash", "one.octets", "one.signature", "one.buckets")
     )
     places = classes.select("node", F.explode("buckets").alias("bucket"))
-    sizes = places.groupBy("bucket").agg(F.count("*").alias("n"), F.min("node").alias("head")).where("n > 1")
-    shared = cut_lineage(places.join(sizes, "bucket"))
-    wide = shared.where(f"n > {BUCKET} and node > head").select(F.col("head").alias("u"), F.col("node").alias("v"))
-    signed = shared.where(f"n <= {BUCKET}").join(classes.select("node", "signature"), "node")
+    sizes = places.groupBy("bucket").agg(F.ceil(F.count("*") / BUCKET).cast("int").alias("blocks"), F.count("*").alias("n"))
+    shared = cut_lineage(places.join(sizes.where("n > 1").drop("n"), "bucket"))
+    signed = _deal(shared, "bucket", "blocks").join(classes.select("node", "signature"), "node")
     near = (
-        signed.select("bucket", "node", "signature").repartition("bucket").sortWithinPartitions("bucket", "node")
+        signed.select("task", "node", "signature").repartition("task").sortWithinPartitions("task", "node")
         .mapInArrow(_signature_links(least_agreement(percent, band_count(percent) * ROWS)), "u long, v long")
     )
-    groups = cut_lineage(connected_components(near.union(wide).distinct()))
+    groups = cut_lineage(connected_components(near.distinct()))
     members = groups.join(classes.select("node", "text_hash", "octets"), "node")
     totals = members.groupBy("component").agg(F.ceil(F.sum("octets") / BLOCK).cast("int").alias("blocks"))
-    dealt = (
-        members.join(totals, "component")
-        .withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.when(F.col("blocks") < 2, F.array("own")).otherwise(
-            F.array_except(F.sequence(F.lit(0), F.col("blocks") - 1), F.array("own")))))
-        .select("node", "text_hash", F.xxhash64("component", F.least("own", "other"), F.greatest("own", "other"))
-                .alias("task"))
-    )
+    dealt = _deal(members.join(totals, "component"), "component", "blocks").select("node", "text_hash", "task")
     texts = rows.select(F.col("doc_id").alias("node"), "text_hash", "text")
     links = (
         texts.join(dealt, ["node", "text_hash"]).select("task", "node", "text").repartition("task")
