@@ -40,8 +40,7 @@ def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, with a digest of what they decode to; a null text has null ids."""
-    coded = bpe.decode(bpe.encode(docs, RANKS, PATTERN).drop("text"), RANKS, PATTERN)
-    return coded.select(
+    return bpe.round_trip(docs, RANKS, PATTERN).select(
         "doc_id", "lang", "source", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), "ids",
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -333,23 +333,33 @@ def coder_for(ranks: bytes, pattern: str) -> Coder:
     return _CODERS[key]
 
 
-def _map_column(df: DataFrame, source: str, target: str, kind: str, ranks: str, pattern: str, work: str) -> DataFrame:
-    """``df`` with ``target`` computed from ``source`` row by row; the vocabulary file is read by the driver."""
+def _map_column(
+    df: DataFrame, source: str, steps: list[tuple[str, str]], ranks: str, pattern: str, keep_source: bool = True,
+) -> DataFrame:
+    """``df`` with a binary column for each of ``steps`` (column, method of the coder), the first from ``source`` and
+    every other from the one before; the vocabulary file is read by the driver."""
     with open(ranks, "rb") as file:
         shared = df.sparkSession.sparkContext.broadcast(file.read())
-    names = [c for c in df.columns if c != target]
+    targets = [name for name, _ in steps]
+    names = [c for c in df.columns if c not in targets]
+    stays = [c for c in names if keep_source or c != source]
     at = names.index(source)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every = getattr(coder_for(shared.value, pattern), work)
+        coder = coder_for(shared.value, pattern)
         for batch in batches:
             for part in slices(batch, names[at], SLICE):
                 given = part.column(at).to_pylist()
-                found = iter(every([x for x in given if x is not None]))
-                made = [None if x is None else next(found) for x in given]
-                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(made, pa.binary())], [*names, target])
-
-    schema = df.select(names).schema.add(target, kind)
+                rows, made = [x for x in given if x is not None], []
+                for _, work in steps:
+                    rows = getattr(coder, work)(rows)
+                    found = iter(rows)
+                    made.append(pa.array([None if x is None else next(found) for x in given], pa.binary()))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in stays], *made], [*stays, *targets])
+
+    schema = df.select(stays).schema
+    for name in targets:
+        schema = schema.add(name, "binary")
     return bounded_batches(df.select(names)).mapInArrow(run, schema)
 
 
@@ -360,18 +370,27 @@ def encode(df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str
     empty is empty; other columns stay (one called ``ids`` is replaced).  Rows never move: each is encoded
     where it is read, in chunks, so that only the text and its ids are held; a lost task is simply repeated.
     """
-    return _map_column(df, text, ids, "binary", ranks, pattern, "encode_all")
+    return _map_column(df, text, [(ids, "encode_all")], ranks, pattern)
 
 
 def decode(df: DataFrame, ranks: str, pattern: str, ids: str = "ids", data: str = "decoded") -> DataFrame:
     """``df`` with column ``data``: the tokens' raw bytes, end to end; null stays null."""
-    return _map_column(df, ids, data, "binary", ranks, pattern, "decode_all")
+    return _map_column(df, ids, [(data, "decode_all")], ranks, pattern)
+
+
+def round_trip(
+    df: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids", data: str = "decoded",
+) -> DataFrame:
+    """``df`` without its texts, with what ``encode`` and then ``decode`` give, in one pass.
+
+    A task has one Python worker with one coder for both; nulls, other columns and bounds are as there.
+    """
+    return _map_column(df, text, [(ids, "encode_all"), (data, "decode_all")], ranks, pattern, keep_source=False)
 
 
 def round_trip_digest(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
     """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every text of ``docs``; a null text is empty."""
     texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    tokens = encode(texts, ranks, pattern).select("doc_id", "ids")
-    return decode(tokens, ranks, pattern).select(
+    return round_trip(texts, ranks, pattern).select(
         "doc_id", (F.octet_length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))

@@ -97,3 +97,17 @@ def test_odd_rows(spark):
 def test_unknown_id_is_an_error():
     with pytest.raises(IndexError):
         coder().decode(np.array([60_000], "<u4").tobytes())
+
+
+def test_one_pass_is_encode_then_decode(spark):
+    import public_tokenizers
+
+    ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
+    rows = [(1, "", 1, "x"), (2, None, 2, "y"), (None, "héllo  wörld\n\n", 3, None), (4, "ab " * 300_000, 4, "z"), (4, "again", 4, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, ids int, decoded string")
+    two = bpe.decode(bpe.encode(df, ranks, pattern).drop("text"), ranks, pattern)
+    one = bpe.round_trip(df, ranks, pattern)
+    assert one.columns == two.columns == ["doc_id", "ids", "decoded"]
+    assert sorted(map(tuple, one.collect()), key=str) == sorted(map(tuple, two.collect()), key=str)
+    assert {None if r.decoded is None else bytes(r.decoded).decode() for r in one.collect()} == {r[1] for r in rows}
+    assert bpe.round_trip(df.limit(0), ranks, pattern).collect() == []
