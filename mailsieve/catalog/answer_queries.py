@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mailsieve.catalog.context_queries import COS, SHORT_BLOCK, TRUNC
+from mailsieve.catalog.context_queries import COS, SHORT_BLOCK, TOK, TRUNC
+from mailsieve.catalog.routing_queries import DEFAULT, STYLE, TONE
 from mailsieve.catalog.rules_queries import QUICK, filter_sql
 from mailsieve.operators import intents as I
 from mailsieve.operators import responses as R
@@ -47,6 +48,38 @@ def _(v):
     return d.select("vec_id", F.array_join("shortlist", ",").alias("shortlist"), "chosen", "confidence", "entropy", "pass_to_responder")
 
 
+@query("q4_rerank", "VQ", sql=f"""
+s AS (SELECT e.vec_id, q.query_id AS category, {COS} AS cosine FROM VQ q, embeddings e JOIN documents ON doc_id = vec_id),
+r AS (SELECT vec_id, category, row_number() OVER (PARTITION BY vec_id ORDER BY cosine DESC, category) AS rk FROM s),
+t AS (SELECT doc_id AS vec_id, {TOK} AS words FROM (SELECT doc_id, coalesce(text, '') AS text FROM documents) x),
+n AS (SELECT vec_id, category, rk, len(list_filter(words, lambda x: length(x) % 10 = CAST(substr(category, 5) AS INTEGER))) AS w FROM r JOIN t USING (vec_id) WHERE rk <= 3),
+a AS (SELECT *, sum(w) OVER (PARTITION BY vec_id) AS total, count(*) OVER (PARTITION BY vec_id) AS k FROM n),
+g AS (SELECT vec_id, category, rk, CASE WHEN total > 0 THEN 'llm' ELSE 'fallback' END AS source,
+  CASE WHEN total > 0 AND w = 0 THEN NULL WHEN total > 0 THEN round(w::DOUBLE / total, 6) WHEN rk = 1 THEN 0.7 ELSE round(0.3 / (k - 1), 6) END::DOUBLE AS p FROM a),
+h AS (SELECT *, greatest(round(p / sum(p) OVER (PARTITION BY vec_id), 6), 0.01) AS f FROM g),
+m AS (SELECT *, p IS NULL AS added, CASE WHEN p IS NULL THEN 0.01 ELSE round(f / sum(CASE WHEN p IS NOT NULL THEN f END) OVER (PARTITION BY vec_id), 6) END::DOUBLE AS prob FROM h),
+o AS (SELECT vec_id, source, string_agg(category || '=' || CAST(round(prob * 1000000) AS BIGINT) || CASE WHEN added THEN '+' ELSE '' END, ',' ORDER BY prob DESC, added, rk) AS ranking,
+  first(category ORDER BY prob DESC, added, rk) AS top, max(prob) AS conf, sum(-prob * ln(prob)) AS h FROM m GROUP BY 1, 2)
+SELECT vec_id, ranking, source, CASE WHEN conf < 0.4 THEN 'Other' ELSE top END AS chosen, conf AS confidence, round(h, 4) AS entropy FROM o""")
+def _(v):
+    docs = v.raw("documents").select(F.col("doc_id").alias("vec_id"), "text")
+    emails = v.t("embeddings").join(docs, "vec_id")
+
+    def referee(text, names):
+        words = F.array_distinct(F.regexp_extract_all(F.lower(text), F.lit("[a-z0-9]+"), F.lit(0)))
+        found = F.transform(names, lambda c: F.struct(c.alias("category"), F.size(F.filter(
+            words, lambda w: F.length(w) % 10 == F.substring(c, 5, 9).cast("int"))).cast("double").alias("prob")))
+        return F.struct(F.lit(None).cast("string").alias("category"), F.lit(0.7).alias("confidence"),
+                        F.filter(found, lambda x: x["prob"] > 0).alias("distribution"))
+
+    d = A.categorize(emails, v.VQ.withColumnRenamed("query_id", "category"), "vec_id", preset=0.4, text="text", referee=referee)
+    shown = F.transform("ranking", lambda x: F.concat(
+        x["category"], F.lit("="), F.round(x["prob"] * 1_000_000).cast("long").cast("string"),
+        F.when(x["source"] == "added_missing", "+").otherwise("")))
+    return d.select("vec_id", F.array_join(shown, ",").alias("ranking"), F.col("distribution_source").alias("source"),
+                    "chosen", "confidence", "entropy")
+
+
 @query("q5_retrieve_contexts", "VQ", sql=f"""
 s AS (SELECT q.query_id, e.vec_id, round({COS}, 6) AS score FROM VQ q, embeddings e),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rk FROM s),
@@ -101,6 +134,39 @@ def _(v):
     return d.select("query_id", F.col("n_contexts"), F.md5("user_text").alias("digest"), "max_output_tokens")
 
 
+SYSTEM = TONE.replace("doc_id % 4", "label % 4").replace("doc_id", "query_id") + (
+    " || chr(10) || chr(10) || 'Domain context: This is a ' || query_id || ' inquiry.' || " + STYLE)
+INTENT = "CASE label % 4 WHEN 0 THEN 'information_request' WHEN 1 THEN 'action_request' WHEN 2 THEN 'complaint' END"
+
+
+@query("q7_compose_requests", "CTX", sql=f"""--recursive
+sys AS (SELECT query_id, intent, {SYSTEM} AS system FROM (SELECT label, query_id, {INTENT} AS intent FROM VQ) q),
+a AS (SELECT query_id, id, score, t, {SHORT_BLOCK} AS blk FROM (SELECT *, {TRUNC} AS t FROM CTX) x WHERE rnk <= 15),
+i AS (SELECT query_id, blk, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS p, {TOK.replace("text", "t")} AS tk FROM a),
+w AS (SELECT query_id, p, len(tk) AS n, unnest(tk) AS w FROM i),
+x AS (SELECT a.query_id, a.p, b.p AS o FROM w a JOIN w b ON a.query_id = b.query_id AND a.w = b.w AND b.p < a.p
+  GROUP BY a.query_id, a.p, b.p, a.n, b.n HAVING count(*)::DOUBLE / (a.n + b.n - count(*)) >= 0.9),
+r AS (SELECT query_id, 0::BIGINT AS p, []::BIGINT[] AS kept FROM (SELECT DISTINCT query_id FROM i) q
+  UNION ALL SELECT r.query_id, r.p + 1, CASE WHEN EXISTS (SELECT 1 FROM x WHERE x.query_id = r.query_id AND x.p = r.p + 1 AND list_contains(r.kept, x.o)) THEN r.kept ELSE list_append(r.kept, r.p + 1) END
+  FROM r WHERE r.p < (SELECT max(p) FROM i WHERE i.query_id = r.query_id)),
+k AS (SELECT i.* FROM i JOIN (SELECT query_id, unnest(kept) AS p FROM r WHERE p = (SELECT max(p) FROM i WHERE i.query_id = r.query_id)) u ON i.query_id = u.query_id AND i.p = u.p),
+b AS (SELECT k.query_id, blk, p, system, intent, ceil((length('Question:' || chr(10) || 'About ' || k.query_id || chr(10) || chr(10) || 'Context:' || chr(10)) + length(system)
+  + sum(length(blk) + 7) OVER (PARTITION BY k.query_id ORDER BY p) - 7) / 4.0) AS tok FROM k JOIN sys ON sys.query_id = k.query_id)
+SELECT query_id, count(*) AS n_contexts, md5('Question:' || chr(10) || 'About ' || query_id || chr(10) || chr(10) || 'Context:' || chr(10) || string_agg(blk, chr(10) || chr(10) || '---' || chr(10) || chr(10) ORDER BY p)) AS digest,
+  md5(any_value(system)) AS system_digest, CASE WHEN any_value(intent) IN ('information_request', 'action_request') THEN 'category,intent' ELSE 'category' END AS signals FROM b WHERE tok <= 2100 GROUP BY query_id""")
+def _(v):
+    names = list(I.SYSTEM_TEMPLATES)
+    template, label = F.lit("custom"), F.col("label")
+    for n, k in enumerate(names):
+        template = F.when(label % 4 == n, k).otherwise(template)
+    intent = F.when(label % 4 == 0, "information_request").when(label % 4 == 1, "action_request").when(label % 4 == 2, "complaint")
+    asked = v.VQ.select("label", "query_id", F.concat(F.lit("About "), "query_id").alias("question"), F.lit(DEFAULT).alias("system"))
+    prompting = A.Prompting(template, F.concat(F.lit("Own prompt "), "query_id"), F.col("query_id"), intent)
+    d = A.build_requests(asked, v.CTX, "query_id", "question", "system", "conservative", prompting=prompting)
+    return d.select("query_id", "n_contexts", F.md5("user_text").alias("digest"), F.md5("system_text").alias("system_digest"),
+                    F.array_join("applied_signals", ",").alias("signals"))
+
+
 @query("q7_parse_answers", "CTX", sql="""
 r AS (SELECT query_id, score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC) AS k FROM CTX WHERE rnk <= 5)
 SELECT query_id, 'about ' || query_id AS answer, 5 AS n_citations, (SELECT round(least(greatest(avg(score), 0), 1), 4) FROM r WHERE r.query_id = q.query_id AND k <= 3) AS confidence FROM (SELECT DISTINCT query_id FROM CTX) q""")

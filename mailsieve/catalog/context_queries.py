@@ -267,7 +267,17 @@ def _(v):
     return C.drop_near_duplicates(d, "query_id", ["rnk"], threshold=0.3).select("query_id", "id")
 
 
-@query("f28_mmr_order", "CTX")
+@query("f28_mmr_order", "CTX", sql=f"""--recursive
+i AS (SELECT query_id, id, score::DOUBLE AS score, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, id) AS p, {TOK} AS t FROM CTX WHERE rnk <= 20),
+w AS (SELECT query_id, p, len(t) AS n, unnest(t) AS w FROM i),
+x AS (SELECT a.query_id, a.p, b.p AS o, count(*)::DOUBLE / (a.n + b.n - count(*)) AS ov FROM w a JOIN w b ON a.query_id = b.query_id AND a.w = b.w AND a.p <> b.p
+  GROUP BY a.query_id, a.p, b.p, a.n, b.n),
+r AS (SELECT query_id, 1 AS k, p, score, 0::DOUBLE AS ov FROM i
+  UNION ALL SELECT c.query_id, c.k + 1, c.p, c.score, greatest(c.ov, coalesce(x.ov, 0::DOUBLE))
+  FROM (SELECT *, first_value(p) OVER (PARTITION BY query_id ORDER BY 0.7::DOUBLE * score - (1 - 0.7::DOUBLE) * ov DESC, p) AS best FROM r) c
+  LEFT JOIN x ON x.query_id = c.query_id AND x.p = c.p AND x.o = c.best WHERE c.p <> c.best),
+z AS (SELECT query_id, k, p, row_number() OVER (PARTITION BY query_id, k ORDER BY 0.7::DOUBLE * score - (1 - 0.7::DOUBLE) * ov DESC, p) AS place FROM r)
+SELECT i.query_id, i.id, z.k AS mmr_rank FROM z JOIN i ON i.query_id = z.query_id AND i.p = z.p WHERE place = 1""")
 def _(v):
     d = C.first_chunks(v.CTX, "query_id", "rnk", 20).select("query_id", "id", "text", "score", "source")
     return C.mmr_order(d, "query_id", per_source_cap=None).select("query_id", "id", "mmr_rank")

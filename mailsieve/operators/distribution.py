@@ -51,25 +51,8 @@ def distribution_stats(df: DataFrame, by: str, prob: str) -> DataFrame:
 def ensure_distribution(df: DataFrame, key: str, shortlist: str, raw: str, chosen: str, confidence: str) -> DataFrame:
     """One row per category: the model's normalised distribution (``raw``: array of category/prob structs), or a
     fallback that gives the chosen category its confidence and splits the rest."""
-    r = F.col(raw)
-    valid = r.isNotNull() & (F.size(r) > 0) & F.forall(r, lambda d: d["category"].isNotNull() & d["prob"].isNotNull())
-    total = F.aggregate(r, F.lit(0.0), lambda s, d: s + d["prob"])
-    total = F.when(total <= 0, 1.0).otherwise(total)
-    given = F.transform(
-        r, lambda d: F.struct(d["category"].alias("category"), F.round(d["prob"] / total, 6).alias("prob"))
-    )
-    conf = F.least(F.greatest(F.coalesce(F.col(confidence), F.lit(0.5)), F.lit(0.1)), F.lit(0.99))
-    names = F.coalesce(F.col(shortlist), F.array(chosen))
-    others = F.size(F.filter(names, lambda c: c != F.col(chosen)))
-    rest = F.when(others > 0, F.round((1.0 - conf) / others, 6)).otherwise(0.0)
-    fallback = F.transform(
-        names,
-        lambda c: F.struct(c.alias("category"), F.when(c == F.col(chosen), F.round(conf, 6)).otherwise(rest).alias("prob")),
-    )
-    ok = F.coalesce(valid, F.lit(False))
-    d = df.select(
-        key, F.when(ok, "llm").otherwise("fallback").alias("source"), F.when(ok, given).otherwise(fallback).alias("__d")
-    )
+    ok, dist = array_ensure(F.col(raw), F.col(shortlist), F.col(chosen), F.col(confidence))
+    d = df.select(key, F.when(ok, "llm").otherwise("fallback").alias("source"), dist.alias("__d"))
     return d.select(key, "source", F.inline("__d"))
 
 
@@ -130,3 +113,45 @@ def array_stats(probs: Column) -> Column:
         F.round(h, 4).alias("entropy"), F.round(F.array_max(probs), 6).alias("max_prob"),
         F.round(F.array_min(probs), 6).alias("min_prob"), conc.alias("concentration"), n.alias("n"),
     )
+
+
+def array_ensure(raw: Column, shortlist: Column, chosen: Column, confidence: Column) -> tuple[Column, Column]:
+    """(whether the model gave a distribution, the array of category/prob structs as in ``ensure_distribution``)."""
+    valid = raw.isNotNull() & (F.size(raw) > 0) & F.forall(raw, lambda d: d["category"].isNotNull() & d["prob"].isNotNull())
+    total = F.aggregate(raw, F.lit(0.0), lambda s, d: s + d["prob"])
+    total = F.when(total <= 0, 1.0).otherwise(total)
+    given = F.transform(
+        raw, lambda d: F.struct(d["category"].alias("category"), F.round(d["prob"] / total, 6).alias("prob")))
+    conf = F.least(F.greatest(F.coalesce(confidence, F.lit(0.5)), F.lit(0.1)), F.lit(0.99))
+    names = F.coalesce(shortlist, F.array(chosen))
+    others = F.size(F.filter(names, lambda c: c != chosen))
+    rest = F.when(others > 0, F.round((1.0 - conf) / others, 6)).otherwise(0.0)
+    fallback = F.transform(
+        names,
+        lambda c: F.struct(c.alias("category"), F.when(c == chosen, F.round(conf, 6)).otherwise(rest).alias("prob")))
+    ok = F.coalesce(valid, F.lit(False))
+    return ok, F.when(ok, given).otherwise(fallback)
+
+
+def with_ranking(df: DataFrame, shortlist: str, reply: str, min_prob: float = 0.01) -> DataFrame:
+    """``df`` with ``ranking``, an array of (category, prob, source) by falling probability, and
+    ``distribution_source``, from the referee's ``reply`` (category, confidence, distribution).
+
+    Probabilities are normalised, positive ones get the floor and are normalised again; shortlisted categories
+    that the referee left out follow at the floor as ``added_missing``.  Ties stay in the order given.  Without a
+    chosen category the fallback takes the first of the shortlist.
+    """
+    r, names = F.col(reply), F.col(shortlist)
+    ok, dist = array_ensure(r["distribution"], names, F.coalesce(r["category"], F.get(names, F.lit(0))), r["confidence"])
+    d = df.withColumns({"distribution_source": F.when(ok, "llm").otherwise("fallback"), "__d": dist})
+    d = d.withColumns({
+        "__p": array_probs(F.col("__d.prob"), min_prob),
+        "__missing": F.array_except(names, F.coalesce(F.col("__d.category"), F.array().cast("array<string>")))})
+    source = F.col("distribution_source")
+    met = F.transform("__d", lambda x, i: F.struct(
+        (-F.get("__p", i)).alias("order"), i.alias("at"), x["category"].alias("category"), source.alias("source")))
+    added = F.transform("__missing", lambda c, i: F.struct(
+        F.lit(-min_prob).alias("order"), (F.size("__d") + i).alias("at"), c.alias("category"), F.lit("added_missing").alias("source")))
+    ranked = F.transform(F.array_sort(F.concat(met, added)), lambda x: F.struct(
+        x["category"].alias("category"), (-x["order"]).alias("prob"), x["source"].alias("source")))
+    return d.withColumn("ranking", ranked).drop("__d", "__p", "__missing")

@@ -214,9 +214,10 @@ def category_names(categories: DataFrame, name: str = "category") -> list[str]:
 
 
 def category_arrays(
-    emails: DataFrame, categories: DataFrame, email_id: str, vector: str = "embedding", name: str = "category"
+    emails: DataFrame, categories: DataFrame, email_id: str, vector: str = "embedding", name: str = "category",
+    carry: Sequence[str] = (),
 ) -> DataFrame:
-    """(email_id, scores): categories with their cosines, best first, as one array per e-mail.
+    """(email_id, ``carry``, scores): categories with their cosines, best first, as one array per e-mail.
 
     Categories are a configured list (checked against ``MAX_CATEGORIES``); nothing shuffles.
     """
@@ -224,7 +225,7 @@ def category_arrays(
     cats = cats.sort_values(name, ignore_index=True)
     names, mat = cats[name].to_numpy(), _unit(cats["__vec"])
     schema = T.StructType(
-        [emails.schema[email_id]]
+        [emails.schema[c] for c in (email_id, *carry)]
         + [T.StructField("scores", T.ArrayType(T.StructType([
             T.StructField("category", T.StringType()), T.StructField("cosine", T.DoubleType())])))]
     )
@@ -236,9 +237,9 @@ def category_arrays(
             cos = _unit(part["__vec"]) @ mat.T
             order = np.argsort(-cos, axis=1, kind="stable")
             ranked = [[{"category": names[j], "cosine": float(row[j])} for j in o] for row, o in zip(cos, order)]
-            yield pd.DataFrame({email_id: part[email_id], "scores": ranked})
+            yield pd.DataFrame({**{c: part[c] for c in (email_id, *carry)}, "scores": ranked})
 
-    return emails.select(email_id, F.col(vector).alias("__vec")).mapInPandas(scan, schema)
+    return emails.select(email_id, *carry, F.col(vector).alias("__vec")).mapInPandas(scan, schema)
 
 
 def category_score(cosine: Column) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -15,6 +15,7 @@ from mailsieve.functions import models
 from mailsieve.functions.text import blank, sanitize_pdf, strip
 from mailsieve.operators import contexts as C
 from mailsieve.operators import distribution as D
+from mailsieve.operators import intents as I
 from mailsieve.operators import triage as TR
 from mailsieve.operators import vectors as V
 from mailsieve.operators.chunking import split_valid
@@ -46,23 +47,35 @@ class Ranked:
 
 def categorize(
     emails: DataFrame, categories: DataFrame, email_id: str, k: int = 3, min_prob: float = 0.01, fallback: str = "Other",
-    preset: str | float = "balanced", name: str = "category",
+    preset: str | float = "balanced", name: str = "category", text: str | None = None,
+    referee: Callable[[Column, Column], Column] | None = None,
 ) -> DataFrame:
     """Shortlist by vector, distribution over the shortlist, then the referee gate: one row per e-mail.
 
-    Everything after the scoring works on the arrays of the e-mail's own row, so nothing shuffles.
+    Without ``text`` the distribution are the shares of the vector scores.  With it a referee reads the text (null:
+    empty) and the shortlist and replies (category, confidence, distribution); a missing distribution is replaced
+    and categories it left out are added at ``min_prob``.  Everything after the scoring works on the arrays of the
+    e-mail's own row, so nothing shuffles.
     """
-    top = V.category_arrays(emails, categories, email_id, name=name).select(
-        email_id, F.slice("scores", 1, max(k, 1)).alias("__top")
+    carry = [] if text is None else [text]
+    top = V.category_arrays(emails, categories, email_id, name=name, carry=carry).select(
+        email_id, *carry, F.slice("scores", 1, max(k, 1)).alias("__top")
     )
-    weights = F.transform("__top", lambda s: V.category_score(s["cosine"]))
-    d = top.withColumn("__w", weights).withColumn("__p", D.array_probs(F.col("__w"), min_prob))
-    d = d.withColumn("confidence", F.array_max("__p"))
+    d = top.withColumns({
+        "__w": F.transform("__top", lambda s: V.category_score(s["cosine"])), "shortlist": F.col("__top.category")})
+    if text is None:
+        d = d.withColumn("ranking", F.arrays_zip(
+            F.col("shortlist").alias("category"), D.array_probs(F.col("__w"), min_prob).alias("prob")))
+        more = []
+    else:
+        reply = (referee or models.lexical_referee)(blank(F.col(text)), F.col("shortlist"))
+        d = D.with_ranking(d.withColumn("__r", reply), "shortlist", "__r", min_prob)
+        more = ["ranking", "distribution_source"]
+    d = d.withColumn("__p", F.col("ranking.prob")).withColumn("confidence", F.array_max("__p"))
     d = d.select(
-        email_id, F.col("__top.category").alias("shortlist"), F.array_max("__w").alias("top_score"),
-        (F.array_max("__w") < 0.5).alias("low_confidence"),
-        F.element_at("__top", F.array_position("__p", F.col("confidence")).cast("int"))["category"].alias("category"),
-        "confidence", D.array_stats(F.col("__p")).alias("__s"),
+        email_id, "shortlist", F.array_max("__w").alias("top_score"), (F.array_max("__w") < 0.5).alias("low_confidence"),
+        F.element_at("ranking", F.array_position("__p", F.col("confidence")).cast("int"))["category"].alias("category"),
+        "confidence", *more, D.array_stats(F.col("__p")).alias("__s"),
     ).select("*", "__s.*").drop("__s", "n")
     return TR.referee_gate(d, V.category_names(categories, name), preset, fallback)
 
@@ -122,11 +135,46 @@ def rank_contexts(
     return Ranked(full, dist.select(by, "id", "probability", F.round("score", 6).alias("score")), stats)
 
 
+@dataclass(frozen=True)
+class Prompting:
+    """Columns of the queries that make up a system prompt: tone template or a prompt of one's own, signals from
+    earlier stages, and the mailbox that answers."""
+
+    template: Column | None = None
+    custom: Column | None = None
+    category: Column | None = None
+    intent: Column | None = None
+    confidence: Column | None = None
+    channel: str = ""
+
+    def system(self, default: Column) -> Column:
+        """Template before the default, or the own prompt instead; then the channel, then what the signals add."""
+        text = default if self.template is None else I.system_prompt(self.template, default, self.custom)
+        if self.channel:
+            text = F.concat(text, F.lit("\n\n" + self.channel))
+        return I.enrich_prompt(text, *self._signals()[:2])
+
+    def applied(self) -> Column:
+        return I.applied_signals(*self._signals())
+
+    def _signals(self) -> list[Column]:
+        given = zip((self.category, self.intent, self.confidence), ("string", "string", "double"), strict=True)
+        return [F.lit(None).cast(kind) if c is None else c for c, kind in given]
+
+
 def build_requests(
     queries: DataFrame, contexts: DataFrame, by: str, question: str, system: str, preset: str = "balanced",
-    strategy: str = "drop_low_score", dedupe: float = 0.9,
+    strategy: str = "drop_low_score", dedupe: float = 0.9, prompting: Prompting | None = None,
 ) -> DataFrame:
-    """Generation request per query: bounded, shortened, ordered, de-duplicated and fitted contexts."""
+    """Generation request per query: bounded, shortened, ordered, de-duplicated and fitted contexts.
+
+    With ``prompting`` the column ``system`` is the default that the prompt is built from, before the contexts
+    are fitted, since its length counts; ``applied_signals`` then says what went into it.
+    """
+    more = []
+    if prompting is not None:
+        queries = queries.withColumns({"applied_signals": prompting.applied(), system: prompting.system(F.col(system))})
+        more = ["applied_signals"]
     n, budget, reserve = C.prompt_budget(preset)
     d = C.shrink(C.first_chunks(contexts, by, "rnk", n))
     d = C.drop_near_duplicates(C.trim_order(d, by, strategy), by, ["pos"], threshold=dedupe)
@@ -142,7 +190,7 @@ def build_requests(
             F.array(F.struct(F.lit("user").alias("role"), F.array(F.struct(user.alias("text"))).alias("parts"))).alias("contents"),
             F.struct(F.lit(0).alias("temperature"), F.lit(reserve).alias("maxOutputTokens"),
                      F.lit("application/json").alias("responseMimeType")).alias("generationConfig"),
-        )).alias("payload"),
+        )).alias("payload"), *more,
     )
 
 
