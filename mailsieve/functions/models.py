@@ -33,11 +33,11 @@ def lexical_alignment(category: Column, text: Column) -> Column:
 
 def lexical_referee(text: Column, names: Column) -> Column:
     """Referee's reply (category, confidence, distribution) by the words that text and category share; categories
-    that share none are left out."""
+    that share none are left out, and without any the reply is empty."""
     shares = F.transform(names, lambda c: F.struct(c.alias("category"), lexical_alignment(c, text).alias("prob")))
     best = F.array_max(F.transform(shares, lambda x: F.struct(x["prob"].alias("prob"), x["category"].alias("category"))))
     return F.struct(
-        F.when(best["prob"] > 0, best["category"]).alias("category"), best["prob"].alias("confidence"),
+        F.when(best["prob"] > 0, best["category"]).alias("category"), F.when(best["prob"] > 0, best["prob"]).alias("confidence"),
         F.filter(shares, lambda x: x["prob"] > 0).alias("distribution"))
 
 

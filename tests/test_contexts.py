@@ -170,3 +170,48 @@ def test_only_needed_columns_are_read(spark):
 def test_filters_reach_the_scan(spark):
     text = plan(spark, "a15_zero_hit_rate")
     assert "PushedFilters" in text or "event_type" in text
+
+
+def test_ranking_from_a_referee(spark):
+    rows = [
+        (1, ["a", "b", "c"], ("b", 0.9, [("b", 3.0), ("c", 1.0)])), (2, ["a", "b"], ("b", 0.8, [])), (3, ["a", "b", "c"], (None, None, None)),
+        (4, ["a"], None), (5, ["a", "b", "c"], (None, 0.2, [("c", 0.0), ("z", 1.0)])), (6, ["a", "b"], ("a", 0.7, [("a", None)])),
+    ]
+    d = spark.createDataFrame(
+        rows, "id int, names array<string>, r struct<category:string,confidence:double,distribution:array<struct<category:string,prob:double>>>")
+    got = {x["id"]: (x["distribution_source"], [tuple(y) for y in x["ranking"]]) for x in D.with_ranking(d, "names", "r").collect()}
+    assert got[1] == ("llm", [("b", 0.75, "llm"), ("c", 0.25, "llm"), ("a", 0.01, "added_missing")])
+    assert got[2] == ("fallback", [("b", 0.8, "fallback"), ("a", 0.2, "fallback")])
+    assert got[3] == ("fallback", [("a", 0.5, "fallback"), ("b", 0.25, "fallback"), ("c", 0.25, "fallback")])
+    assert got[4] == ("fallback", [("a", 1.0, "fallback")])
+    assert [x[0] for x in got[5][1]] == ["z", "a", "b", "c"] and got[6][0] == "fallback"
+
+
+def test_categories_by_words_of_the_text(spark):
+    from mailsieve.plans import answers as A
+
+    cats = spark.createDataFrame([("pay slip", [1.0, 0.0]), ("sick leave", [0.0, 1.0]), ("travel", [-1.0, 0.0])], "category string, embedding array<double>")
+    mails = spark.createDataFrame(
+        [(1, "My pay slip is wrong", [0.1, 0.9]), (2, None, [0.1, 0.9]), (3, "", [1.0, 0.1])], "id int, text string, embedding array<double>")
+    got = {r["id"]: r for r in A.categorize(mails, cats, "id", k=2, text="text", preset=0.3).collect()}
+    assert got[1]["chosen"] == "pay slip" and got[1]["distribution_source"] == "llm" and got[1]["shortlist"] == ["sick leave", "pay slip"]
+    assert got[2]["chosen"] == "sick leave" and got[2]["distribution_source"] == "fallback" and got[3]["chosen"] == "pay slip"
+    assert A.categorize(mails.limit(0), cats, "id", text="text").collect() == []
+
+
+def test_system_prompt_is_composed(spark):
+    from mailsieve.operators import intents as I
+    from mailsieve.plans import answers as A
+
+    q = spark.createDataFrame(
+        [("it_support", None, "Payroll", "action_request", 0.9), ("custom", "Mine", " ", "complaint", None), ("custom", " ", None, None, None), (None, None, None, None, 0.1)],
+        "t string, own string, cat string, intent string, conf double")
+    p = A.Prompting(F.col("t"), F.col("own"), F.col("cat"), F.col("intent"), F.col("conf"), I.channel_block("hr@x.org"))
+    got = [tuple(r) for r in q.select(p.system(F.lit("\n Base")), p.applied()).collect()]
+    channel = "\n\n" + I.channel_block("hr@x.org")
+    tone = I.SYSTEM_TEMPLATES["it_support"].rstrip()
+    assert got[0] == (
+        f"{tone}\n\nBase{channel}\n\nDomain context: This is a Payroll inquiry.\nResponse style: Focus on actionable steps or procedures.",
+        ["category", "intent", "confidence"])
+    assert got[1:] == [("Mine" + channel, []), ("\n Base" + channel, []), ("\n Base" + channel, ["confidence"])]
+    assert [tuple(r) for r in q.limit(1).select(A.Prompting().system(F.lit("Base")), A.Prompting().applied()).collect()] == [("Base", [])]
