@@ -65,31 +65,6 @@ def test_outcomes_and_headers(spark):
     assert resolve_revisits(df.limit(0)).collect() == []
 
 
-def test_repeated_ids_are_the_same_one_in_any_order(spark):
-    rows = [(1, "response", "a.com", 10, 200, {"ETag": "1"}, "first"), (1, "response", "a.com", 12, 200, {"ETag": "2"}, "second"),
-            (1, "response", "a.com", 10, 200, {"ETag": "1"}, "other"), (2, "revisit", "a.com", 20, 304, {"ETag": "1"}, None),
-            (2, "revisit", "a.com", 20, 304, {"ETag": "3"}, None), (2, "revisit", "a.com", 11, 304, {"ETag": "1", "Vary": "x"}, None),
-            (3, "response", "b.com", 1, 200, {}, "b"), (3, "revisit", "b.com", 5, 304, {}, None), (4, "revisit", "b.com", 6, 304, {}, None)]
-    seen = set()
-    for turn in range(len(rows)):
-        df = spark.createDataFrame(rows[turn:] + rows[:turn], SCHEMA).repartition(3)
-        got = {r.record_id: r for r in resolve_revisits(df).collect()}
-        assert got.keys() == {2, 4} and got[2].captured == 11 and got[2].outcome == "resolved"
-        assert got[2].headers == {"etag": "1", "vary": "x"} and got[2].payload in ("first", "other") and got[4].payload == "b"
-        seen.add(got[2].payload)
-    assert len(seen) == 1
-
-
-def test_orphans_and_long_payloads(spark):
-    rows = [(i, "revisit", f"o{i}.com", i, 304, {"Date": str(i)}, None) for i in range(-50, 50)]
-    rows += [(1000, "response", "l.com", 1, 200, {}, "x" * 2_000_000), (1001, "revisit", "l.com", 2, 304, {}, None),
-             (0, "response", "z.com", 0, 200, {}, "zero")]
-    got = {r.record_id: r for r in resolve_revisits(spark.createDataFrame(rows, SCHEMA)).collect()}
-    # of the two records with id 0, at the same time, the revisit has the lesser page
-    assert len(got) == 101 and got[1001].payload == "x" * 2_000_000
-    assert all(r.outcome == "orphan" and r.full_id is None and r.headers is None for i, r in got.items() if i < 1000)
-
-
 def test_pages_give_back_their_text(spark):
     pages = spark.read.parquet(f"{SF}/pages.parquet")
     html = {r.page_id: r.html for r in pages.collect()}
