@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailsieve import scale
+from mailsieve.operators.jumps import fire_with_pause
 
 GRACE_MINUTES = 15
 DAY_MINUTES = 1440
@@ -51,21 +51,6 @@ def schedule_trends(obs: DataFrame, ts: str = "ts") -> DataFrame:
 def dedupe_alerts(df: DataFrame, key: str, ttl_seconds: int, ts: str = "ts", tie: str = "event_id") -> DataFrame:
     """Alerts that fire: the first of a key, then the first at least ``ttl`` after the last one that fired.
 
-    Streams thin rows per key in time order.
+    A key's time line is cut into stretches that are worked on apart, see ``fire_with_pause``.
     """
-    thin = df.select(key, tie, F.unix_micros(F.col(ts).cast("timestamp")).alias("__t"))
-
-    def start():
-        last = [None]
-
-        def step(part: pd.DataFrame) -> pd.DataFrame:
-            fired = []
-            for i, t in enumerate(part["__t"].to_numpy()):
-                if last[0] is None or t - last[0] >= ttl_seconds * 1_000_000:
-                    last[0] = t
-                    fired.append(i)
-            return part.iloc[fired]
-
-        return step
-
-    return scale.ordered_fold(thin, [key], ["__t", tie], start, thin.schema).select(key, tie)
+    return fire_with_pause(df, key, ttl_seconds * 1_000_000, F.unix_micros(F.col(ts).cast("timestamp")), tie)
