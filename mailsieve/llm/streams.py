@@ -7,21 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
-
-SLICE_BYTES = 1 << 20
-#: Bytes of an Arrow batch.  Spark's own bound is many times that, and every task holds a batch in the JVM, where the
-#: buffers double as they grow, and one in Python.
-BATCH_BYTES = 4 << 20
-_BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
 
+from mailsieve.session import bounded_batches  # noqa: F401 - Arrow helpers are taken from here
 
-def bounded_batches(df: DataFrame) -> DataFrame:
-    """``df``, in whose session Arrow batches hold about BATCH_BYTES from now on, unless it sets a bound itself."""
-    conf = df.sparkSession.conf
-    if _BATCH_SETTING not in conf.getAll:
-        conf.set(_BATCH_SETTING, str(BATCH_BYTES))
-    return df
+SLICE_BYTES = 1 << 20
 
 
 def utf8(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

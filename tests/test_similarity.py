@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from pathlib import Path
 
 import pytest
 from conftest import SF
@@ -61,3 +62,28 @@ def test_odd_rows(spark):
 def test_chain_is_kept_alternately(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(9)], "u long, v long")
     assert sorted(r.v for r in similarity.greedy_dropped(links).collect()) == [1, 3, 5, 7, 9]
+
+
+def test_sets_are_not_written_or_shuffled_whole(spark, monkeypatch):
+    rnd = random.Random(3)
+    rows = [(i, " ".join(f"{rnd.getrandbits(40):x}" for _ in range(500))) for i in range(600)]
+    held, cut = [], similarity.cut_lineage
+
+    def measured(df):
+        out = cut(df)
+        held.append(sum(p.stat().st_size for p in Path(out._cut_path.removeprefix("file:")).rglob("*.parquet")))
+        return out
+
+    monkeypatch.setattr(similarity, "cut_lineage", measured)
+    assert run(spark.createDataFrame(rows, SCHEMA)) == [(i, i, 0, True) for i, _ in rows]
+    assert sum(held) < sum(len(t) for _, t in rows) / 4
+
+
+def test_groups_of_many_cells(spark, monkeypatch):
+    monkeypatch.setattr(similarity, "CELL", 600)
+    rnd = random.Random(4)
+    bases = [[f"{b}w{j}" for j in range(30)] for b in range(3)]
+    rows = [(i, " ".join(w if rnd.random() > 0.05 else f"x{rnd.getrandbits(20)}" for w in bases[i % 3])) for i in range(90)]
+    assert run(spark.createDataFrame(rows, SCHEMA), 80) == brute(rows, 80)
+    named = spark.createDataFrame([(f"k{i:03}", t) for i, t in rows], "doc_id string, text string")
+    assert run(named, 80) == [(f"k{d:03}", f"k{c:03}", n, kept) for d, c, n, kept in brute(rows, 80)]
