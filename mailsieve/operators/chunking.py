@@ -5,8 +5,9 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,11 +15,14 @@ from pyspark.sql import types as T
 from mailsieve import scale
 from mailsieve.functions.ids import document_id
 from mailsieve.functions.text import blank, est_tokens, strip
+from mailsieve.session import bounded_batches
 
 PARAGRAPH_END = re.compile(r"\n{2,}")
 SENTENCE_END = re.compile(r"""[.!?]["')\]]?\s""")
 SENTENCE_STOP = re.compile(r"[.!?]\s+")
 BLANKS = re.compile(r"\s+")
+#: Chunks in an Arrow batch that a Python task returns.
+CHUNK_ROWS = 1024
 
 
 def _window(size: int, overlap: int, chars_per_token: float) -> tuple[int, int]:
@@ -143,7 +147,7 @@ def word_spans(
 
 
 def _explode_spans(df: DataFrame, spans, text: str, id_cols: Sequence[str]) -> DataFrame:
-    """Apply a span generator to each document, one Arrow batch at a time."""
+    """Apply a span generator to each document; a task holds one bounded Arrow batch and CHUNK_ROWS chunks."""
     schema = T.StructType(
         [df.schema[c] for c in id_cols]
         + [
@@ -152,16 +156,21 @@ def _explode_spans(df: DataFrame, spans, text: str, id_cols: Sequence[str]) -> D
         ]
     )
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            rows = [
-                (*ids, i, doc[a:b], a, b)
-                for *ids, doc in pdf[[*id_cols, text]].itertuples(index=False, name=None)
-                for i, (a, b) in enumerate(spans(doc or ""))
-            ]
-            yield pd.DataFrame(rows, columns=schema.names)
-
-    out = df.select(*id_cols, text).mapInPandas(run, schema)
+    def chunks(batch: pa.RecordBatch) -> Iterator[tuple]:
+        for *ids, doc in zip(*batch.columns, strict=True):
+            doc, keys = doc.as_py() or "", [c.as_py() for c in ids]
+            for i, (a, b) in enumerate(spans(doc)):
+                yield *keys, i, doc[a:b], a, b
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kinds = [*batch.schema.types[:-1], pa.int64(), pa.string(), pa.int64(), pa.int64()]
+            rows = chunks(batch)
+            while part := list(islice(rows, CHUNK_ROWS)):
+                cols = zip(*part, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], schema.names)
+
+    out = bounded_batches(df.select(*id_cols, text)).mapInArrow(run, schema)
     return out.withColumn("token_count", est_tokens(F.col(text)))
 
 
