@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailsieve.functions.text import est_tokens, jaccard, tokens
+from mailsieve.session import bounded_batches
 
 
 def count_tokens(text: Column, counter: Callable[[Column], Column] | None = None) -> Column:
@@ -56,7 +57,7 @@ def score(
 _WORD = re.compile(r"[a-z0-9]+")
 
 
-def hashed_words(texts: pd.Series, dim: int) -> list[list[float]]:
+def hashed_words(texts: pd.Series, dim: int) -> list[np.ndarray]:
     """Normalised bag of words; the slot of a word is its CRC-32 modulo ``dim``."""
     out = []
     for t in texts:
@@ -64,7 +65,7 @@ def hashed_words(texts: pd.Series, dim: int) -> list[list[float]]:
         for w in _WORD.findall((t or "").lower()):
             v[zlib.crc32(w.encode()) % dim] += 1.0
         n = np.linalg.norm(v)
-        out.append((v / n if n else v).tolist())
+        out.append(v / n if n else v)
     return out
 
 
@@ -78,7 +79,7 @@ def embed(df: DataFrame, text: str, out: str = "embedding", dim: int = 64, embed
             parts = [call(s.iloc[i : i + batch]) for i in range(0, len(s), batch)]
             yield pd.Series([v for p in parts for v in p])
 
-    return df.withColumn(out, run(F.col(text)))
+    return bounded_batches(df).withColumn(out, run(F.col(text)))
 
 
 def apply_user_fn(df: DataFrame, fn: Callable[[pd.DataFrame], pd.DataFrame], schema) -> DataFrame:
